@@ -12,7 +12,14 @@ from plumbline.plans.audit import (
 )
 from plumbline.plans.suite import plan_dq_from_config, run_check, run_dq_from_config
 from plumbline.results import AUDIT_SCHEMA, RULE_RESULT_SCHEMA
-from plumbline.rules import DQ_FUNCTIONS, RowRule, RuleContext, SetRule, dq_check
+from plumbline.rules import (
+    DQ_FUNCTIONS,
+    RowRule,
+    RuleContext,
+    SetRule,
+    TableResolver,
+    dq_check,
+)
 from plumbline.sources.audit_log import append_audit
 from plumbline.sources.query_log import query_history, query_log_window
 from plumbline.sources.tables import catalog_tables, frames, parquet_tables
@@ -29,6 +36,7 @@ __all__ = [
     "RuleContext",
     "RuleSpec",
     "SetRule",
+    "TableResolver",
     "append_audit",
     "catalog_tables",
     "check_completeness",

@@ -1,0 +1,252 @@
+"""Configurations: defaults, order, isolation of bad rules, fusion."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+import plumbline
+from plumbline import (
+    ConfigError,
+    DQ_FUNCTIONS,
+    RULE_RESULT_SCHEMA,
+    dq_check,
+    frames,
+    parquet_tables,
+    plan_dq_from_config,
+    read_config,
+    run_check,
+    run_dq_from_config,
+)
+from plumbline.plans import suite
+
+
+def config(table, *rules):
+    return {
+        "tables": [
+            {
+                "name": table,
+                "columns": [
+                    {"name": column, "dq_rules": [{"dq_type": dq_type, **rest}]}
+                    for column, dq_type, rest in rules
+                ],
+            }
+        ]
+    }
+
+
+def statuses(frame):
+    return [r["status"] for r in frame.collect()]
+
+
+def test_defaults(spark):
+    (spec,) = read_config(config("t", ("x", "null_check", {})))
+    assert (spec.params, spec.threshold) == ({}, 1.0)
+
+
+def test_all_config_problems_at_once():
+    broken = {"tables": [{"columns": [{"dq_rules": [{}]}]}, {"name": "t", "columns": "x"}, 3]}
+    with pytest.raises(ConfigError) as caught:
+        read_config(broken)
+    assert len(caught.value.problems) == 6
+    with pytest.raises(ConfigError):
+        read_config({})
+
+
+@pytest.mark.parametrize(("threshold", "status"), [(25, "PASS"), (24.9, "FAIL"), (0, "FAIL")])
+def test_threshold_is_inclusive_percent(spark, threshold, status):
+    df = spark.createDataFrame([(1,), (2,), (3,), (None,)], "x int")
+    rules = config("t", ("x", "null_check", {"threshold": threshold}))
+    row = run_dq_from_config(spark, rules, frames({"t": df})).first()
+    assert (row["status"], row["failed"], row["percent"], row["error"]) == (status, 1, 25.0, None)
+
+
+def test_empty_results_keep_the_schema(spark):
+    for rules in ({"tables": []}, config("t", ("x", "zork", {}))):
+        for runner in (plan_dq_from_config, run_dq_from_config):
+            result = runner(spark, rules, frames({}))
+            assert result.schema == RULE_RESULT_SCHEMA
+            assert result.count() == 0
+
+
+def test_schema_of_results(spark):
+    df = spark.range(3).withColumnRenamed("id", "x")
+    rules = config("t", ("x", "null_check", {}), ("y", "null_check", {}))
+    for runner in (plan_dq_from_config, run_dq_from_config):
+        result = runner(spark, rules, frames({"t": df}))
+        assert [(f.name, f.dataType) for f in result.schema] == [
+            (f.name, f.dataType) for f in RULE_RESULT_SCHEMA
+        ]
+
+
+def test_catalog_tables_are_the_default(spark):
+    spark.range(5).createOrReplaceTempView("five_rows")
+    assert statuses(run_dq_from_config(spark, config("five_rows", ("id", "null_check", {})))) == [
+        "PASS"
+    ]
+
+
+def test_errors_stand_alone(spark):
+    df = spark.createDataFrame([("a", 1), ("5", 2)], "x string, y int")
+    rules = config(
+        "t",
+        ("y", "null_check", {}),
+        ("nope", "null_check", {}),
+        ("x", "range_check", {"params": {"min_val": 1}}),
+        ("y", "range_check", {"params": {"min_val": 2}, "threshold": 50}),
+        ("y", "null_check", {"params": {"surprise": 1}}),
+        ("y", "custom_expression_check", {"params": {"expression": "y >"}}),
+        ("y", "custom_expression_check", {"params": {"expression": "sum(y) > 1"}}),
+        ("y", "custom_expression_check", {"params": {"expression": "1 / (y - 1) > 0"}}),
+        ("y", "referential_check", {"params": {"ref_table": "gone", "ref_col": "z"}}),
+        ("y", "regex_check", {"params": {"pattern": "("}}),
+        ("y", "null_check", {"threshold": "much"}),
+        ("y", "duplicate_row_check", {}),
+    )
+    result = run_dq_from_config(spark, rules, frames({"t": df})).collect()
+    expected = ["PASS", *["ERROR"] * 2, "PASS", *["ERROR"] * 7, "PASS"]
+    assert [r["status"] for r in result] == expected
+    for row in result:
+        if row["status"] == "ERROR":
+            assert row["error"] and row["failed"] is None and row["percent"] is None
+        else:
+            assert row["error"] is None and row["failed"] is not None
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "x double")
+    rules = config(
+        "t",
+        ("x", "null_check", {}),
+        ("x", "outlier_check", {}),
+        ("x", "conditional_check", {"params": {"condition": "x > 1", "col": "x", "expected_value": 2}}),
+        ("x", "duplicate_row_check", {}),
+    )
+    rows = run_dq_from_config(spark, rules, frames({"t": df})).collect()
+    assert [r["status"] for r in rows] == ["ERROR", "PASS", "PASS", "ERROR"]
+    assert rows[0]["error"] == "division by zero"
+
+
+def test_missing_table_spares_the_others(spark):
+    rules = {
+        "tables": config("gone", ("x", "null_check", {}))["tables"]
+        + config("here", ("id", "null_check", {}))["tables"]
+    }
+    tables = frames({"here": spark.range(2)})
+    assert statuses(run_dq_from_config(spark, rules, tables)) == ["ERROR", "PASS"]
+
+
+def test_later_registration_wins(spark):
+    df = spark.range(4)
+    before = dict(DQ_FUNCTIONS)
+    try:
+        dq_check("mine")(lambda ctx, column: ctx.column(column) > 0)
+        assert run_check(df, "mine", "id").first()["failed"] == 3
+        dq_check("mine")(lambda ctx, column, at: ctx.column(column) > at)
+        assert run_check(df, "mine", "id", at=2).first()["failed"] == 1
+        dq_check("mine")(lambda ctx, column: 7)
+        rules = config("t", ("id", "mine", {}))
+        assert statuses(run_dq_from_config(spark, rules, frames({"t": df}))) == ["ERROR"]
+    finally:
+        DQ_FUNCTIONS.clear()
+        DQ_FUNCTIONS.update(before)
+
+
+def test_unknown_check_by_itself(spark):
+    with pytest.raises(LookupError):
+        run_check(spark.range(1), "zork", "id")
+
+
+LINE_RULES = [
+    ("l_quantity", "range_check", {"min_val": 5}),
+    ("l_quantity", "range_check", {"max_val": 45}),
+    ("l_quantity", "outlier_check", {"z_threshold": 1.5}),
+    ("l_extendedprice", "outlier_check", {"z_threshold": 1}),
+    ("l_returnflag", "value_set_check", {"allowed_values": ["N"]}),
+    ("l_returnflag", "regex_check", {"pattern": "[AN]"}),
+    ("l_returnflag", "length_check", {"max_len": 0}),
+    ("l_tax", "cross_field_check", {"operator": "<", "col2": "l_discount"}),
+    ("l_tax", "custom_expression_check", {"expression": "l_tax < 0.03"}),
+    (
+        "l_tax",
+        "conditional_check",
+        {"condition": "l_tax > 0.03", "col": "l_linestatus", "expected_value": "F"},
+    ),
+    ("l_partkey", "referential_check", {"ref_table": "part", "ref_col": "p_size"}),
+    ("l_partkey", "duplicate_row_check", {}),
+]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_together_as_alone(spark, sf_dir, seed):
+    tables = parquet_tables(spark, sf_dir)
+    chosen = random.Random(seed).choices(LINE_RULES, k=8)
+    rules = config("lineitem", *[(c, d, {"params": p}) for c, d, p in chosen])
+    together = run_dq_from_config(spark, rules, tables).collect()
+    lines = tables("lineitem")
+    for row, (column, dq_type, params) in zip(together, chosen, strict=True):
+        alone = run_check(lines, dq_type, column, tables=tables, **params).first()
+        assert (row["failed"], row["percent"]) == (alone["failed"], alone["percent"])
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 7])
+def test_partitioning_does_not_matter(spark, sf_dir, partitions):
+    tables = parquet_tables(spark, sf_dir)
+    lines = tables("lineitem")
+    rules = config("lineitem", *[(c, d, {"params": p}) for c, d, p in LINE_RULES])
+    expected = run_dq_from_config(spark, rules, tables).collect()
+    again = frames({"lineitem": lines.repartition(partitions)}, otherwise=tables)
+    assert run_dq_from_config(spark, rules, again).collect() == expected
+
+
+def plan_of(frame):
+    """The physical plan as it ran."""
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return plan.split("== Initial Plan ==")[0]
+
+
+def scans(frame):
+    return sum("FileScan parquet" in line for line in plan_of(frame).splitlines())
+
+
+def test_row_rules_share_one_scan(spark, sf_dir):
+    rules = config(
+        "lineitem",
+        *[
+            (c, d, {"params": p})
+            for c, d, p in LINE_RULES
+            if d not in ("outlier_check", "referential_check", "duplicate_row_check")
+        ],
+    )
+    frame = plan_dq_from_config(spark, rules, parquet_tables(spark, sf_dir))
+    assert scans(frame) == 1
+    assert "l_comment" not in plan_of(frame)
+    assert "l_orderkey" not in plan_of(frame)
+
+
+def test_isolation_takes_few_jobs(spark, monkeypatch):
+    df = spark.createDataFrame([("a", i) for i in range(10)], "x string, y int")
+    good = [("y", "range_check", {"params": {"min_val": i}, "threshold": 100}) for i in range(31)]
+    bad = ("x", "range_check", {"params": {"min_val": 1}})
+    runs = []
+    plan = suite._plan
+    monkeypatch.setattr(suite, "_plan", lambda part: runs.append(len(part)) or plan(part))
+    rules = config("t", *good[:13], bad, *good[13:])
+    result = statuses(run_dq_from_config(spark, rules, frames({"t": df})))
+    assert result.count("ERROR") == 1 and result[13] == "ERROR"
+    assert len(runs) == 11  # 32, then two halves five times
+
+
+def test_public_names():
+    for name in plumbline.__all__:
+        assert hasattr(plumbline, name)
+
+
+def test_expression_over_other_columns(spark):
+    df = spark.range(10).withColumn("half", F.col("id") / 2)
+    rules = config("t", ("label only", "custom_expression_check", {"params": {"expression": "half < 3"}}))
+    row = run_dq_from_config(spark, rules, frames({"t": df})).first()
+    assert (row["column"], row["failed"]) == ("label only", 4)
