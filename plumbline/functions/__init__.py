@@ -1,9 +1,9 @@
 """Column helpers shared by the checks. Everything here builds JVM-side expressions."""
 
 from plumbline.functions.dates import spark_date_pattern
-from plumbline.functions.names import column_named
+from plumbline.functions.names import column_named, text_literal
 from plumbline.functions.patterns import first_table_name, matches_whole
-from plumbline.functions.sums import ExactSum, exact_sum, plain_text
+from plumbline.functions.sums import ExactSum, exact_sum, plain_text_sql
 
 __all__ = [
     "ExactSum",
@@ -11,6 +11,7 @@ __all__ = [
     "exact_sum",
     "first_table_name",
     "matches_whole",
-    "plain_text",
+    "plain_text_sql",
     "spark_date_pattern",
+    "text_literal",
 ]

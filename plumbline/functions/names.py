@@ -18,3 +18,8 @@ def column_named(df: DataFrame, name: str) -> Column:
     if "." in name and name not in df.columns:
         return F.col(name)
     return quoted(name)
+
+
+def text_literal(text: str) -> str:
+    """``text`` as a SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"

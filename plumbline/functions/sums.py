@@ -45,11 +45,11 @@ def exact_sum(
     return ExactSum(total, F.count(column) - F.count(value), kind)
 
 
-def plain_text(total: Column, kind: str) -> Column:
-    """A total as text without exponent; floats keep one digit after the point at least."""
-    text = total.cast("string")
+def plain_text_sql(total: str, kind: str) -> str:
+    """SQL for a total as text without exponent; floats keep a digit after the point at least."""
+    text = f"CAST({total} AS STRING)"
     if kind == "float":
-        text = F.regexp_replace(text, r"(\.\d+?)0+$", "$1")
-        text = F.when(text.contains("."), text).otherwise(F.concat(text, F.lit(".0")))
+        trimmed = f"regexp_replace({text}, '([.][0-9]+?)0+$', '$1')"
+        text = f"CASE WHEN contains({text}, '.') THEN {trimmed} ELSE concat({text}, '.0') END"
     # A missing or zero total is written as a float zero for every kind.
-    return F.when(total.isNull() | (total == 0), F.lit("0.0")).otherwise(text)
+    return f"CASE WHEN {total} IS NULL OR {total} = 0 THEN '0.0' ELSE {text} END"

@@ -14,8 +14,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.names import column_named, quoted
-from plumbline.functions.sums import DEFAULT_SUM_SCALE, exact_sum, plain_text
+from plumbline.functions.names import column_named, quoted, text_literal
+from plumbline.functions.sums import DEFAULT_SUM_SCALE, exact_sum, plain_text_sql
 from plumbline.operators.duplicates import duplicate_groups
 from plumbline.results import (
     AUDIT_SCHEMA,
@@ -58,14 +58,14 @@ class _Stamp:
 
 @dataclass(frozen=True)
 class _Measures:
-    """Aggregates to take, and the records made of them.
+    """Aggregates to take, and SQL for the records made of them.
 
     Records refer to a target aggregate by its name and to a source one as ``source.name``.
     """
 
     target: list[Column] = field(default_factory=list)
     source: list[Column] = field(default_factory=list)
-    records: list[Column] = field(default_factory=list)
+    records: list[str] = field(default_factory=list)
 
     def __add__(self, other: _Measures) -> _Measures:
         return _Measures(
@@ -75,36 +75,31 @@ class _Measures:
         )
 
 
-def _record(
-    dimension: str, column_name: str, status: Column, failed_rows: Column, *comment: Column | str
-) -> Column:
-    """One audit record without the fields that a whole run shares."""
-    text = F.concat(*[c if isinstance(c, Column) else F.lit(c) for c in comment])
-    return F.struct(
-        F.lit(dimension).alias("dq_dimension"),
-        F.lit(column_name).alias("column_name"),
-        status.alias("status"),
-        failed_rows.cast("double").alias("failed_rows"),
-        text.alias("dq_comment"),
+def _record(dimension: str, column_name: str, status: str, failed_rows: str, comment: str) -> str:
+    """SQL for one audit record, without the fields that a whole run shares."""
+    return (
+        f"named_struct('dq_dimension', '{dimension}', 'column_name', {text_literal(column_name)}, "
+        f"'status', {status}, 'failed_rows', CAST({failed_rows} AS DOUBLE), "
+        f"'dq_comment', {comment})"
     )
 
 
-def _pass_if(condition: Column) -> Column:
-    return F.when(condition, PASS).otherwise(FAIL)
+def _pass_if(condition: str) -> str:
+    return f"CASE WHEN {condition} THEN '{PASS}' ELSE '{FAIL}' END"
 
 
-def _records(measured: DataFrame, records: list[Column], stamp: _Stamp) -> DataFrame:
+def _records(measured: DataFrame, records: list[str], stamp: _Stamp) -> DataFrame:
     """Unfold the one measured row into audit records. A record without status is none."""
+    shared = {
+        "audit_timestamp": text_literal(stamp.as_of.strftime(AUDIT_TIME_FORMAT)),
+        "edi_business_day": text_literal(stamp.business_day),
+    }
     typed = [
-        F.col(f.name).cast(f.dataType).alias(f.name) for f in AUDIT_SCHEMA
+        f"CAST({shared.get(f.name, f.name)} AS {f.dataType.simpleString()}) AS {f.name}"
+        for f in AUDIT_SCHEMA
     ]
-    return (
-        measured.select(F.inline(F.array(*records)))
-        .where(F.col("status").isNotNull())
-        .withColumn("audit_timestamp", F.lit(stamp.as_of.strftime(AUDIT_TIME_FORMAT)))
-        .withColumn("edi_business_day", F.lit(stamp.business_day))
-        .select(*typed)
-    )
+    unfolded = measured.selectExpr(f"inline(array({', '.join(records)}))")
+    return unfolded.where("status IS NOT NULL").selectExpr(*typed)
 
 
 def _no_records(df: DataFrame) -> DataFrame:
@@ -126,19 +121,11 @@ def _measure(
 def _completeness(target: DataFrame, columns: list[str] | None) -> _Measures:
     measures = _Measures()
     for i, name in enumerate(columns or []):
-        nulls = F.col(f"nulls_{i}")
+        nulls = f"nulls_{i}"
+        comment = f"concat({text_literal(f'Null values in {name}: ')}, {nulls})"
         measures += _Measures(
-            target=[F.count_if(column_named(target, name).isNull()).alias(f"nulls_{i}")],
-            records=[
-                _record(
-                    COMPLETENESS,
-                    name,
-                    _pass_if(nulls == 0),
-                    nulls,
-                    f"Null values in {name}: ",
-                    nulls.cast("string"),
-                )
-            ],
+            target=[F.count_if(column_named(target, name).isNull()).alias(nulls)],
+            records=[_record(COMPLETENESS, name, _pass_if(f"{nulls} = 0"), nulls, comment)],
         )
     return measures
 
@@ -151,16 +138,34 @@ def _value_columns(value_columns: str | list[str] | None) -> list[str]:
     return [name for name in names if name]
 
 
-def _count_record(name: str, label: str, source: Column, target: Column) -> Column:
+def _count_record(name: str, label: str, count: str) -> str:
+    source, target = f"source.{count}", count
     return _record(
         RECONCILIATION,
         name,
-        _pass_if(source == target),
-        F.abs(source - target),
-        f"{label} — Source: ",
-        source.cast("string"),
-        ", Target: ",
-        target.cast("string"),
+        _pass_if(f"{source} = {target}"),
+        f"abs({source} - {target})",
+        f"concat('{label} — Source: ', {source}, ', Target: ', {target})",
+    )
+
+
+def _sum_record(name: str, total: str, bad: str, kinds: tuple[str, str], tolerance: float) -> str:
+    """Equal totals? Any value that cannot be summed exactly makes it an error instead."""
+    source, target = f"coalesce(source.{total}, 0)", f"coalesce({total}, 0)"
+    gap = f"abs({source} - {target})"
+    equal = f"{gap} <= {float(tolerance)!r}D" if tolerance else f"{source} = {target}"
+    errors = f"(source.{bad} + {bad})"
+    sums = (
+        f"concat('Sum check — Source: ', {plain_text_sql(f'source.{total}', kinds[0])}, "
+        f"', Target: ', {plain_text_sql(total, kinds[1])})"
+    )
+    broken = f"concat('Sum check — values without an exact sum: ', {errors})"
+    return _record(
+        RECONCILIATION,
+        name,
+        f"CASE WHEN {errors} > 0 THEN '{ERROR}' ELSE {_pass_if(equal)} END",
+        f"CASE WHEN {errors} > 0 THEN CAST({errors} AS DOUBLE) ELSE CAST({gap} AS DOUBLE) END",
+        f"CASE WHEN {errors} > 0 THEN {broken} ELSE {sums} END",
     )
 
 
@@ -174,52 +179,31 @@ def _reconciliation(
 ) -> _Measures:
     if mode not in ("non_null", "rows"):
         raise ValueError(f"mode must be 'non_null' or 'rows', got {mode!r}")
+    label = "Non-null count check" if mode == "non_null" else "Count check"
     measures = _Measures()
     for i, name in enumerate(_value_columns(value_columns)):
-        counted, summed, bad = f"count_{i}", f"sum_{i}", f"unsummable_{i}"
+        counted, total, bad = f"count_{i}", f"sum_{i}", f"unsummable_{i}"
         sides, kinds = [], []
         for df in (source, target):
             value = column_named(df, name)
-            total = exact_sum(value, df.select(value).schema[0].dataType, sum_scale)
+            exact = exact_sum(value, df.select(value).schema[0].dataType, sum_scale)
             count = F.count(value) if mode == "non_null" else F.count("*")
             # Overflow leaves no total although there are values; that is an error as well.
-            overflow = (F.count(value) > 0) & total.total.isNull()
+            overflow = (F.count(value) > 0) & exact.total.isNull()
             sides.append(
                 [
                     count.alias(counted),
-                    total.total.alias(summed),
-                    F.greatest(total.unsummable, overflow.cast("long")).alias(bad),
+                    exact.total.alias(total),
+                    F.greatest(exact.unsummable, overflow.cast("long")).alias(bad),
                 ]
             )
-            kinds.append("float" if mode == "non_null" else total.kind)
-        source_sum, target_sum = F.col(f"source.{summed}"), F.col(summed)
-        zero = F.lit(0)
-        left, right = F.coalesce(source_sum, zero), F.coalesce(target_sum, zero)
-        gap = F.abs(left - right)
-        equal = left == right if not tolerance else gap.cast("double") <= float(tolerance)
-        errors = F.col(f"source.{bad}") + F.col(bad)
-        label = "Non-null count check" if mode == "non_null" else "Count check"
+            kinds.append("float" if mode == "non_null" else exact.kind)
         measures += _Measures(
             source=sides[0],
             target=sides[1],
             records=[
-                _count_record(name, label, F.col(f"source.{counted}"), F.col(counted)),
-                _record(
-                    RECONCILIATION,
-                    name,
-                    F.when(errors > 0, ERROR).otherwise(_pass_if(equal)),
-                    F.when(errors > 0, errors.cast("double")).otherwise(gap.cast("double")),
-                    F.when(
-                        errors > 0, F.lit("Sum check — values without an exact sum: ")
-                    ).otherwise("Sum check — Source: "),
-                    F.when(errors > 0, errors.cast("string")).otherwise(
-                        F.concat(
-                            plain_text(source_sum, kinds[0]),
-                            F.lit(", Target: "),
-                            plain_text(target_sum, kinds[1]),
-                        )
-                    ),
-                ),
+                _count_record(name, label, counted),
+                _sum_record(name, total, bad, (kinds[0], kinds[1]), tolerance),
             ],
         )
     return measures
@@ -228,20 +212,17 @@ def _reconciliation(
 def _timeliness(target: DataFrame, stamp: _Stamp, expected_lag_days: int) -> _Measures:
     if BUSINESS_DAY not in target.columns:
         return _Measures()
-    latest = F.col("latest")
-    lag = F.datediff(F.lit(stamp.as_of.date()), latest)
+    lag = f"datediff(DATE'{stamp.as_of.date()}', latest)"
+    on_time = _pass_if(f"{lag} <= {int(expected_lag_days)}")
     return _Measures(
         target=[F.max(quoted(BUSINESS_DAY).cast("date")).alias("latest")],
         records=[
             _record(
                 TIMELINESS,
                 BUSINESS_DAY,
-                F.when(latest.isNotNull(), _pass_if(lag <= expected_lag_days)),
+                f"CASE WHEN latest IS NOT NULL THEN {on_time} END",
                 lag,
-                "Latest date: ",
-                latest.cast("string"),
-                ", lag days: ",
-                lag.cast("string"),
+                f"concat('Latest date: ', latest, ', lag days: ', {lag})",
             )
         ],
     )
@@ -258,15 +239,8 @@ def check_uniqueness(
     keys = list(primary_key_columns or [])
     if not keys:
         return _no_records(df)
-    groups = F.col("failed")
-    record = _record(
-        UNIQUENESS,
-        ",".join(keys),
-        _pass_if(groups == 0),
-        groups,
-        "Duplicate key rows found: ",
-        groups.cast("string"),
-    )
+    comment = "concat('Duplicate key rows found: ', failed)"
+    record = _record(UNIQUENESS, ",".join(keys), _pass_if("failed = 0"), "failed", comment)
     return _records(duplicate_groups(df, keys), [record], _Stamp.of(edi_business_day, as_of))
 
 

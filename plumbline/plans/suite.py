@@ -6,18 +6,26 @@ a grouping of their own are added with a union, so that Spark runs their stages
 
 from __future__ import annotations
 
+import json
 import logging
 from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline import operators  # noqa: F401  (registers the built-in checks)
 from plumbline.config import RuleSpec, read_config
-from plumbline.results import ERROR, EMPTY_TABLE, RULE_RESULT_SCHEMA, percent_failed, rule_status
+from plumbline.results import (
+    ERROR,
+    GRADED_ERROR_SQL,
+    GRADED_FAILED_SQL,
+    PERCENT_SQL,
+    RULE_RESULT_SCHEMA,
+    STATUS_SQL,
+)
 from plumbline.rules import (
     DQ_FUNCTIONS,
     RowRule,
@@ -56,79 +64,63 @@ def _error_row(spec: RuleSpec, error: Exception) -> Row:
     )
 
 
-def _row_aggregates(rule: RowRule, i: int) -> list[Column]:
-    aggregates = [F.count_if(rule.failed).alias(f"failed_{i}")]
-    if rule.scope is not None:
-        aggregates.append(F.count_if(rule.scope).alias(f"total_{i}"))
-    return aggregates
-
-
 def _count_row_rules(df: DataFrame, rules: list[RowRule]) -> DataFrame:
     """One row: ``total``, ``failed_i`` per rule and ``total_i`` where it has a scope."""
-    aggregates = [a for i, rule in enumerate(rules) for a in _row_aggregates(rule, i)]
-    return df.agg(F.count("*").alias("total"), *aggregates)
-
-
-def _labelled(ready: _Ready, failed: Column, total: Column) -> Column:
-    """One rule's counts with its place, labels and grade inputs."""
-    spec = ready.spec
-    return F.struct(
-        F.lit(ready.place).alias("place"),
-        F.lit(spec.table).cast("string").alias("table"),
-        F.lit(spec.column).cast("string").alias("column"),
-        F.lit(spec.dq_type).alias("dq_type"),
-        F.lit(float(spec.threshold)).alias("threshold"),
-        F.lit(ready.rule.zero_when_empty).alias("zero_when_empty"),
-        failed.cast("long").alias("failed"),
-        total.cast("long").alias("total"),
+    aggregates = [F.count("*").alias("total")]
+    for i, rule in enumerate(rules):
+        aggregates.append(F.count_if(rule.failed).alias(f"failed_{i}"))
+        if rule.scope is not None:
+            aggregates.append(F.count_if(rule.scope).alias(f"total_{i}"))
+    return df.agg(*aggregates)
+
+
+def _rule_sql(ready: _Ready, failed: str, total: str) -> str:
+    """SQL for the counts of one rule, marked with its place in the configuration."""
+    return (
+        f"named_struct('place', {ready.place}, 'failed', CAST({failed} AS BIGINT), "
+        f"'total', CAST({total} AS BIGINT), 'zero_when_empty', {ready.rule.zero_when_empty})"
     )
 
 
 def _row_rule_counts(df: DataFrame, ready: list[_Ready]) -> DataFrame:
-    counts = _count_row_rules(df, [r.rule for r in ready])
-    labelled = [
-        _labelled(
-            r, F.col(f"failed_{i}"), F.col("total" if r.rule.scope is None else f"total_{i}")
-        )
+    structs = [
+        _rule_sql(r, f"failed_{i}", "total" if r.rule.scope is None else f"total_{i}")
         for i, r in enumerate(ready)
     ]
-    return counts.select(F.inline(F.array(*labelled)))
+    counts = _count_row_rules(df, [r.rule for r in ready])
+    return counts.selectExpr(f"inline(array({', '.join(structs)}))")
 
 
 def _set_rule_counts(ready: _Ready) -> DataFrame:
-    labelled = _labelled(ready, F.col("failed"), F.col("total"))
-    return ready.rule.counts.select(labelled.alias("r")).select("r.*")
-
-
-def _graded(counts: DataFrame) -> DataFrame:
-    percent = percent_failed(F.col("failed"), F.col("total"), F.col("zero_when_empty"))
-    known = F.col("percent").isNotNull()
-    return counts.withColumn("percent", percent).select(
-        "place",
-        "table",
-        "column",
-        "dq_type",
-        rule_status(F.col("percent"), F.col("threshold")).alias("status"),
-        F.when(known, F.col("failed")).alias("failed"),
-        "percent",
-        F.when(~known, EMPTY_TABLE).alias("error"),
-    )
+    return ready.rule.counts.selectExpr(f"inline(array({_rule_sql(ready, 'failed', 'total')}))")
 
 
-def _plan(ready: list[_Ready]) -> DataFrame:
-    """Graded rows for rules of any number of tables."""
+def _rule_counts(ready: list[_Ready]) -> list[DataFrame]:
+    """``place, failed, total, zero_when_empty``: one frame per table, one per set rule."""
     by_table: dict[int, list[_Ready]] = {}
     for r in ready:
         if isinstance(r.rule, RowRule):
             by_table.setdefault(id(r.df), []).append(r)
-    parts = [_row_rule_counts(group[0].df, group) for group in by_table.values()]
-    parts += [_set_rule_counts(r) for r in ready if isinstance(r.rule, SetRule)]
-    return _graded(reduce(DataFrame.unionByName, parts))
+    row_rules = [_row_rule_counts(group[0].df, group) for group in by_table.values()]
+    return row_rules + [_set_rule_counts(r) for r in ready if isinstance(r.rule, SetRule)]
 
 
-def _analysed(df: DataFrame, rules: list[RowRule]) -> None:
-    """Raise if Spark cannot resolve the rules; runs no job."""
-    _count_row_rules(df, rules).schema  # noqa: B018
+_LABELS = "array<struct<table: string, column: string, dq_type: string, threshold: double>>"
+
+
+def _threshold(spec: RuleSpec) -> float | None:
+    try:
+        return float(spec.threshold)
+    except (TypeError, ValueError):
+        return None
+
+
+def _analysed(ready: list[_Ready]) -> list[DataFrame]:
+    """The counting frames; raises if Spark cannot resolve a rule. Runs no job."""
+    counts = _rule_counts(ready)
+    for frame in counts:
+        frame.schema  # noqa: B018
+    return counts
 
 
 class _Suite:
@@ -137,57 +129,84 @@ class _Suite:
     def __init__(self, spark: SparkSession, config: Mapping[str, Any], tables: TableResolver):
         self.spark = spark
         self.tables = tables
+        self.specs = read_config(config)
         self.ready: list[_Ready] = []
+        self.counts: list[DataFrame] = []
         self.errors: dict[int, Row] = {}
-        by_table: dict[str, list[tuple[int, RuleSpec]]] = {}
-        for place, spec in enumerate(read_config(config)):
+        by_table: dict[str, list[int]] = {}
+        for place, spec in enumerate(self.specs):
             if spec.dq_type in DQ_FUNCTIONS:
-                by_table.setdefault(spec.table, []).append((place, spec))
+                by_table.setdefault(spec.table, []).append(place)
             else:
                 log.warning("unknown check %s on %s skipped", spec.dq_type, spec.table)
-        for table, placed in by_table.items():
-            self._add_table(table, placed)
+        for table, places in by_table.items():
+            self._add_table(table, places)
+
+    def _fail(self, place: int, error: Exception) -> None:
+        self.errors[place] = _error_row(self.specs[place], error)
 
-    def _add_table(self, table: str, placed: list[tuple[int, RuleSpec]]) -> None:
+    def _add_table(self, table: str, places: list[int]) -> None:
         try:
             context = RuleContext(self.tables(table), self.tables)
             context.df.schema  # noqa: B018
         except Exception as error:
-            self.errors.update((place, _error_row(spec, error)) for place, spec in placed)
+            for place in places:
+                self._fail(place, error)
             return
         built = []
-        for place, spec in placed:
+        for place in places:
+            spec = self.specs[place]
             try:
                 float(spec.threshold)
                 rule = build_rule(spec.dq_type, context, spec.column, dict(spec.params))
                 built.append(_Ready(place, spec, context.df, rule))
             except Exception as error:
-                self.errors[place] = _error_row(spec, error)
-        self.ready += self._resolvable(context.df, built)
-
-    def _resolvable(self, df: DataFrame, built: list[_Ready]) -> list[_Ready]:
-        """Drop the rules that fail analysis: all together first, one by one if that fails."""
-        rows = [r.rule for r in built if isinstance(r.rule, RowRule)]
+                self._fail(place, error)
         try:
-            _analysed(df, rows)
-            suspects = []
+            counts = _analysed(built)
         except Exception:
-            suspects = [r for r in built if isinstance(r.rule, RowRule)]
-        suspects += [r for r in built if isinstance(r.rule, SetRule)]
-        for r in suspects:
-            try:
-                if isinstance(r.rule, RowRule):
-                    _analysed(df, [r.rule])
-                else:
-                    _set_rule_counts(r).schema  # noqa: B018
-            except Exception as error:
-                self.errors[r.place] = _error_row(r.spec, error)
-        return [r for r in built if r.place not in self.errors]
+            built = [r for r in built if self._resolves(r)]
+            counts = _analysed(built)
+        self.ready += built
+        self.counts += counts
+
+    def _resolves(self, ready: _Ready) -> bool:
+        try:
+            _analysed([ready])
+            return True
+        except Exception as error:
+            self._fail(ready.place, error)
+            return False
+
+    def _graded(self, counts: list[DataFrame]) -> DataFrame:
+        """Counted rules with their labels and grades. The labels are one folded literal."""
+        labels = [
+            {"table": s.table, "column": s.column, "dq_type": s.dq_type, "threshold": t}
+            for s in self.specs
+            for t in [_threshold(s)]
+        ]
+        literal = F.from_json(F.lit(json.dumps(labels, default=str)), _LABELS)
+        return (
+            reduce(DataFrame.unionByName, counts)
+            .withColumn("label", literal[F.col("place")])
+            .selectExpr("place", "failed", "label.*", f"{PERCENT_SQL} AS percent")
+            .selectExpr(
+                "place",
+                "table",
+                "column",
+                "dq_type",
+                f"{STATUS_SQL} AS status",
+                f"{GRADED_FAILED_SQL} AS failed",
+                "percent",
+                f"{GRADED_ERROR_SQL} AS error",
+            )
+        )
 
     def frame(self) -> DataFrame:
         """Lazy results; a rule that fails at run time fails them all."""
-        names = RULE_RESULT_SCHEMA.names
-        parts = [_plan(self.ready).select(*names)] if self.ready else []
+        parts = []
+        if self.ready:
+            parts.append(self._graded(self.counts).select(*RULE_RESULT_SCHEMA.names))
         if self.errors or not parts:
             rows = [self.errors[place] for place in sorted(self.errors)]
             parts.append(self.spark.createDataFrame(rows, RULE_RESULT_SCHEMA))
@@ -196,21 +215,22 @@ class _Suite:
     def rows(self) -> list[Row]:
         """Results in configured order, a rule that fails at run time as an ERROR row."""
         done = dict(self.errors)
-        names = RULE_RESULT_SCHEMA.names
         # Neighbours share a table, so a failing part soon narrows down to one table.
-        parts = [self.ready] if self.ready else []
+        parts = [(self.ready, self.counts)] if self.ready else []
         while parts:
-            part = parts.pop()
+            part, counts = parts.pop()
             try:
-                collected = _plan(part).collect()
+                collected = self._graded(counts).collect()
             except Exception as error:
                 if len(part) == 1:
                     done[part[0].place] = _error_row(part[0].spec, error)
                 else:
                     middle = len(part) // 2
-                    parts += [part[middle:], part[:middle]]
+                    halves = part[middle:], part[:middle]
+                    parts += [(half, _rule_counts(half)) for half in halves]
                 continue
             done.update((row["place"], row) for row in collected)
+        names = RULE_RESULT_SCHEMA.names
         return [Row(**{n: done[place][n] for n in names}) for place in sorted(done)]
 
 
@@ -248,13 +268,8 @@ def run_check(
     if dq_type not in DQ_FUNCTIONS:
         raise LookupError(f"unknown check: {dq_type}")
     context = RuleContext(df, tables or df.sparkSession.table)
-    rule = build_rule(dq_type, context, column, params)
-    if isinstance(rule, RowRule):
-        total = "total" if rule.scope is None else "total_0"
-        counts = _count_row_rules(df, [rule]).select(
-            F.col("failed_0").alias("failed"), F.col(total).alias("total")
-        )
-    else:
-        counts = rule.counts
-    percent = percent_failed(F.col("failed"), F.col("total"), F.lit(rule.zero_when_empty))
-    return counts.select(F.col("failed").cast("long").alias("failed"), percent.alias("percent"))
+    ready = _Ready(
+        0, RuleSpec("", column, dq_type), df, build_rule(dq_type, context, column, params)
+    )
+    (counts,) = _rule_counts([ready])
+    return counts.selectExpr("failed", f"{PERCENT_SQL} AS percent")

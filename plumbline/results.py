@@ -1,9 +1,7 @@
-"""Result schemas and the expressions that grade a count."""
+"""Result schemas, and the SQL that grades a count."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Statuses, audit dimensions, result fields.
@@ -40,14 +38,15 @@ AUDIT_SCHEMA = T.StructType(
 )
 
 
-def percent_failed(failed: Column, total: Column, zero_when_empty: Column) -> Column:
-    """Share of failed rows in percent; over no rows it is 0 or, for most checks, NULL."""
-    return F.when(total > 0, (failed.cast("double") / total.cast("double")) * 100).when(
-        zero_when_empty, F.lit(0.0)
-    )
-
-
-def rule_status(percent: Column, threshold: Column) -> Column:
-    return (
-        F.when(percent.isNull(), ERROR).when(percent <= threshold, PASS).otherwise(FAIL)
-    )
+# SQL over the counts of a rule: ``failed``, ``total``, ``zero_when_empty``, ``threshold``.
+# The share over no rows is unknown for most checks, zero for some.
+PERCENT_SQL = (
+    "CASE WHEN total > 0 THEN (CAST(failed AS DOUBLE) / CAST(total AS DOUBLE)) * 100 "
+    "WHEN zero_when_empty THEN 0D END"
+)
+STATUS_SQL = (
+    f"CASE WHEN percent IS NULL THEN '{ERROR}' WHEN percent <= threshold THEN '{PASS}' "
+    f"ELSE '{FAIL}' END"
+)
+GRADED_FAILED_SQL = "CASE WHEN percent IS NOT NULL THEN failed END"
+GRADED_ERROR_SQL = f"CASE WHEN percent IS NULL THEN '{EMPTY_TABLE}' END"

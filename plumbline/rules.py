@@ -25,6 +25,8 @@ class RuleContext:
         return column_named(self.df, name)
 
     def data_type(self, name: str) -> T.DataType:
+        if name in self.df.columns:
+            return self.df.schema[name].dataType
         return self.df.select(self.column(name)).schema[0].dataType
 
     @cached_property

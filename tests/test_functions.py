@@ -5,7 +5,13 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.functions import exact_sum, first_table_name, plain_text, spark_date_pattern
+from plumbline.functions import (
+    exact_sum,
+    first_table_name,
+    plain_text_sql,
+    spark_date_pattern,
+    text_literal,
+)
 
 
 @pytest.mark.parametrize(
@@ -43,11 +49,8 @@ def test_first_table(spark, query, table):
 def summed(spark, values, data_type, **options):
     df = spark.createDataFrame([(v,) for v in values], f"x {data_type}")
     total = exact_sum(F.col("x"), df.schema["x"].dataType, **options)
-    return df.agg(
-        total.total.alias("t"),
-        total.unsummable.alias("bad"),
-        plain_text(total.total, total.kind).alias("text"),
-    ).first()
+    sums = df.agg(total.total.alias("t"), total.unsummable.alias("bad"))
+    return sums.selectExpr("*", f"{plain_text_sql('t', total.kind)} AS text").first()
 
 
 @pytest.mark.parametrize(
@@ -75,3 +78,8 @@ def test_values_without_exact_sum(spark):
 def test_scale_of_doubles(spark):
     assert summed(spark, [1e-9, 1e-9], "double")["t"] == Decimal("2e-9")
     assert summed(spark, [1e-9, 1e-9], "double", scale=6)["t"] == 0
+
+
+@pytest.mark.parametrize("text", ["it's", "a\\b", "\\'", "é — \n", ""])
+def test_text_literal(spark, text):
+    assert spark.range(1).selectExpr(f"{text_literal(text)} AS t").first()["t"] == text

@@ -232,8 +232,13 @@ def test_isolation_takes_few_jobs(spark, monkeypatch):
     good = [("y", "range_check", {"params": {"min_val": i}, "threshold": 100}) for i in range(31)]
     bad = ("x", "range_check", {"params": {"min_val": 1}})
     runs = []
-    plan = suite._plan
-    monkeypatch.setattr(suite, "_plan", lambda part: runs.append(len(part)) or plan(part))
+    graded = suite._Suite._graded
+
+    def counted(self, counts):
+        runs.append(1)
+        return graded(self, counts)
+
+    monkeypatch.setattr(suite._Suite, "_graded", counted)
     rules = config("t", *good[:13], bad, *good[13:])
     result = statuses(run_dq_from_config(spark, rules, frames({"t": df})))
     assert result.count("ERROR") == 1 and result[13] == "ERROR"
