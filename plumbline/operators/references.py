@@ -1,71 +1,52 @@
 """Membership of a column's values in another set of keys.
 
-The checked column is counted per distinct value first. That combines on the map side, so a
-value held by a third of all rows is one row by the time it meets the keys, and a small key
-domain shuffles next to nothing. Both sides of the join are then unique on the key, and Spark
-broadcasts the keys only when they are below its own size threshold.
+Values and keys are stacked and grouped by value, and each group tells its rows from its keys.
+The grouping combines on the map side: a value held by a third of all rows leaves every task as
+one record, and a small key domain shuffles next to nothing. There is no join, so there is
+neither a skewed join partition nor a side to broadcast.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from plumbline.functions.names import column_named, quoted
 from plumbline.rules import RuleContext, SetRule, dq_check
 
-_VALUE, _KEY, _FOUND, _ROWS = "__value", "__key", "__found", "__rows"
 
+def count_missing(
+    df: DataFrame, value: Column, keys: DataFrame, key: Column, null_fails: bool
+) -> DataFrame:
+    """One row: ``failed``, the rows of ``df`` whose value is no key, and ``total``.
 
-def _same_width(value: Column, have: T.DataType, other: T.DataType) -> Column:
-    """Integers of unlike width meet as long, so that the join reuses the grouping's shuffle."""
-    if have != other and isinstance(have, T.IntegralType) and isinstance(other, T.IntegralType):
-        return value.cast("long")
-    return value
-
-
-def rows_per_value(df: DataFrame, value: Column, keys: DataFrame, key: Column) -> DataFrame:
-    """Distinct values of ``df`` with their row count and whether they are among ``keys``."""
-    values, known = df.select(value.alias(_VALUE)), keys.select(key.alias(_KEY))
-    value_type, key_type = values.schema[0].dataType, known.schema[0].dataType
-    counted = (
-        values.select(_same_width(F.col(_VALUE), value_type, key_type).alias(_VALUE))
-        .groupBy(_VALUE)
-        .agg(F.count("*").alias(_ROWS))
+    A null value has no key, not even a null one; ``null_fails`` says whether it counts.
+    """
+    rows = df.select(value.alias("value"), F.lit(True).alias("is_row"))
+    stacked = rows.union(keys.select(key, F.lit(False)))
+    per_value = stacked.groupBy("value").agg(
+        F.count_if(F.col("is_row")).alias("rows"),
+        F.count_if(~F.col("is_row")).alias("keys"),
     )
-    distinct = known.select(
-        _same_width(F.col(_KEY), key_type, value_type).alias(_KEY)
-    ).distinct()
-    return counted.join(
-        distinct.withColumn(_FOUND, F.lit(True)), F.col(_VALUE) == F.col(_KEY), "left"
-    ).select(_VALUE, _ROWS, F.coalesce(_FOUND, F.lit(False)).alias(_FOUND))
-
-
-def count_rows_where(per_value: DataFrame, failed: Column) -> DataFrame:
-    """``failed`` and ``total`` rows behind a frame of counted values."""
+    missing = (F.col("keys") == 0) & F.col("value").isNotNull()
+    if null_fails:
+        missing = missing | F.col("value").isNull()
     return per_value.agg(
-        F.coalesce(F.sum(F.when(failed, F.col(_ROWS))), F.lit(0)).alias("failed"),
-        F.coalesce(F.sum(_ROWS), F.lit(0)).alias("total"),
+        F.coalesce(F.sum(F.when(missing, F.col("rows"))), F.lit(0)).alias("failed"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("total"),
     )
 
 
-def missing(null_fails: bool) -> Column:
-    """Values without a key; a null value has none, and counts only where it should."""
-    absent = ~F.col(_FOUND)
-    return absent if null_fails else absent & F.col(_VALUE).isNotNull()
-
-
 @dq_check("referential_check")
 def referential_check(ctx: RuleContext, column: str, ref_table: str, ref_col: str) -> SetRule:
     """Rows whose value is not in ``ref_table.ref_col``; a null value fails."""
     ref = ctx.tables(ref_table)
-    per_value = rows_per_value(ctx.df, ctx.column(column), ref, column_named(ref, ref_col))
-    return SetRule(count_rows_where(per_value, missing(null_fails=True)))
+    key = column_named(ref, ref_col)
+    return SetRule(count_missing(ctx.df, ctx.column(column), ref, key, null_fails=True))
 
 
 def not_in_list(ctx: RuleContext, column: str, allowed: list) -> SetRule:
-    """Membership in a list too long for an expression."""
+    """Membership in a list too long for an expression; a null value passes."""
     listed = ctx.spark.createDataFrame([(v,) for v in allowed], ["allowed"])
-    per_value = rows_per_value(ctx.df, ctx.column(column), listed, quoted("allowed"))
-    return SetRule(count_rows_where(per_value, missing(null_fails=False)))
+    value = ctx.column(column)
+    return SetRule(count_missing(ctx.df, value, listed, quoted("allowed"), null_fails=False))

@@ -1,7 +1,8 @@
 """Running a configuration of rules with as few scans as possible.
 
-All row rules of a table become one aggregation over one column-pruned scan. Rules that need
-a grouping of their own are added with a union, so that Spark runs their stages side by side.
+The row rules of a table become one aggregation over one column-pruned scan, or a few when they
+are very many. Rules that need a grouping of their own are added with a union, so that Spark
+runs their stages side by side.
 """
 
 from __future__ import annotations
@@ -64,13 +65,36 @@ def _error_row(spec: RuleSpec, error: Exception) -> Row:
     )
 
 
+# Spark compiles a stage as a whole up to 100 fields (spark.sql.codegen.maxFields). A wider
+# aggregation is interpreted, several times slower, so more rules than this take another scan.
+MOST_AGGREGATES = 90
+
+
+def _scan_groups(rules: list[_Ready]) -> list[list[_Ready]]:
+    """Row rules of one table, split into as many scans as they need.
+
+    Rules of the same column stay together: with column pruning each scan reads its own
+    columns, and together they read little more than one scan of all columns would.
+    """
+    by_column = sorted(rules, key=lambda r: str(r.spec.column))
+    sizes = [1 if r.rule.scope is None else 2 for r in by_column]
+    scans = -(-sum(sizes) // MOST_AGGREGATES)
+    share = sum(sizes) / max(scans, 1)
+    groups: list[list[_Ready]] = [[] for _ in range(scans)]
+    before = 0
+    for ready, size in zip(by_column, sizes, strict=True):
+        groups[min(int(before / share), scans - 1)].append(ready)
+        before += size
+    return groups
+
+
 def _count_row_rules(df: DataFrame, rules: list[RowRule]) -> DataFrame:
     """One row: ``total``, ``failed_i`` per rule and ``total_i`` where it has a scope."""
     aggregates = [F.count("*").alias("total")]
     for i, rule in enumerate(rules):
-        aggregates.append(F.count_if(rule.failed).alias(f"failed_{i}"))
+        aggregates.append(F.count(F.when(rule.failed, 1)).alias(f"failed_{i}"))
         if rule.scope is not None:
-            aggregates.append(F.count_if(rule.scope).alias(f"total_{i}"))
+            aggregates.append(F.count(F.when(rule.scope, 1)).alias(f"total_{i}"))
     return df.agg(*aggregates)
 
 
@@ -96,12 +120,16 @@ def _set_rule_counts(ready: _Ready) -> DataFrame:
 
 
 def _rule_counts(ready: list[_Ready]) -> list[DataFrame]:
-    """``place, failed, total, zero_when_empty``: one frame per table, one per set rule."""
+    """``place, failed, total, zero_when_empty``: one frame per scan, one per set rule."""
     by_table: dict[int, list[_Ready]] = {}
     for r in ready:
         if isinstance(r.rule, RowRule):
             by_table.setdefault(id(r.df), []).append(r)
-    row_rules = [_row_rule_counts(group[0].df, group) for group in by_table.values()]
+    row_rules = [
+        _row_rule_counts(group[0].df, group)
+        for rules in by_table.values()
+        for group in _scan_groups(rules)
+    ]
     return row_rules + [_set_rule_counts(r) for r in ready if isinstance(r.rule, SetRule)]
 
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
-from decimal import Decimal
+import random
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -83,3 +84,32 @@ def test_scale_of_doubles(spark):
 @pytest.mark.parametrize("text", ["it's", "a\\b", "\\'", "é — \n", ""])
 def test_text_literal(spark, text):
     assert spark.range(1).selectExpr(f"{text_literal(text)} AS t").first()["t"] == text
+
+
+def random_doubles(seed):
+    pick = random.Random(seed)
+    values = [0.0, -0.0, 0.000001, -0.000001, 999999999.999999, -999999999.999999, 1e9, -1e9]
+    for _ in range(400):
+        places, size = pick.randrange(9), pick.randrange(1, 10)
+        values.append(round(pick.uniform(-(10**size), 10**size), places))
+    return [v for v in values if len(f"{abs(Decimal(repr(v))):f}".replace(".", "")) <= 15]
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("scale", [12, 6, 2, 0])
+def test_sum_of_doubles_is_the_sum_of_their_texts(spark, seed, scale):
+    values = random_doubles(seed)
+    unit = Decimal(1).scaleb(-scale)
+    expected = sum(Decimal(repr(v)).quantize(unit, ROUND_HALF_UP) for v in values)
+    row = summed(spark, values, "double", scale=scale)
+    assert (row["t"], row["bad"]) == (expected, 0)
+
+
+def test_sum_of_any_doubles_keeps_under_partitioning(spark):
+    pick = random.Random(5)
+    values = [pick.uniform(-1, 1) * 10 ** pick.randrange(-8, 12) for _ in range(5000)]
+    frame = spark.createDataFrame([(v,) for v in values], "x double")
+    total = exact_sum(F.col("x"), frame.schema["x"].dataType).total.alias("t")
+    totals = {frame.repartition(n).agg(total).first()["t"] for n in (1, 3, 7)}
+    assert len(totals) == 1
+    assert float(totals.pop()) == pytest.approx(sum(values), rel=1e-9)

@@ -227,6 +227,48 @@ def test_row_rules_share_one_scan(spark, sf_dir):
     assert "l_orderkey" not in plan_of(frame)
 
 
+def test_many_rules_take_few_compiled_scans(spark, sf_dir):
+    numbers = ["l_quantity", "l_tax", "l_discount", "l_extendedprice"]
+    rules = [(numbers[i % 4], "range_check", {"min_val": i / 2}) for i in range(200)]
+    rules.append(
+        (
+            "l_tax",
+            "conditional_check",
+            {"condition": "l_tax > 0.03", "col": "l_linestatus", "expected_value": "F"},
+        )
+    )
+    tables = parquet_tables(spark, sf_dir)
+    frame = plan_dq_from_config(
+        spark, config("lineitem", *[(c, d, {"params": p}) for c, d, p in rules]), tables
+    )
+    plan = plan_of(frame)
+    assert sum("FileScan parquet" in line for line in plan.splitlines()) == 3
+    compiled = [line for line in plan.splitlines() if "HashAggregate" in line]
+    assert compiled and all("*(" in line for line in compiled)
+    columns = ["l_quantity", "l_tax", "l_discount", "l_extendedprice"]
+    expected = tables("lineitem").select(*columns).toPandas()
+    got = run_dq_from_config(
+        spark, config("lineitem", *[(c, d, {"params": p}) for c, d, p in rules]), tables
+    ).collect()
+    for row, (column, _, params) in zip(got[:200], rules, strict=False):
+        assert row["failed"] == (expected[column] < params["min_val"]).sum()
+
+
+@pytest.mark.parametrize("threshold", [float("inf"), 100, "100"])
+def test_generous_thresholds(spark, threshold):
+    df = spark.createDataFrame([(None,)], "x int")
+    rules = config("t", ("x", "null_check", {"threshold": threshold}))
+    assert statuses(run_dq_from_config(spark, rules, frames({"t": df}))) == ["PASS"]
+
+
+def test_labels_of_any_text(spark):
+    name = "it's \\ \"odd\" — ü"
+    df = spark.range(2)
+    rules = config(name, (name, "custom_expression_check", {"params": {"expression": "id < 5"}}))
+    row = run_dq_from_config(spark, rules, frames({name: df})).first()
+    assert (row["table"], row["column"], row["status"]) == (name, name, "PASS")
+
+
 def test_isolation_takes_few_jobs(spark, monkeypatch):
     df = spark.createDataFrame([("a", i) for i in range(10)], "x string, y int")
     good = [("y", "range_check", {"params": {"min_val": i}, "threshold": 100}) for i in range(31)]
