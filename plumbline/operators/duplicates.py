@@ -9,12 +9,16 @@ from pyspark.sql import types as T
 from plumbline.functions.names import column_named
 from plumbline.rules import RuleContext, SetRule, dq_check
 
-_PRINT, _ROWS = "__print", "__rows"
+_PRINT, _ROWS, _LISTED = "__print", "__rows", "__listed"
 
 # Estimated bytes of key data per row from which rows are first told apart by fingerprint.
 WIDE_ROW_BYTES = 64
 _FIXED_BYTES, _TEXT_BYTES = 8, 32
 
+# Repeated fingerprints (8 bytes each) that may be broadcast. With more of them all rows are
+# grouped whole.
+MOST_LISTED = 2**19
+
 
 def _can_fingerprint(data_type: T.DataType) -> bool:
     """Types whose equal values always hash alike."""
@@ -59,16 +63,24 @@ def _fingerprint_counts(rows: DataFrame) -> DataFrame:
     """Shuffle 8-byte fingerprints; only rows whose fingerprint repeats travel whole.
 
     Equal rows have equal fingerprints, so every duplicate is among those rows, and grouping
-    them by all their columns sorts out chance collisions: the count is exact.
+    them by all their columns sorts out chance collisions: the count is exact. The list of
+    repeated fingerprints is bounded, so broadcasting it is safe, and it spares the rows the
+    shuffle of a join. If it overflows, every row is a suspect. Both groupings combine on the
+    map side, so a group that holds a third of all rows is no burden to one task.
     """
     values = rows.columns
     printed = rows.withColumn(_PRINT, F.xxhash64(*values))
-    per_print = printed.groupBy(_PRINT).agg(F.count("*").alias(_ROWS))
-    repeated = per_print.where(F.col(_ROWS) > 1).select(_PRINT)
-    suspects = printed.join(repeated, _PRINT, "left_semi").select(*values)
+    repeated = printed.groupBy(_PRINT).agg(F.count("*").alias(_ROWS)).where(F.col(_ROWS) > 1)
+    listed = repeated.select(_PRINT).limit(MOST_LISTED + 1)
+    overflow = listed.agg(F.count("*") > MOST_LISTED).scalar()
+    suspects = (
+        printed.join(F.broadcast(listed.withColumn(_LISTED, F.lit(True))), _PRINT, "left")
+        .where(F.col(_LISTED) | overflow)
+        .select(*values)
+    )
     failed = _equal_rows(suspects).agg(F.count_if(F.col(_ROWS) > 1).alias("failed"))
-    total = per_print.agg(F.coalesce(F.sum(_ROWS), F.lit(0)).alias("total"))
-    return failed.withColumn("total", total.scalar())
+    # Counting rows reads no columns: much cheaper than adding up the fingerprint groups again.
+    return failed.withColumn("total", rows.agg(F.count("*")).scalar())
 
 
 def duplicate_groups(df: DataFrame, columns: list[str], strategy: str = "auto") -> DataFrame:

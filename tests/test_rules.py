@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline import frames, run_check
-from plumbline.operators import value_sets
+from plumbline.operators import duplicates, value_sets
 from plumbline.operators.duplicates import duplicate_groups
 
 
@@ -239,18 +239,20 @@ class TestDuplicates:
         df = spark.sql("SELECT map('a', 1) AS m, 'x' AS t FROM range(2)")
         assert duplicate_groups(df, df.columns).first()["failed"] == 1
 
-    @pytest.mark.parametrize("threshold", ["-1", "10MB"])
-    def test_hot_group(self, spark, threshold):
+    @pytest.mark.parametrize("most_listed", [0, 2, 3, 1000])
+    def test_hot_group_with_any_length_of_list(self, spark, monkeypatch, most_listed):
+        """A group of a third of the rows and 2 small ones; the list of prints may overflow."""
         df = spark.range(20_000).select(
-            F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("a"),
+            F.when(F.col("id") % 3 == 0, F.lit("hot"))
+            .when(F.col("id") < 5, F.lit("pair"))
+            .when(F.col("id") > 19_990, F.lit("few"))
+            .otherwise(F.col("id").cast("string"))
+            .alias("a"),
             F.lit("same").alias("b"),
         )
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-        try:
-            row = duplicate_groups(df, df.columns, "fingerprint").first()
-        finally:
-            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        assert (row["failed"], row["total"]) == (1, 20_000)
+        monkeypatch.setattr(duplicates, "MOST_LISTED", most_listed)
+        row = duplicate_groups(df, df.columns, "fingerprint").first()
+        assert (row["failed"], row["total"]) == (3, 20_000)
 
 
 def test_awkward_column_names(spark):
