@@ -11,9 +11,9 @@ from plumbline.rules import RuleContext, SetRule, dq_check
 
 _PRINT, _ROWS, _LISTED = "__print", "__rows", "__listed"
 
-# Estimated bytes of key data per row from which rows are first told apart by fingerprint.
-WIDE_ROW_BYTES = 64
-_FIXED_BYTES, _TEXT_BYTES = 8, 32
+# From this many fixed-width columns on rows are first told apart by fingerprint. A text or
+# another column without a width may be of any length, so one of them is enough.
+WIDE_ROW_COLUMNS = 8
 
 # Repeated fingerprints (8 bytes each) that may be broadcast. With more of them all rows are
 # grouped whole.
@@ -42,9 +42,8 @@ def _can_fingerprint(data_type: T.DataType) -> bool:
 
 
 def _is_wide(types: list[T.DataType]) -> bool:
-    variable = (T.StringType, T.BinaryType, T.ArrayType, T.StructType)
-    size = sum(_TEXT_BYTES if isinstance(t, variable) else _FIXED_BYTES for t in types)
-    return size >= WIDE_ROW_BYTES
+    unsized = (T.StringType, T.BinaryType, T.ArrayType, T.StructType)
+    return len(types) >= WIDE_ROW_COLUMNS or any(isinstance(t, unsized) for t in types)
 
 
 def _equal_rows(rows: DataFrame) -> DataFrame:

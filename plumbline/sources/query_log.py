@@ -2,22 +2,33 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.functions.patterns import first_table_name
 
 
+def _moment(as_of: datetime | None, data_type: T.DataType) -> Column:
+    """``as_of`` as a literal of the log's time type; without a zone it is session time."""
+    if as_of is None:
+        return F.current_timestamp().cast(data_type)
+    if as_of.tzinfo is not None:
+        as_of = as_of.astimezone(UTC)
+        if isinstance(data_type, T.TimestampNTZType):
+            as_of = as_of.replace(tzinfo=None)
+    return F.lit(as_of.isoformat(sep=" ")).cast(data_type)
+
+
 def query_log_window(log: DataFrame, as_of: datetime | None = None, days: int = 1) -> DataFrame:
     """Queries started in the ``days`` up to ``as_of`` (now), both ends included.
 
     The bounds are literals of the column's own type, so the filter reaches the scan; on a
     log partitioned by day Spark skips the other partitions as far as their statistics tell.
     """
-    end: Column = F.current_timestamp() if as_of is None else F.lit(as_of)
-    end = end.cast(log.schema["start_time"].dataType)
+    end = _moment(as_of, log.schema["start_time"].dataType)
     start = end - F.make_interval(days=F.lit(days))
     return log.where(F.col("start_time").between(start, end))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,8 +16,11 @@ def catalog_tables(spark: SparkSession) -> TableResolver:
 
 
 def parquet_tables(spark: SparkSession, directory: str) -> TableResolver:
-    """``name`` is the Parquet file or folder ``directory/name.parquet``."""
-    return lambda name: spark.read.parquet(f"{directory.rstrip('/')}/{name}.parquet")
+    """``name`` is the Parquet file or folder ``directory/name.parquet``.
+
+    A table is listed once: a resolver is meant for one run and shows the files of that time.
+    """
+    return cache(lambda name: spark.read.parquet(f"{directory.rstrip('/')}/{name}.parquet"))
 
 
 def frames(named: Mapping[str, DataFrame], otherwise: TableResolver | None = None) -> TableResolver:

@@ -230,6 +230,9 @@ def test_query_history(spark, time_type):
         "'w' AS warehouse_name",
         "7 AS execution_time",
     )
+    assert query_history(log, "db").count() == 0  # nothing started since yesterday
+    east = datetime(2024, 3, 2, 5, 0, tzinfo=timezone(timedelta(hours=5)))
+    assert query_history(log, "db", east).count() == 3
     report = query_history(log, "db", datetime(2024, 3, 2))
     assert [(r["query_id"], r["table_name"]) for r in report.collect()] == [
         ("2", None),
