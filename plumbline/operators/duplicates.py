@@ -9,8 +9,6 @@ from pyspark.sql import types as T
 from plumbline.functions.names import column_named
 from plumbline.rules import RuleContext, SetRule, dq_check
 
-_PRINT, _ROWS, _LISTED = "__print", "__rows", "__listed"
-
 # From this many fixed-width columns on rows are first told apart by fingerprint. A text or
 # another column without a width may be of any length, so one of them is enough.
 WIDE_ROW_COLUMNS = 8
@@ -48,13 +46,12 @@ def _is_wide(types: list[T.DataType]) -> bool:
 
 def _equal_rows(rows: DataFrame) -> DataFrame:
     # The alias cannot meet a data column of the name "count".
-    return rows.groupBy(*rows.columns).agg(F.count("*").alias(_ROWS))
+    return rows.groupBy(*rows.columns).agg(F.expr("count(*) AS __rows"))
 
 
 def _direct_counts(rows: DataFrame) -> DataFrame:
     return _equal_rows(rows).agg(
-        F.count_if(F.col(_ROWS) > 1).alias("failed"),
-        F.coalesce(F.sum(_ROWS), F.lit(0)).alias("total"),
+        F.expr("count_if(__rows > 1) AS failed"), F.expr("coalesce(sum(__rows), 0) AS total")
     )
 
 
@@ -68,18 +65,18 @@ def _fingerprint_counts(rows: DataFrame) -> DataFrame:
     map side, so a group that holds a third of all rows is no burden to one task.
     """
     values = rows.columns
-    printed = rows.withColumn(_PRINT, F.xxhash64(*values))
-    repeated = printed.groupBy(_PRINT).agg(F.count("*").alias(_ROWS)).where(F.col(_ROWS) > 1)
-    listed = repeated.select(_PRINT).limit(MOST_LISTED + 1)
-    overflow = listed.agg(F.count("*") > MOST_LISTED).scalar()
+    printed = rows.withColumn("__print", F.xxhash64(*values))
+    per_print = printed.groupBy("__print").agg(F.expr("count(*) AS __rows"))
+    listed = per_print.where("__rows > 1").select("__print").limit(MOST_LISTED + 1)
+    overflow = listed.agg(F.expr(f"count(*) > {MOST_LISTED}")).scalar()
     suspects = (
-        printed.join(F.broadcast(listed.withColumn(_LISTED, F.lit(True))), _PRINT, "left")
-        .where(F.col(_LISTED) | overflow)
+        printed.join(F.broadcast(listed.selectExpr("*", "true AS __listed")), "__print", "left")
+        .where(F.col("__listed") | overflow)
         .select(*values)
     )
-    failed = _equal_rows(suspects).agg(F.count_if(F.col(_ROWS) > 1).alias("failed"))
+    failed = _equal_rows(suspects).agg(F.expr("count_if(__rows > 1) AS failed"))
     # Counting rows reads no columns: much cheaper than adding up the fingerprint groups again.
-    return failed.withColumn("total", rows.agg(F.count("*")).scalar())
+    return failed.withColumn("total", rows.agg(F.expr("count(*)")).scalar())
 
 
 def duplicate_groups(df: DataFrame, columns: list[str], strategy: str = "auto") -> DataFrame:

@@ -23,17 +23,15 @@ def count_missing(
     A null value has no key, not even a null one; ``null_fails`` says whether it counts.
     """
     rows = df.select(value.alias("value"), F.lit(True).alias("is_row"))
-    stacked = rows.union(keys.select(key, F.lit(False)))
-    per_value = stacked.groupBy("value").agg(
-        F.count_if(F.col("is_row")).alias("rows"),
-        F.count_if(~F.col("is_row")).alias("keys"),
+    per_value = (
+        rows.union(keys.select(key, F.lit(False)))
+        .groupBy("value")
+        .agg(F.expr("count_if(is_row) AS rows"), F.expr("count_if(NOT is_row) AS keys"))
     )
-    missing = (F.col("keys") == 0) & F.col("value").isNotNull()
-    if null_fails:
-        missing = missing | F.col("value").isNull()
+    missing = "value IS NOT NULL AND keys = 0" + (" OR value IS NULL" if null_fails else "")
     return per_value.agg(
-        F.coalesce(F.sum(F.when(missing, F.col("rows"))), F.lit(0)).alias("failed"),
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("total"),
+        F.expr(f"coalesce(sum(CASE WHEN {missing} THEN rows END), 0) AS failed"),
+        F.expr("coalesce(sum(rows), 0) AS total"),
     )
 
 
