@@ -21,6 +21,7 @@ from plumbline import (
     run_audit_job,
     run_dq_checks,
 )
+from plumbline.functions import exact_sum
 
 QUERIES: dict[str, Query] = {}
 
@@ -221,11 +222,9 @@ QUERIES["reconciliation_reordered"] = Query(
 
 
 def _source_sum(spark: SparkSession, tables: TableResolver) -> DataFrame:
-    from plumbline.functions import exact_sum
-
     orders = tables("orders")
-    total = exact_sum(F.col("o_totalprice"), orders.schema["o_totalprice"].dataType, scale=6)
-    return orders.agg(total.total.cast("string").alias("src_sum"))
+    exact = exact_sum("o_totalprice", orders.schema["o_totalprice"].dataType, scale=6)
+    return orders.agg(F.expr(f"CAST({exact.total} AS STRING) AS src_sum"))
 
 
 QUERIES["reconciliation_sum"] = Query(

@@ -1,7 +1,7 @@
 """Column helpers shared by the checks. Everything here builds JVM-side expressions."""
 
 from plumbline.functions.dates import spark_date_pattern
-from plumbline.functions.names import column_named, text_literal
+from plumbline.functions.names import column_named, name_sql, text_literal
 from plumbline.functions.patterns import first_table_name, matches_whole
 from plumbline.functions.sums import ExactSum, exact_sum, plain_text_sql
 
@@ -11,6 +11,7 @@ __all__ = [
     "exact_sum",
     "first_table_name",
     "matches_whole",
+    "name_sql",
     "plain_text_sql",
     "spark_date_pattern",
     "text_literal",

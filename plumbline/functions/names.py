@@ -6,18 +6,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def quoted(name: str) -> Column:
-    """The column called exactly ``name``, whatever characters it holds."""
-    return F.col("`" + name.replace("`", "``") + "`")
+def name_sql(df: DataFrame, name: str) -> str:
+    """SQL for the column ``name`` of ``df``, whatever characters it holds.
 
-
-def column_named(df: DataFrame, name: str) -> Column:
-    """``name`` as a column of ``df``; a dotted name that is no column is a struct path."""
+    A dotted name that is no column is a path into a struct.
+    """
     if not isinstance(name, str):
         raise TypeError(f"column name must be a string, got {type(name).__name__}")
     if "." in name and name not in df.columns:
-        return F.col(name)
-    return quoted(name)
+        return name
+    return "`" + name.replace("`", "``") + "`"
+
+
+def column_named(df: DataFrame, name: str) -> Column:
+    """The column ``name`` of ``df``; see ``name_sql``."""
+    return F.col(name_sql(df, name))
 
 
 def text_literal(text: str) -> str:

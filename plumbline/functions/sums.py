@@ -8,9 +8,8 @@ addition is exact.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DEFAULT_SUM_SCALE = 12
@@ -22,73 +21,73 @@ LIMB_BITS = 17
 
 @dataclass(frozen=True)
 class ExactSum:
-    """Aggregates over one column, and how its total is written in a comment."""
+    """SQL for aggregates over one column, and how its total is written in a comment."""
 
-    total: Column
+    total: str
     """Sum of the non-null values, NULL if there are none or it overflows."""
-    unsummable: Column
+    unsummable: str
     """Number of values with no decimal form: NaN, infinite or out of range."""
     kind: str
     """``integer``, ``decimal`` or ``float``."""
 
 
-def exact_sum(
-    column: Column, data_type: T.DataType, scale: int = DEFAULT_SUM_SCALE
-) -> ExactSum:
-    """Order-free sum of ``column``. Doubles count up to ``scale`` places after the point."""
-    none = F.lit(0).cast("long")
-    # One digit less than the widest decimal, so that the difference of two totals is exact.
+def exact_sum(value: str, data_type: T.DataType, scale: int = DEFAULT_SUM_SCALE) -> ExactSum:
+    """Order-free sum of the SQL ``value``. Doubles count up to ``scale`` places after the point."""
     if isinstance(data_type, T.IntegralType):
-        total = F.try_sum(column.cast(T.DecimalType(20, 0)))
-        return ExactSum(total.try_cast(T.DecimalType(37, 0)), none, "integer")
+        return ExactSum(_total(f"try_sum(CAST({value} AS DECIMAL(20, 0)))", 0), "0L", "integer")
     if isinstance(data_type, T.DecimalType):
-        total = F.try_sum(column).try_cast(T.DecimalType(37, min(data_type.scale, 37)))
-        return ExactSum(total, none, "decimal")
-    return _float_sum(column.cast("double"), scale)
+        return ExactSum(_total(f"try_sum({value})", min(data_type.scale, 37)), "0L", "decimal")
+    return _float_sum(f"CAST({value} AS DOUBLE)", scale)
 
 
-def _float_sum(value: Column, scale: int) -> ExactSum:
+def _total(total: str, places: int) -> str:
+    """One digit less than the widest decimal, so that the difference of two totals is exact."""
+    return f"try_cast({total} AS DECIMAL(37, {places}))"
+
+
+def _float_sum(value: str, scale: int) -> ExactSum:
     """Sum of doubles as decimals.
 
     Turning a double into a decimal goes through its text and costs far more than the scan. A
     value that is a whole number of 10^-places, of 15 digits at most, is the only short decimal
     at that double, so the whole number can be added instead. The other values are converted.
     """
-    wide = T.DecimalType(37, scale)
     places = min(SHORT_PLACES, scale)
-    small = F.abs(value) < float(10 ** (SHORT_DIGITS - places))
-    whole = F.when(small, F.rint(value * float(10**places)).cast("long"))
-    short = F.when(whole.cast("double") / float(10**places) == value, whole)
-    other = F.when(short.isNull(), value).try_cast(T.DecimalType(38, scale))
-
-    counted = F.count(short) + F.count(other)
-    short_total = (_whole_sum(short) * F.lit(10**-places).cast(T.DecimalType(places + 1, places)))
-    nothing = F.lit(0).cast(wide)
+    bound, unit = float(10 ** (SHORT_DIGITS - places)), float(10**places)
+    whole = f"CASE WHEN abs({value}) < {bound}D THEN CAST(rint({value} * {unit}D) AS BIGINT) END"
+    short = f"(CASE WHEN CAST({whole} AS DOUBLE) / {unit}D = {value} THEN {whole} END)"
+    other = f"try_cast(CASE WHEN {short} IS NULL THEN {value} END AS DECIMAL(38, {scale}))"
+
+    counted = f"(count({short}) + count({other}))"
+    short_total = f"{_whole_sum(short)} * {Decimal(1).scaleb(-places):f}BD"
+    # A part without values adds nothing; one that overflows leaves no total.
     parts = [
-        F.when(F.count(short) > 0, short_total.try_cast(wide)).otherwise(nothing),
-        F.when(F.count(other) > 0, F.try_sum(other).try_cast(wide)).otherwise(nothing),
+        f"CASE WHEN count({values}) > 0 THEN {_total(total, scale)} ELSE 0 END"
+        for values, total in ((short, short_total), (other, f"try_sum({other})"))
     ]
-    total = F.when(counted > 0, F.try_add(parts[0], parts[1]).try_cast(wide))
-    return ExactSum(total, F.count(value) - counted, "float")
+    total = _total(f"try_add({parts[0]}, {parts[1]})", scale)
+    return ExactSum(
+        f"CASE WHEN {counted} > 0 THEN {total} END", f"(count({value}) - {counted})", "float"
+    )
 
 
-def _whole_sum(whole: Column) -> Column:
+def _whole_sum(whole: str) -> str:
     """Sum of whole numbers below 10^15, as a decimal.
 
     Added in three limbs of at most 17 bits: their sums fit a long up to 10^13 rows, and an
     overflow beyond gives NULL.
     """
-    low_bits = F.lit(2**LIMB_BITS - 1).cast("long")
+    low_bits = 2**LIMB_BITS - 1
     limbs = [
-        F.try_sum(whole.bitwiseAND(low_bits)),
-        F.try_sum(F.shiftright(whole, LIMB_BITS).bitwiseAND(low_bits)),
-        F.try_sum(F.shiftright(whole, 2 * LIMB_BITS)),
+        f"{whole} & {low_bits}",
+        f"shiftright({whole}, {LIMB_BITS}) & {low_bits}",
+        f"shiftright({whole}, {2 * LIMB_BITS})",
     ]
     terms = [
-        limb.cast(T.DecimalType(19, 0)) * F.lit(2 ** (LIMB_BITS * i)).cast(T.DecimalType(11, 0))
+        f"CAST(try_sum({limb}) AS DECIMAL(19, 0)) * {2 ** (LIMB_BITS * i)}BD"
         for i, limb in enumerate(limbs)
     ]
-    return (terms[0] + terms[1] + terms[2]).cast(T.DecimalType(31, 0))
+    return f"CAST({' + '.join(terms)} AS DECIMAL(31, 0))"
 
 
 def plain_text_sql(total: str, kind: str) -> str:

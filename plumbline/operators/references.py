@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.names import column_named, quoted
+from plumbline.functions.names import column_named
 from plumbline.rules import RuleContext, SetRule, dq_check
 
 
@@ -47,4 +47,4 @@ def not_in_list(ctx: RuleContext, column: str, allowed: list) -> SetRule:
     """Membership in a list too long for an expression; a null value passes."""
     listed = ctx.spark.createDataFrame([(v,) for v in allowed], ["allowed"])
     value = ctx.column(column)
-    return SetRule(count_missing(ctx.df, value, listed, quoted("allowed"), null_fails=False))
+    return SetRule(count_missing(ctx.df, value, listed, F.col("allowed"), null_fails=False))

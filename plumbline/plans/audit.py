@@ -14,7 +14,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.names import column_named, quoted, text_literal
+from plumbline.functions.names import column_named, name_sql, text_literal
 from plumbline.functions.sums import DEFAULT_SUM_SCALE, exact_sum, plain_text_sql
 from plumbline.operators.duplicates import duplicate_groups
 from plumbline.results import (
@@ -185,16 +185,16 @@ def _reconciliation(
         counted, total, bad = f"count_{i}", f"sum_{i}", f"unsummable_{i}"
         sides, kinds = [], []
         for df in (source, target):
-            value = column_named(df, name)
-            exact = exact_sum(value, df.select(value).schema[0].dataType, sum_scale)
-            count = F.count(value) if mode == "non_null" else F.count("*")
+            value = name_sql(df, name)
+            exact = exact_sum(value, df.select(F.col(value)).schema[0].dataType, sum_scale)
+            count = f"count({value})" if mode == "non_null" else "count(*)"
             # Overflow leaves no total although there are values; that is an error as well.
-            overflow = (F.count(value) > 0) & exact.total.isNull()
+            overflow = f"CAST(count({value}) > 0 AND {exact.total} IS NULL AS BIGINT)"
             sides.append(
                 [
-                    count.alias(counted),
-                    exact.total.alias(total),
-                    F.greatest(exact.unsummable, overflow.cast("long")).alias(bad),
+                    F.expr(f"{count} AS {counted}"),
+                    F.expr(f"{exact.total} AS {total}"),
+                    F.expr(f"greatest({exact.unsummable}, {overflow}) AS {bad}"),
                 ]
             )
             kinds.append("float" if mode == "non_null" else exact.kind)
@@ -215,7 +215,7 @@ def _timeliness(target: DataFrame, stamp: _Stamp, expected_lag_days: int) -> _Me
     lag = f"datediff(DATE'{stamp.as_of.date()}', latest)"
     on_time = _pass_if(f"{lag} <= {int(expected_lag_days)}")
     return _Measures(
-        target=[F.max(quoted(BUSINESS_DAY).cast("date")).alias("latest")],
+        target=[F.max(F.col(BUSINESS_DAY).cast("date")).alias("latest")],
         records=[
             _record(
                 TIMELINESS,

@@ -49,8 +49,8 @@ def test_first_table(spark, query, table):
 
 def summed(spark, values, data_type, **options):
     df = spark.createDataFrame([(v,) for v in values], f"x {data_type}")
-    total = exact_sum(F.col("x"), df.schema["x"].dataType, **options)
-    sums = df.agg(total.total.alias("t"), total.unsummable.alias("bad"))
+    total = exact_sum("x", df.schema["x"].dataType, **options)
+    sums = df.agg(F.expr(f"{total.total} AS t"), F.expr(f"{total.unsummable} AS bad"))
     return sums.selectExpr("*", f"{plain_text_sql('t', total.kind)} AS text").first()
 
 
@@ -109,7 +109,7 @@ def test_sum_of_any_doubles_keeps_under_partitioning(spark):
     pick = random.Random(5)
     values = [pick.uniform(-1, 1) * 10 ** pick.randrange(-8, 12) for _ in range(5000)]
     frame = spark.createDataFrame([(v,) for v in values], "x double")
-    total = exact_sum(F.col("x"), frame.schema["x"].dataType).total.alias("t")
+    total = F.expr(f"{exact_sum('x', frame.schema['x'].dataType).total} AS t")
     totals = {frame.repartition(n).agg(total).first()["t"] for n in (1, 3, 7)}
     assert len(totals) == 1
     assert float(totals.pop()) == pytest.approx(sum(values), rel=1e-9)
