@@ -45,6 +45,8 @@ def referential_check(ctx: RuleContext, column: str, ref_table: str, ref_col: st
 
 def not_in_list(ctx: RuleContext, column: str, allowed: list) -> SetRule:
     """Membership in a list too long for an expression; a null value passes."""
+    if {type(v) for v in allowed} == {int, float}:
+        allowed = [float(v) for v in allowed]
     listed = ctx.spark.createDataFrame([(v,) for v in allowed], ["allowed"])
     value = ctx.column(column)
     return SetRule(count_missing(ctx.df, value, listed, F.col("allowed"), null_fails=False))

@@ -171,6 +171,23 @@ def test_run_keeps_the_order(target):
     assert records[-1]["failed_rows"] == 2
 
 
+def test_run_takes_three_scans(spark, sf_dir):
+    """The target once for all aggregates and once for its keys, the source once."""
+    orders = parquet_tables(spark, sf_dir)("orders").withColumn(
+        "edi_business_day", F.col("o_orderdate")
+    )
+    frame = run_dq_checks(
+        orders,
+        orders,
+        DAY,
+        ["o_orderkey"],
+        ["o_orderkey", "o_custkey", "o_orderdate"],
+        ["o_totalprice", "o_custkey"],
+    )
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("Relation [" in line for line in plan.splitlines()) == 3
+
+
 def test_run_with_nothing_to_check(target):
     bare = target.drop("edi_business_day")
     frame = run_dq_checks(bare, bare, DAY)

@@ -196,6 +196,32 @@ def test_long_list_equals_inline(spark, monkeypatch, allowed):
     assert run_check(df, "value_set_check", "x", allowed_values=allowed).first() == inline
 
 
+def test_long_list_of_mixed_numbers(spark, monkeypatch):
+    monkeypatch.setattr(value_sets, "LONGEST_INLINE_LIST", 0)
+    df = column_of(spark, [1.0, 2.5, 3.0], "double")
+    assert failed(df, "value_set_check", allowed_values=[1, 2.5]) == 1
+
+
+@pytest.mark.parametrize(
+    ("values", "value_type", "keys", "key_type", "expected"),
+    [
+        (["1", "2", None], "string", [1, 3], "int", 2),
+        ([1.0, 2.5], "double", [1, 3], "long", 1),
+        ([date(2024, 1, 1), date(2024, 1, 2)], "date", [datetime(2024, 1, 1)], "timestamp", 1),
+        ([float("nan"), -0.0], "double", [float("nan"), 0.0], "double", 0),
+    ],
+)
+def test_keys_of_another_type_meet_as_in_a_join(
+    spark, values, value_type, keys, key_type, expected
+):
+    df = column_of(spark, values, value_type)
+    ref = spark.createDataFrame([(k,) for k in keys], f"k {key_type}")
+    assert df.join(ref, df["x"] == ref["k"], "left_anti").count() == expected
+    tables = frames({"ref": ref})
+    row = run_check(df, "referential_check", "x", tables=tables, ref_table="ref", ref_col="k")
+    assert row.first()["failed"] == expected
+
+
 class TestDuplicates:
     ROWS = [
         ("a", 1, 0.0),
