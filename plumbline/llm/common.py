@@ -114,22 +114,15 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def shingle_starts(starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Where each run of ``n`` words begins, and the document it is in."""
-    many = np.maximum(np.diff(starts) - n + 1, 0)
-    doc = np.repeat(np.arange(len(many)), many)
-    first = np.repeat(starts[:-1], many)
-    within = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
-    return first + within, doc
-
-
 def shingles(words: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all runs of ``n`` words that stay in one document, and the document of each."""
-    at, doc = shingle_starts(starts, n)
-    h = np.full(len(at), n, np.uint64)
+    """Hashes of all runs of ``n`` words that stay in one document, and where each begins."""
+    many = max(0, len(words) - n + 1)
+    h = np.full(many, n, np.uint64)
     for i in range(n):
-        h = mixed(h * np.uint64(0x9E3779B97F4A7C15) + words[at + i])
-    return h, doc
+        h = h * np.uint64(0x9E3779B97F4A7C15) + words[i : i + many]
+    left = np.repeat(starts[1:], np.diff(starts)) - np.arange(len(words))  # words left in the text
+    at = np.flatnonzero(left[:many] >= n)
+    return mixed(h[at]), at
 
 
 def ordered_buckets(frame: DataFrame, key: str, parts: int | None = None) -> tuple[Column, int]:
@@ -146,3 +139,13 @@ def ordered_buckets(frame: DataFrame, key: str, parts: int | None = None) -> tup
         return F.lit(0), 1
     bucket = F.coalesce(F.size(F.filter(bounds, lambda c: c <= F.col(key))), F.lit(0))
     return F.when(F.col(key).isNull(), 0).otherwise(bucket).cast("int"), len(cuts) + 1
+
+
+def without(docs: DataFrame, bad: DataFrame) -> DataFrame:
+    """The documents, with all their columns, that are not in ``bad`` (``doc_id``, ``text_hash``)."""
+    named = bad.select(
+        F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash")
+    ).distinct()
+    text_hash = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
+    same = docs["doc_id"].cast("long").eqNullSafe(named["_bad_id"])
+    return docs.join(named, same & (text_hash == named["_bad_hash"]), "left_anti")

@@ -7,13 +7,80 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import near_duplicates
+from plumbline.llm import (
+    decontamination,
+    fingerprints,
+    mixing,
+    near_duplicates,
+    token_files,
+    toxicity,
+    warc,
+)
+from plumbline.llm.common import shared_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    """The vocabulary file that the token queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint, its edited text's, and how alike neighbours are."""
+    prints = fingerprints.with_neighbour_counts(
+        fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+    )
+    return prints.withColumns(
+        {c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")}
+    )
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page, written to archives and read back from them."""
+    archives = warc.write_warc(table(spark, sf_dir, "pages"), shared_folder(spark))
+    return warc.read_warc(archives).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, learned from four fifths of the labels."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = toxicity.fold(F.col("doc_id"), 5) == 0
+    scored = toxicity.toxicity(docs, toxicity.learn(docs, labels, ~held_out))
+    return scored.select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items contained in documents."""
+    found = decontamination.contained_items(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return found.drop("text_hash")
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens, written to files and read back from them."""
+    folder = shared_folder(spark)
+    files = token_files.write_tokens(table(spark, sf_dir, "documents"), folder, tokenizer_path())
+    return token_files.token_digests(token_files.read_tokens(files))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in the mixture of sources, weighted by the root of their sizes."""
+    return mixing.mix(table(spark, sf_dir, "documents"), columns=["doc_id", "source"])
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's SimHash and near-duplicate class."""
     found = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
@@ -25,7 +92,61 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_fingerprints": op1_fingerprints,
+    "op2_warc": op2_warc,
+    "op3_toxicity": op3_toxicity,
+    "op4_decontamination": op4_decontamination,
+    "op5_token_files": op5_token_files,
+    "op9_mixing": op9_mixing,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
-SQL: dict[str, str] = {}
+#: Lower-cases A-Z only.
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = (
+    "list_filter(regexp_split_to_array(" + _LOWER.format("coalesce(text, '')")
+    + r", '[ \t\n\x0B\f\r]+'), lambda x: x <> '')"
+)
+
+#: Four bits of each hexadecimal digit, in order.
+_NIBBLES = "".join(f"{i:04b}" for i in range(16))
+_BASE32 = (
+    "array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
+    "1 + list_sum(list_transform(range(0, 5), lambda k: "
+    "CAST(substr(bits, i * 5 + k + 1, 1) AS INTEGER) << (4 - k)))::INTEGER, 1)), '')"
+)
+
+SQL: dict[str, str] = {
+    "op2_warc": f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+h AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS sha,
+             max(page_id) OVER (PARTITION BY html) AS latest FROM p),
+b AS (SELECT *, array_to_string(list_transform(range(1, 41), lambda i: substr('{_NIBBLES}',
+             (instr('0123456789abcdef', substr(sha, i, 1)) - 1) * 4 + 1, 4)), '') AS bits FROM h)
+SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id = latest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> latest THEN latest END AS refers_to
+FROM b
+""",
+    "op4_decontamination": f"""
+WITH items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+sized AS (SELECT item_id, w, least(5, len(w)) AS n FROM items WHERE len(w) > 0),
+parts AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS s
+  FROM (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM sized)
+),
+totals AS (SELECT item_id, count(*) AS n_shingles FROM parts GROUP BY item_id),
+texts AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+lengths AS (SELECT DISTINCT n FROM sized),
+runs AS (
+  SELECT DISTINCT doc_id, n, array_to_string(w[i:i + n - 1], ' ') AS s
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM texts, lengths)
+),
+shared AS (
+  SELECT doc_id, item_id, count(*) AS n_shared FROM runs JOIN parts USING (n, s)
+  GROUP BY doc_id, item_id
+)
+SELECT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS containment
+FROM shared JOIN totals USING (item_id) WHERE n_shared / n_shingles >= 0.8
+""",
+}
