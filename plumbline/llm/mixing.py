@@ -24,7 +24,7 @@ from plumbline.llm.common import cut, ordered_buckets
 
 BLOCK_DOCS = 8
 #: Slots of a period at least; a period has at least four for each source.
-PERIOD = 1024
+PERIOD = 1 << 14
 #: Sources are listed on the driver; more than this many are refused.
 MOST_SOURCES = 10_000
 

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from plumbline.llm import (
     decontamination,
     fingerprints,
+    language,
     mixing,
     near_duplicates,
+    quality,
     token_files,
     toxicity,
     warc,
@@ -76,6 +78,29 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digests(token_files.read_tokens(files))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality, learned from three quarters of the labels."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = toxicity.fold(F.col("doc_id"), 4) == 2
+    scored = quality.quality(docs, quality.learn(docs, labels, ~held_out))
+    return scored.select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language, learned from three quarters of the documents."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = toxicity.fold(F.col("doc_id"), 4) == 2
+    found = language.languages(docs, language.learn(docs, ~held_out))
+    return found.select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in the mixture of sources, weighted by the root of their sizes."""
     return mixing.mix(table(spark, sf_dir, "documents"), columns=["doc_id", "source"])
@@ -97,6 +122,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_decontamination": op4_decontamination,
     "op5_token_files": op5_token_files,
+    "op6_quality": op6_quality,
+    "op8_language": op8_language,
     "op9_mixing": op9_mixing,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
