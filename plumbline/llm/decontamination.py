@@ -85,8 +85,8 @@ def bloom(hashes: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
 
     words = hashes.select("hash").mapInArrow(run, "word long, mask long")
     table = np.zeros(bits // 64, np.int64)
-    for word, mask in words.groupBy("word").agg(F.bit_or("mask")).collect():
-        table[word] = mask
+    found = words.groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
+    table[found["word"].to_numpy()] = found["mask"].to_numpy()
     return table.view(np.uint64)
 
 

@@ -14,6 +14,7 @@ from plumbline.llm import (
     mixing,
     near_duplicates,
     quality,
+    repeats,
     token_files,
     toxicity,
     warc,
@@ -91,6 +92,18 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without strings of 200 bytes that occur elsewhere."""
+    kept = repeats.without_repeats(table(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's language, learned from three quarters of the documents."""
     docs = table(spark, sf_dir, "documents")
@@ -123,6 +136,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontamination": op4_decontamination,
     "op5_token_files": op5_token_files,
     "op6_quality": op6_quality,
+    "op7_repeats": op7_repeats,
     "op8_language": op8_language,
     "op9_mixing": op9_mixing,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
