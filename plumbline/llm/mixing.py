@@ -119,8 +119,10 @@ def mix(
     block: int = BLOCK_DOCS,
     period: int = PERIOD,
     columns: list[str] | None = None,
+    names: tuple[str, str, str] = ("block", "slot", "position"),
 ) -> DataFrame:
-    """Every row with its ``block`` (of its source), ``slot`` and ``position`` in the mixture.
+    """Every row with its ``block`` (of its source), ``slot`` and ``position`` in the mixture, under
+    the given ``names``.
 
     Without ``weights`` a source weighs its number of rows to the power ``temperature``; a source
     that the weights leave out weighs as much as the least. Rows of a source are taken in
@@ -129,7 +131,7 @@ def mix(
     they come before the new ones, which take the place of columns of the same names). An empty
     table gives no row.
     """
-    new = ["block", "slot", "position"]
+    new = list(names)
     kept = [c for c in columns or docs.columns if c not in new]
     rows = docs.select(
         *kept,

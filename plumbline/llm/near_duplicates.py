@@ -76,7 +76,8 @@ def signatures(fp: Column, max_bits: int) -> Column:
         if width < 64:
             part = part.bitwiseAND(F.lit((1 << width) - 1).cast("long"))
         for i in range(width):
-            kept = part.bitwiseAND(F.lit(~(1 << i)).cast("long"))
+            others = (1 << 63) - 1 if i == 63 else ~(1 << i)  # as a signed number
+            kept = part.bitwiseAND(F.lit(others).cast("long"))
             if width > 55:  # one segment: no room for the tag
                 own.append(F.xxhash64(F.lit(i), kept))
             else:

@@ -16,13 +16,15 @@ from __future__ import annotations
 
 import struct
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import pieces, texts_of, words_of
@@ -34,7 +36,8 @@ END_ID = 1
 #: Tokens after which a task begins a new file.
 FILE_TOKENS = 1 << 23
 #: Distinct words whose ids a task keeps.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 600_000
+_TAIL = "^(?P<core>.*[a-z])(?P<tail>[.,!#$%&*]+)$"
 _TYPES = {8: np.dtype("<u1"), 16: np.dtype("<u2")}
 
 
@@ -141,8 +144,10 @@ class TokenFile:
 class WordIds:
     """Ids of texts, by way of the ids of their distinct words.
 
-    Right for tokenizers that drop white space and never look across it, as those with word ends
-    do: the ids of a text are those of its words in turn. Others encode whole texts.
+    ``by_words`` is right for tokenizers that drop white space, split between letters and
+    punctuation, lower-case, and look across none of this, as those with word ends do: the ids of
+    a text are those of its words in turn, each without the punctuation at its end, and of that
+    punctuation. Other tokenizers encode whole texts.
     """
 
     def __init__(self, path: str, by_words: bool = True, end_id: int | None = END_ID):
@@ -156,7 +161,7 @@ class WordIds:
         self._known: dict[str, int] = {}
         self._pool, self._used, self._count = np.zeros(1 << 16, np.uint32), 0, 0
         self._at, self._len = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
-        self._add([self._end])  # word 0 ends a document
+        self._add([self._end, []])  # number 0 ends a document, number 1 is nothing
 
     def _add(self, lists: list[list[int]]) -> None:
         sizes = np.array([len(x) for x in lists], np.int64)
@@ -171,6 +176,22 @@ class WordIds:
         self._at[self._count : count] = self._used + np.cumsum(sizes) - sizes
         self._used, self._count = used, count
 
+    def _numbers(self, names: pa.Array) -> np.ndarray:
+        """The number of each name among those whose ids are kept; 1 for null."""
+        coded = names.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        known = self._known.get
+        own = np.array([known(w, -1) for w in distinct], np.int64)
+        missing = np.flatnonzero(own < 0)
+        if len(missing):
+            first, new = self._count, [distinct[i] for i in missing.tolist()]
+            found = self._tokenizer.encode_batch_fast(new, add_special_tokens=False)
+            self._add([x.ids for x in found])
+            self._known.update(zip(new, range(first, self._count)))
+            own[missing] = np.arange(first, self._count)
+        at = coded.indices.fill_null(len(distinct)).to_numpy(zero_copy_only=False)
+        return np.append(own, 1)[at]
+
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, and how many each has, with the end id."""
         if not self._by_words:
@@ -178,21 +199,19 @@ class WordIds:
             own = [np.array(x.ids + self._end, np.uint32) for x in found]
             return np.concatenate([*own, np.zeros(0, np.uint32)]), np.array([len(x) for x in own])
         words = words_of(texts, lower=False)
-        names = words.distinct.to_pylist()
         if len(self._known) > KEPT_WORDS:
             self._clear()
-        new = [w for w in names if w not in self._known]
-        if new:
-            first = self._count
-            found = self._tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            self._add([x.ids for x in found])
-            self._known.update((w, first + i) for i, w in enumerate(new))
-        own = np.fromiter((self._known[w] for w in names), np.int64, len(names))
-        codes = np.insert(own[words.codes], words.starts[1:], 0)
+        # Special tokens are matched before letters are lower-cased.
+        special = pc.match_substring(words.distinct, "<|")
+        names = pc.if_else(special, words.distinct, pc.ascii_lower(words.distinct))
+        parts = pc.extract_regex(names, _TAIL)
+        core = pc.coalesce(pc.struct_field(parts, "core"), names)
+        codes = np.stack((self._numbers(core), self._numbers(pc.struct_field(parts, "tail"))), axis=1)
+        codes = np.insert(codes[words.codes].reshape(-1), 2 * words.starts[1:], 0)
         size = self._len[codes]
         ends = np.cumsum(size)
         place = np.repeat(self._at[codes] - (ends - size), size) + np.arange(int(size.sum()))
-        last = ends[words.starts[1:] + np.arange(len(words.starts) - 1)]
+        last = ends[2 * words.starts[1:] + np.arange(len(words.starts) - 1)]
         return self._pool[place], np.diff(last, prepend=0)
 
 
@@ -215,11 +234,12 @@ def write_tokens(
     tokenizer: str,
     by_words: bool = True,
     end_id: int | None = END_ID,
-    order: str = "doc_id",
+    order: Sequence[Column] | None = None,
     chunk_bits: int = CHUNK_BITS,
     file_tokens: int = FILE_TOKENS,
 ) -> DataFrame:
-    """Encodes whole texts and writes their ids in ascending ``order``; gives a row for each file.
+    """Encodes whole texts and writes their ids in ascending ``order`` (default: doc_id); gives a
+    row for each file.
 
     Columns: ``part``, ``file``, ``path``, ``documents``, ``tokens``, ``base`` (tokens of all files
     before it). Texts that are null or empty have the end id alone. Rows with a null order come
@@ -229,8 +249,10 @@ def write_tokens(
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = texts_of(docs, F.col(order).cast("long").alias("place"))
-    dealt = rows.repartitionByRange(parts, "place").sortWithinPartitions("place", "doc_id", "text")
+    places = [c.alias(f"place{i}") for i, c in enumerate(order or [F.col("doc_id").cast("long")])]
+    names = [f"place{i}" for i in range(len(places))]
+    rows = texts_of(docs, *places)
+    dealt = rows.repartitionByRange(parts, *names).sortWithinPartitions(*names, "doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = open_folder(folder)
@@ -251,7 +273,7 @@ def write_tokens(
             )
 
         encode = encoder(tokenizer, by_words, end_id)
-        for piece in pieces(batches):
+        for piece in pieces(batches, limit=1 << 22):
             flat, own = encode(piece.column("text"))
             ids += piece.column("doc_id").to_pylist()
             sizes.append(own)
@@ -272,6 +294,17 @@ def write_tokens(
     return spark.createDataFrame(out, f"{shape}, base long")
 
 
+def file_order(docs: DataFrame) -> list[Column] | None:
+    """The order in which a Parquet table's part files hold its rows; None for other tables."""
+    name, row = F.col("_metadata.file_name"), F.col("_metadata.row_index")
+    try:
+        docs.select(name, row)
+    except AnalysisException:
+        return None
+    part = F.regexp_extract(name, r"part-(\d+)", 1).try_cast("long")
+    return [part, name, row]
+
+
 def read_tokens(files: DataFrame) -> DataFrame:
     """``doc_id``, ``start`` (place of its first token among all) and ``ids`` (uint32, little-endian
     bytes) of every document, read from the files by their indexes."""
