@@ -135,14 +135,14 @@ def mix(
     kept = [c for c in columns or docs.columns if c not in new]
     rows = docs.select(
         *kept,
-        F.col("source").cast("string").alias("_source"),
-        F.col("doc_id").cast("long").alias("_id"),
-        F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_hash"),
+        F.col("source").cast("string").alias("_mix_source"),
+        F.col("doc_id").cast("long").alias("_mix_id"),
+        F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_mix_hash"),
     )
-    bucket, _ = ordered_buckets(rows, "_id")
-    dealt = rows.withColumn("_bucket", bucket)
-    counts = cut(dealt.groupBy("_source", "_bucket").count())
-    totals = {r[0]: r[1] for r in counts.groupBy("_source").agg(F.sum("count")).collect()}
+    bucket, _ = ordered_buckets(rows, "_mix_id")
+    dealt = rows.withColumn("_mix_bucket", bucket)
+    counts = cut(dealt.groupBy("_mix_source", "_mix_bucket").count())
+    totals = {r[0]: r[1] for r in counts.groupBy("_mix_source").agg(F.sum("count")).collect()}
     if len(totals) > MOST_SOURCES:
         raise ValueError(f"{len(totals)} sources; at most {MOST_SOURCES} are mixed")
     if weights is None:
@@ -151,26 +151,26 @@ def mix(
     plan = schedule(totals, {s: weights.get(s) or least for s in totals}, block, period)
     plan_sent = docs.sparkSession.sparkContext.broadcast(plan)  # a period for each source at most
     before = counts.select(
-        F.col("_source").alias("_s"),
-        F.col("_bucket").alias("_b"),
+        F.col("_mix_source").alias("_s"),
+        F.col("_mix_bucket").alias("_b"),
         (
-            F.sum("count").over(Window.partitionBy("_source").orderBy("_bucket")) - F.col("count")
-        ).alias("_before"),
+            F.sum("count").over(Window.partitionBy("_mix_source").orderBy("_mix_bucket")) - F.col("count")
+        ).alias("_mix_before"),
     )
     ranked = dealt.withColumn(
-        "_rank",
-        F.row_number().over(Window.partitionBy("_source", "_bucket").orderBy("_id", "_hash")) - 1,
+        "_mix_rank",
+        F.row_number().over(Window.partitionBy("_mix_source", "_mix_bucket").orderBy("_mix_id", "_mix_hash")) - 1,
     )
     placed = ranked.join(
-        before, ranked["_source"].eqNullSafe(before["_s"]) & (ranked["_bucket"] == before["_b"])
-    ).select(*kept, "_source", (F.col("_rank") + F.col("_before")).cast("long").alias("_rank"))
+        before, ranked["_mix_source"].eqNullSafe(before["_s"]) & (ranked["_mix_bucket"] == before["_b"])
+    ).select(*kept, "_mix_source", (F.col("_mix_rank") + F.col("_mix_before")).cast("long").alias("_mix_rank"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rank = batch.column("_rank").to_numpy()
+            rank = batch.column("_mix_rank").to_numpy()
             number, within = rank // block, rank % block
             slot, position = np.zeros(len(rank), np.int64), np.zeros(len(rank), np.int64)
-            names = batch.column("_source").dictionary_encode()
+            names = batch.column("_mix_source").dictionary_encode()
             codes = names.indices.fill_null(-1).to_numpy(zero_copy_only=False)
             for code in np.unique(codes):
                 own = np.flatnonzero(codes == code)

@@ -37,6 +37,8 @@ END_ID = 1
 FILE_TOKENS = 1 << 23
 #: Distinct words whose ids a task keeps.
 KEPT_WORDS = 600_000
+#: Words whose ids are laid out at a time.
+SLICE_WORDS = 1 << 17
 _TAIL = "^(?P<core>.*[a-z])(?P<tail>[.,!#$%&*]+)$"
 _TYPES = {8: np.dtype("<u1"), 16: np.dtype("<u2")}
 
@@ -206,12 +208,28 @@ class WordIds:
         names = pc.if_else(special, words.distinct, pc.ascii_lower(words.distinct))
         parts = pc.extract_regex(names, _TAIL)
         core = pc.coalesce(pc.struct_field(parts, "core"), names)
-        codes = np.stack((self._numbers(core), self._numbers(pc.struct_field(parts, "tail"))), axis=1)
-        codes = np.insert(codes[words.codes].reshape(-1), 2 * words.starts[1:], 0)
+        own = np.stack((self._numbers(core), self._numbers(pc.struct_field(parts, "tail"))), axis=1)
+        flat, counts, first = [], [], 0
+        while first < len(texts):  # documents of about SLICE_WORDS words at a time
+            stop = np.searchsorted(words.starts, words.starts[first] + SLICE_WORDS, side="right") - 1
+            stop = max(first + 1, int(stop))
+            starts = words.starts[first : stop + 1]
+            ids, n = self._expanded(own[words.codes[starts[0] : starts[-1]]], starts - starts[0])
+            flat.append(ids)
+            counts.append(n)
+            first = stop
+        return np.concatenate([*flat, np.zeros(0, np.uint32)]), np.concatenate([*counts, np.zeros(0, np.int64)])
+
+    def _expanded(self, pairs: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words given by the numbers of their two parts, with ends of documents."""
+        codes = pairs.reshape(-1)
+        kept = codes != 1
+        at = np.concatenate(([0], np.cumsum(kept)))[2 * starts[1:]]
+        codes = np.insert(codes[kept], at, 0)
         size = self._len[codes]
         ends = np.cumsum(size)
         place = np.repeat(self._at[codes] - (ends - size), size) + np.arange(int(size.sum()))
-        last = ends[2 * words.starts[1:] + np.arange(len(words.starts) - 1)]
+        last = ends[at + np.arange(len(at))]
         return self._pool[place], np.diff(last, prepend=0)
 
 
@@ -273,7 +291,7 @@ def write_tokens(
             )
 
         encode = encoder(tokenizer, by_words, end_id)
-        for piece in pieces(batches, limit=1 << 22):
+        for piece in pieces(batches, limit=1 << 24):
             flat, own = encode(piece.column("text"))
             ids += piece.column("doc_id").to_pylist()
             sizes.append(own)
