@@ -21,7 +21,7 @@ from plumbline import (
     run_audit_job,
     run_dq_checks,
 )
-from plumbline.functions import exact_sum
+from plumbline.functions import exact_sums
 
 QUERIES: dict[str, Query] = {}
 
@@ -222,15 +222,70 @@ QUERIES["reconciliation_reordered"] = Query(
 
 
 def _source_sum(spark: SparkSession, tables: TableResolver) -> DataFrame:
-    orders = tables("orders")
-    exact = exact_sum("o_totalprice", orders.schema["o_totalprice"].dataType, scale=6)
-    return orders.agg(F.expr(f"CAST({exact.total} AS STRING) AS src_sum"))
+    total = exact_sums(tables("orders"), ["o_totalprice"])
+    return total.selectExpr("CAST(CAST(o_totalprice AS DECIMAL(38, 6)) AS STRING) AS src_sum")
 
 
 QUERIES["reconciliation_sum"] = Query(
     _source_sum,
     "SELECT CAST(sum(CAST(o_totalprice AS DECIMAL(38, 6))) AS VARCHAR) AS src_sum FROM orders",
 )
+
+
+def _unlike(name: str, source: str, target: str, changed: str, sql_type: str) -> None:
+    """Both modes of sums over unlike types: SQL for the value of one side, of the other, and of
+    the other with a small difference in one row."""
+    for mode in ("non_null", "rows"):
+        label, what = ("Non-null count check", "v") if mode == "non_null" else ("Count check", "*")
+
+        def run(spark: SparkSession, tables: TableResolver, mode: str = mode) -> DataFrame:
+            orders = tables("orders").withColumn("first", F.expr("o_orderkey = 1"))
+            one = orders.selectExpr(f"{source} AS v", f"{source} AS w")
+            two = orders.selectExpr(f"{target} AS v", f"CASE WHEN first THEN {changed} ELSE {target} END AS w")
+            found = check_reconciliation(one, two, ["v", "w"], BUSINESS_DAY, mode=mode, as_of=AS_OF)
+            return found.drop("dq_comment")
+
+        sides = (
+            f"WITH source AS (SELECT {source} AS v, {source} AS w FROM orders), target AS "
+            f"(SELECT {target} AS v, CASE WHEN o_orderkey = 1 THEN {changed} ELSE {target} END AS w "
+            "FROM orders)\n"
+        )
+        selects = [
+            sql
+            for column in ("v", "w")
+            for sql in (
+                count_sql(column, column if what == "v" else what, label),
+                sum_sql(column, sql_type, False),
+            )
+        ]
+        every = "\nUNION ALL ".join(selects)
+        QUERIES[f"{name}_{mode}" if mode == "rows" else name] = Query(
+            run, f"{sides}SELECT * EXCLUDE (dq_comment) FROM ({every}) AS r"
+        )
+
+
+_unlike(
+    "reconciliation_int_double",
+    "CAST(o_custkey AS INT)",
+    "CAST(o_custkey AS DOUBLE)",
+    "CAST(CAST(o_custkey + 0.04 AS DECIMAL(20, 2)) AS DOUBLE)",
+    "DECIMAL(38, 6)",
+)
+_unlike(
+    "reconciliation_decimal_double",
+    "CAST(o_totalprice AS DECIMAL(18, 2))",
+    "CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS DOUBLE)",
+    "CAST(CAST(o_totalprice AS DECIMAL(18, 2)) + CAST(0.0004 AS DECIMAL(8, 4)) AS DOUBLE)",
+    "DECIMAL(38, 6)",
+)
+_unlike(
+    "reconciliation_decimal_scales",
+    "CAST(o_totalprice AS DECIMAL(12, 2))",
+    "CAST(CAST(o_totalprice AS DECIMAL(12, 2)) AS DECIMAL(38, 10))",
+    "CAST(CAST(o_totalprice AS DECIMAL(12, 2)) AS DECIMAL(38, 10)) + CAST(0.0000001 AS DECIMAL(10, 10))",
+    "DECIMAL(38, 10)",
+)
+
 QUERIES["timeliness"] = Query(
     lambda spark, t: check_timeliness(source_orders(t), BUSINESS_DAY, as_of=AS_OF),
     sides_sql(timeliness_sql("source", 2)),

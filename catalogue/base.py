@@ -51,8 +51,14 @@ def graded(dq_type: str, counts: str, threshold: float = 1.0, empty: str = "NULL
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A fresh folder in the cluster's shared folder; a temporary one only where none is set."""
+    """A fresh folder in the one that driver and executors share, ``spark.checkpoint.dir``.
+
+    Without that setting a local master, which has one machine, gets a temporary folder, and any
+    other stops: its executors would write to their own disks.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         return tempfile.mkdtemp(prefix="plumbline-")
     return f"{shared.rstrip('/')}/plumbline-{uuid.uuid4().hex}"

@@ -7,6 +7,7 @@ rows is replaced, depending on another column. Every query reads all rows of its
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -319,6 +320,19 @@ add(
     counted("SELECT o_custkey FROM orders", "NOT (o_custkey BETWEEN 1 AND 1200)"),
 )
 
+add(
+    "value_set_long_decimals",
+    lambda t: t("orders").select((F.col("o_custkey") * F.lit(Decimal("0.5"))).alias("x")),
+    ("value_set_check", "x", {"allowed_values": [Decimal(i) / 2 for i in range(1, 1201)]}),
+    counted("SELECT o_custkey * 0.5 AS x FROM orders", "NOT (x BETWEEN 0.5 AND 600)"),
+)
+add(
+    "value_set_mixed_numbers",
+    lambda t: t("lineitem").select(F.col("l_quantity").cast("decimal(12,2)").alias("x")),
+    ("value_set_check", "x", {"allowed_values": [Decimal("1.00"), 2, 3, Decimal("4.5")]}),
+    counted("SELECT CAST(l_quantity AS DECIMAL(12,2)) AS x FROM lineitem", "NOT (x IN (1, 2, 3, 4.5))"),
+)
+
 # Types
 
 add(
@@ -369,6 +383,41 @@ add(
         "x IS NOT NULL AND try_strptime(x, '%Y-%m-%d %H:%M:%S') IS NULL",
     ),
 )
+DATES_WITH_TIME = (
+    "SELECT CASE WHEN event_type = 'click' THEN '2024-02-30 10:00:00' WHEN event_type = 'view' "
+    "THEN strftime(ts, '%Y-%m-%d') ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS x FROM events"
+)
+
+
+def dates_with_time(tables: TableResolver) -> DataFrame:
+    return tables("events").select(
+        F.when(F.col("event_type") == "click", "2024-02-30 10:00:00")
+        .when(F.col("event_type") == "view", F.date_format("ts", "yyyy-MM-dd"))
+        .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+        .alias("x")
+    )
+
+
+add(
+    "data_type_date_with_time",
+    dates_with_time,
+    ("data_type_check", "x", {"expected_type": "DATE"}),
+    counted(DATES_WITH_TIME, "try_strptime(substr(x, 1, 10), '%Y-%m-%d') IS NULL"),
+)
+add(
+    "data_type_time_only",
+    lambda t: t("events").select(
+        F.when(F.col("event_type") == "click", F.date_format("ts", "HH:mm"))
+        .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm"))
+        .alias("x")
+    ),
+    ("data_type_check", "x", {"expected_type": "TIMESTAMP"}),
+    counted(
+        "SELECT CASE WHEN event_type = 'click' THEN strftime(ts, '%H:%M') "
+        "ELSE strftime(ts, '%Y-%m-%d %H:%M') END AS x FROM events",
+        "try_strptime(x, '%Y-%m-%d %H:%M') IS NULL",
+    ),
+)
 add(
     "data_type_string",
     lambda t: t("documents").select(
@@ -415,6 +464,21 @@ add(
         "try_strptime(x, '%Y-%m-%d') IS NULL",
     ),
 )
+add(
+    "date_validity_lower_case",
+    lambda t: t("events").select(
+        F.when(F.col("event_type") == "click", "2024-45-10")
+        .when(F.col("event_type") == "view", "2024-02-30")
+        .otherwise(F.date_format("ts", "yyyy-MM-dd"))
+        .alias("x")
+    ),
+    ("date_validity_check", "x", {"date_format": "yyyy-mm-dd"}),
+    counted(
+        "SELECT CASE WHEN event_type = 'click' THEN '2024-45-10' WHEN event_type = 'view' "
+        "THEN '2024-02-30' ELSE strftime(ts, '%Y-%m-%d') END AS x FROM events",
+        "try_strptime(x, '%Y-%m-%d') IS NULL",
+    ),
+)
 add(
     "date_validity_format",
     lambda t: t("orders").select(

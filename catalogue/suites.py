@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogue.base import Query, counted, counted_groups
-from plumbline import TableResolver, plan_dq_from_config, run_dq_from_config
+from plumbline import TableResolver, frames, plan_dq_from_config, run_dq_from_config
 
 QUERIES: dict[str, Query] = {}
 
@@ -325,3 +325,96 @@ QUERIES["suite_isolation"] = Query(
         ]
     ),
 )
+
+# Four references of one table: one scan of it.
+REFERENCES = {
+    "tables": [
+        {
+            "name": "lineitem",
+            "columns": [
+                {
+                    "name": column,
+                    "dq_rules": [_rule("referential_check", 50.0, ref_table=ref, ref_col=key)],
+                }
+                for column, ref, key in [
+                    ("l_orderkey", "orders", "o_custkey"),
+                    ("l_partkey", "part", "p_size"),
+                    ("l_suppkey", "supplier", "s_suppkey"),
+                    ("l_returnflag", "orders", "o_orderstatus"),
+                ]
+            ],
+        }
+    ]
+}
+REFERENCES_SQL = "\nUNION ALL ".join(
+    _rated("lineitem", column, "referential_check", _orphans("lineitem", column, ref, key), 50.0)
+    for column, ref, key in [
+        ("l_orderkey", "orders", "o_custkey"),
+        ("l_partkey", "part", "p_size"),
+        ("l_suppkey", "supplier", "s_suppkey"),
+        ("l_returnflag", "orders", "o_orderstatus"),
+    ]
+)
+QUERIES["suite_references"] = Query(
+    lambda spark, tables: plan_dq_from_config(spark, REFERENCES, tables), REFERENCES_SQL
+)
+
+# Rules that leave parameters and threshold to the defaults, on data with defects.
+DEFAULTS = {
+    "tables": [
+        {
+            "name": "defects",
+            "columns": [
+                {"name": "total", "dq_rules": [{"dq_type": "outlier_check"}]},
+                {
+                    "name": "status",
+                    "dq_rules": [{"dq_type": "null_check"}, {"dq_type": "blank_check"}],
+                },
+                {"name": "day", "dq_rules": [{"dq_type": "date_validity_check"}]},
+                {"name": "low", "dq_rules": [{"dq_type": "range_check"}]},
+            ],
+        }
+    ]
+}
+
+
+def _defects(tables: TableResolver) -> DataFrame:
+    orders = tables("orders")
+    return orders.select(
+        F.col("o_totalprice").alias("total"),
+        F.when(F.col("o_custkey") % 7 == 0, " ")
+        .when(F.col("o_custkey") % 11 != 0, F.col("o_orderstatus"))
+        .alias("status"),
+        F.when(F.col("o_orderkey") % 150 != 0, F.date_format("o_orderdate", "yyyy-MM-dd")).alias("day"),
+        F.col("o_custkey").alias("low"),
+    )
+
+
+DEFECTS = (
+    "SELECT o_totalprice AS total, CASE WHEN o_custkey % 7 = 0 THEN ' ' WHEN o_custkey % 11 <> 0 "
+    "THEN o_orderstatus END AS status, CASE WHEN o_orderkey % 150 <> 0 "
+    "THEN strftime(o_orderdate, '%Y-%m-%d') END AS day, o_custkey AS low FROM orders"
+)
+QUERIES["suite_defaults"] = Query(
+    lambda spark, tables: plan_dq_from_config(
+        spark, DEFAULTS, frames({"defects": _defects(tables)}, otherwise=tables)
+    ),
+    "\nUNION ALL ".join(
+        [
+            _rated(
+                "defects",
+                "total",
+                "outlier_check",
+                counted(
+                    f"SELECT total AS x, (SELECT avg(total) FROM ({DEFECTS})) AS m, "
+                    f"(SELECT stddev_samp(total) FROM ({DEFECTS})) AS s FROM ({DEFECTS})",
+                    "abs((x - m) / s) > 3",
+                ),
+            ),
+            _rated("defects", "status", "null_check", counted(DEFECTS, "status IS NULL")),
+            _rated("defects", "status", "blank_check", counted(DEFECTS, "trim(status) = ''")),
+            _rated("defects", "day", "date_validity_check", counted(DEFECTS, "day IS NULL")),
+            _rated("defects", "low", "range_check", counted(DEFECTS, "FALSE")),
+        ]
+    ),
+)

@@ -20,12 +20,10 @@ from plumbline.rules import (
     TableResolver,
     dq_check,
 )
-from plumbline.sources.audit_log import append_audit
+from plumbline.sources.audit_log import append_audit, write_dq_results
 from plumbline.sources.query_log import query_history, query_log_window
 from plumbline.sources.tables import catalog_tables, frames, parquet_tables
 
-write_dq_results = append_audit
-
 __all__ = [
     "AUDIT_SCHEMA",
     "AuditParams",

@@ -1,18 +1,16 @@
-"""Column helpers shared by the checks. Everything here builds JVM-side expressions."""
+"""Column helpers shared by the checks."""
 
 from plumbline.functions.dates import spark_date_pattern
 from plumbline.functions.names import column_named, name_sql, text_literal
 from plumbline.functions.patterns import first_table_name, matches_whole
-from plumbline.functions.sums import ExactSum, exact_sum, plain_text_sql
+from plumbline.functions.sums import exact_sums
 
 __all__ = [
-    "ExactSum",
     "column_named",
-    "exact_sum",
+    "exact_sums",
     "first_table_name",
     "matches_whole",
     "name_sql",
-    "plain_text_sql",
     "spark_date_pattern",
     "text_literal",
 ]

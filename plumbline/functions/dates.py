@@ -25,14 +25,22 @@ _TOKEN = re.compile(
     "|".join(sorted(FORMAT_TOKENS, key=len, reverse=True))
     + r"|FF(?P<digits>\d)"
     + r'|"(?P<quoted>[^"]*)"'
-    + r"|(?P<separator>T)(?=HH)"
+    + r"|(?P<separator>T)(?=HH)",
+    re.IGNORECASE,
+)
+# Upper-case years and days, hours of a kind, minutes and short months by name are no Spark
+# letters, nor are mixed cases; nor is "mm" without any "M" a month in a Spark pattern.
+_WAREHOUSE_ONLY = re.compile(
+    r"YY|DD|Yy|yY|Dd|dD|Mm|mM|(?i:HH24|HH12|MI|MON)|^(?=.*mm)(?=.*[yd])(?!.*[ML])"
 )
-# Upper-case year, two-digit-hour and minute tokens mean nothing in a Spark date pattern.
-_WAREHOUSE_ONLY = re.compile(r"YY|HH24|HH12|MI|MON")
 
 
 def spark_date_pattern(date_format: str) -> str:
-    """``YYYY-MM-DD`` style formats as Spark patterns; Spark patterns come back unchanged."""
+    """``YYYY-MM-DD`` style formats, in any case, as Spark patterns; Spark patterns stay as they are.
+
+    A format is a Spark pattern if it can be one: ``yyyy-MM-dd`` is, ``yyyy-mm-dd`` would have
+    minutes for months and is read as the other kind.
+    """
     if not _WAREHOUSE_ONLY.search(date_format):
         return date_format
     return _TOKEN.sub(_spark_letters, date_format)
@@ -42,4 +50,4 @@ def _spark_letters(token: re.Match[str]) -> str:
     if token["digits"]:
         return "S" * int(token["digits"])
     literal = token["quoted"] or token["separator"]
-    return f"'{literal}'" if literal else FORMAT_TOKENS[token[0]]
+    return f"'{literal}'" if literal else FORMAT_TOKENS[token[0].upper()]

@@ -1,100 +1,237 @@
-"""Sums that do not depend on the order in which Spark adds rows up.
+"""Sums that are exact, whatever the values and in whatever order Spark adds them up.
 
 A sum of doubles changes in its last digits with the partitioning, so two equal tables
-could differ. Every value is therefore added as the decimal that its text shows; that
-addition is exact.
+could differ. Every value is therefore added as the decimal that its text shows, in parts
+that cannot be rounded, and totals are compared as they are, also across types:
+
+- integers and decimals of at most 28 digits as decimals;
+- doubles that are whole millionths of at most 15 digits as integers;
+- any other finite value by its digits, in limbs of 18, beside the power of ten that its
+  last digits belong to. Rows are grouped by these powers first, a few dozen at most for a
+  column, and the groups are put together afterwards.
+
+Only NaN and infinity have no exact sum. The few totals of a run are put together and
+compared by a small function over one row.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from decimal import Decimal
 
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DEFAULT_SUM_SCALE = 12
-
 # Doubles of up to 15 digits, six of them after the point, are summed as whole millionths.
 SHORT_PLACES, SHORT_DIGITS = 6, 15
 LIMB_BITS = 17
 
+# Decimals of up to 28 digits leave ten digits for the number of rows in a sum of 38.
+SUMMED_DIGITS = 28
+LIMB_DIGITS = 18
 
-@dataclass(frozen=True)
-class ExactSum:
-    """SQL for aggregates over one column, and how its total is written in a comment."""
 
-    total: str
-    """Sum of the non-null values, NULL if there are none or it overflows."""
-    unsummable: str
-    """Number of values with no decimal form: NaN, infinite or out of range."""
+@dataclass(frozen=True)
+class SumParts:
+    """SQL for the parts of one column's sum. ``inputs`` are read from the table, ``derived``
+    and the others from the columns before them."""
+
+    inputs: list[tuple[str, str]]
+    derived: list[tuple[str, str]]
+    key: str | None
+    """Column that groups rows by the power of ten of values summed in limbs; null for others."""
+    aggregates: list[tuple[str, str]]
+    """Names and sums; rows and groups are put together by adding them up."""
+    limbs: list[str]
+    """Those of the aggregates that belong to the key."""
+    scale: int
+    """Places after the point of the part without limbs."""
     kind: str
-    """``integer``, ``decimal`` or ``float``."""
+    """``integer``, ``decimal`` or ``float``; decimals show ``scale`` places."""
 
 
-def exact_sum(value: str, data_type: T.DataType, scale: int = DEFAULT_SUM_SCALE) -> ExactSum:
-    """Order-free sum of the SQL ``value``. Doubles count up to ``scale`` places after the point."""
+def sum_parts(name: str, value: str, data_type: T.DataType) -> SumParts:
+    """Parts of the sum of the SQL ``value``; all their names begin with ``name``."""
+    v, counted = f"{name}_v", (f"{name}_n", f"count({name}_v)")
     if isinstance(data_type, T.IntegralType):
-        return ExactSum(_total(f"try_sum(CAST({value} AS DECIMAL(20, 0)))", 0), "0L", "integer")
+        total = (f"{name}_short", f"sum(CAST({v} AS DECIMAL({SUMMED_DIGITS}, 0)))")
+        return SumParts([(v, value)], [], None, [counted, total], [], 0, "integer")
     if isinstance(data_type, T.DecimalType):
-        return ExactSum(_total(f"try_sum({value})", min(data_type.scale, 37)), "0L", "decimal")
-    return _float_sum(f"CAST({value} AS DOUBLE)", scale)
-
+        if data_type.precision <= SUMMED_DIGITS:
+            narrow = f"DECIMAL({SUMMED_DIGITS}, {data_type.scale})"
+            total = (f"{name}_short", f"sum(CAST({v} AS {narrow}))")
+            return SumParts([(v, value)], [], None, [counted, total], [], data_type.scale, "decimal")
+        return _by_limbs(name, value, v, 4, [], [counted], data_type.scale, "decimal")
+    return _double_parts(name, value)
+
+
+def _double_parts(name: str, value: str) -> SumParts:
+    """Turning a double into a decimal goes through its text and costs far more than the scan. A
+    value that is a whole number of millionths, of 15 digits at most, is the only short decimal
+    at that double, so the whole number can be added instead. The other values are taken apart.
+    """
+    v, w = f"{name}_v", f"{name}_w"
+    bound, unit = float(10 ** (SHORT_DIGITS - SHORT_PLACES)), float(10**SHORT_PLACES)
+    whole = f"CASE WHEN abs({v}) < {bound}D THEN CAST(rint({v} * {unit}D) AS BIGINT) END"
+    short = (w, f"CASE WHEN CAST({whole} AS DOUBLE) / {unit}D = {v} THEN {whole} END")
+    finite = f"{w} IS NULL AND NOT isnan({v}) AND abs({v}) <= 1.7976931348623157E308D"
+    low_bits = 2**LIMB_BITS - 1
+    sums = [
+        (f"{name}_n", f"count({v})"),
+        # Three limbs of at most 17 bits: their sums fit a long up to 10^13 rows.
+        (f"{name}_b0", f"sum({w} & {low_bits})"),
+        (f"{name}_b1", f"sum(shiftright({w}, {LIMB_BITS}) & {low_bits})"),
+        (f"{name}_b2", f"sum(shiftright({w}, {2 * LIMB_BITS}))"),
+        (f"{name}_bad", f"count(CASE WHEN {w} IS NULL AND {name}_t IS NULL THEN {v} END)"),
+    ]
+    other = f"CASE WHEN {finite} THEN {v} END"
+    return _by_limbs(
+        name, f"CAST({value} AS DOUBLE)", other, 2, [short], sums, SHORT_PLACES, "float"
+    )
 
-def _total(total: str, places: int) -> str:
-    """One digit less than the widest decimal, so that the difference of two totals is exact."""
-    return f"try_cast({total} AS DECIMAL(37, {places}))"
 
+def _by_limbs(
+    name: str,
+    value: str,
+    other: str,
+    many: int,
+    before: list[tuple[str, str]],
+    sums: list[tuple[str, str]],
+    scale: int,
+    kind: str,
+) -> SumParts:
+    """Adds the digits of the values ``other``, a column's or an expression's, in limbs."""
+    t, m, x, k, d = (f"{name}_{c}" for c in "tmxkd")
+    mantissa = f"substring_index({t}, 'E', 1)"
+    exponent = f"CASE WHEN contains({t}, 'E') THEN CAST(substring_index({t}, 'E', -1) AS INT) ELSE 0 END"
+    places = f"CASE WHEN contains({m}, '.') THEN length(substring_index({m}, '.', -1)) ELSE 0 END"
+    digits = f"trim(LEADING '0' FROM replace(trim(LEADING '-' FROM {m}), '.', ''))"
+    derived = [
+        *before,
+        (t, f"CAST({other} AS STRING)"),
+        (m, mantissa),
+        (x, f"{exponent} - {places}"),
+        (k, f"CAST(floor({x} / {LIMB_DIGITS}.0D) AS INT)"),
+        (d, f"lpad({digits} || repeat('0', {x} - {LIMB_DIGITS} * {k}), {LIMB_DIGITS * many}, '0')"),
+    ]
+    sign = f"(CASE WHEN startswith({t}, '-') THEN -1 ELSE 1 END)"
+    limbs = []
+    for i in range(many):
+        first = LIMB_DIGITS * (many - 1 - i) + 1
+        part = f"CAST(substring({d}, {first}, {LIMB_DIGITS}) AS BIGINT) * {sign}"
+        limbs.append((f"{name}_l{i}", f"sum(CAST({part} AS DECIMAL({SUMMED_DIGITS}, 0)))"))
+    return SumParts(
+        [(f"{name}_v", value)], derived, k, [*sums, *limbs], [n for n, _ in limbs], scale, kind
+    )
 
-def _float_sum(value: str, scale: int) -> ExactSum:
-    """Sum of doubles as decimals.
 
-    Turning a double into a decimal goes through its text and costs far more than the scan. A
-    value that is a whole number of 10^-places, of 15 digits at most, is the only short decimal
-    at that double, so the whole number can be added instead. The other values are converted.
-    """
-    places = min(SHORT_PLACES, scale)
-    bound, unit = float(10 ** (SHORT_DIGITS - places)), float(10**places)
-    whole = f"CASE WHEN abs({value}) < {bound}D THEN CAST(rint({value} * {unit}D) AS BIGINT) END"
-    short = f"(CASE WHEN CAST({whole} AS DOUBLE) / {unit}D = {value} THEN {whole} END)"
-    other = f"try_cast(CASE WHEN {short} IS NULL THEN {value} END AS DECIMAL(38, {scale}))"
-
-    counted = f"(count({short}) + count({other}))"
-    short_total = f"{_whole_sum(short)} * {Decimal(1).scaleb(-places):f}BD"
-    # A part without values adds nothing; one that overflows leaves no total.
-    parts = [
-        f"CASE WHEN count({values}) > 0 THEN {_total(total, scale)} ELSE 0 END"
-        for values, total in ((short, short_total), (other, f"try_sum({other})"))
-    ]
-    total = _total(f"try_add({parts[0]}, {parts[1]})", scale)
-    return ExactSum(
-        f"CASE WHEN {counted} > 0 THEN {total} END", f"(count({value}) - {counted})", "float"
+def width(parts: SumParts) -> int:
+    """Fields that Spark's projection or aggregation holds for the parts; a decimal sum takes two."""
+    buffers = sum(1 + ("DECIMAL" in sql) for _, sql in parts.aggregates) + bool(parts.key)
+    return max(len(parts.inputs) + len(parts.derived), buffers)
+
+
+def gathered(name: str, parts: SumParts) -> str:
+    """SQL, over the groups of rows, for one struct with all that the total is made of."""
+    sums = dict(parts.aggregates)
+    own = {"n": f"coalesce(sum({name}_n), 0)", "bad": "0L", "short": "CAST(NULL AS STRING)"}
+    if f"{name}_bad" in sums:
+        own["bad"] = f"coalesce(sum({name}_bad), 0)"
+    if f"{name}_short" in sums:
+        own["short"] = f"CAST(sum({name}_short) AS STRING)"
+    elif f"{name}_b0" in sums:
+        terms = [
+            f"coalesce(sum(CAST({name}_b{i} AS DECIMAL({SUMMED_DIGITS}, 0))), 0)" for i in range(3)
+        ]
+        own["short"] = f"concat_ws(' ', {', '.join(f'CAST({x} AS STRING)' for x in terms)})"
+    limbs = "array()"
+    if parts.key:
+        texts = ", ".join(f"CAST({n} AS STRING)" for n in parts.limbs)
+        limbs = (
+            f"collect_list(CASE WHEN {parts.key} IS NOT NULL THEN "
+            f"concat_ws(' ', CAST({parts.key} AS STRING), {texts}) END)"
+        )
+    fields = ", ".join(f"'{k}', CAST({v} AS {'STRING' if k == 'short' else 'BIGINT'})" for k, v in own.items())
+    return (
+        f"named_struct({fields}, 'limbs', CAST({limbs} AS ARRAY<STRING>), "
+        f"'scale', {parts.scale}, 'kind', '{parts.kind}') AS {name}"
     )
 
 
-def _whole_sum(whole: str) -> str:
-    """Sum of whole numbers below 10^15, as a decimal.
+def compared(source: Column, target: Column, plain: bool, tolerance: float) -> Column:
+    """Two gathered sums: their texts without exponent, the gap, and whether it is small enough.
 
-    Added in three limbs of at most 17 bits: their sums fit a long up to 10^13 rows, and an
-    overflow beyond gives NULL.
+    ``plain`` writes whole numbers and decimals as such, otherwise all totals as floats.
     """
-    low_bits = 2**LIMB_BITS - 1
-    limbs = [
-        f"{whole} & {low_bits}",
-        f"shiftright({whole}, {LIMB_BITS}) & {low_bits}",
-        f"shiftright({whole}, {2 * LIMB_BITS})",
-    ]
-    terms = [
-        f"CAST(try_sum({limb}) AS DECIMAL(19, 0)) * {2 ** (LIMB_BITS * i)}BD"
-        for i, limb in enumerate(limbs)
-    ]
-    return f"CAST({' + '.join(terms)} AS DECIMAL(31, 0))"
-
 
-def plain_text_sql(total: str, kind: str) -> str:
-    """SQL for a total as text without exponent; floats keep a digit after the point at least."""
-    text = f"CAST({total} AS STRING)"
-    if kind == "float":
-        trimmed = f"regexp_replace({text}, '([.][0-9]+?)0+$', '$1')"
-        text = f"CASE WHEN contains({text}, '.') THEN {trimmed} ELSE concat({text}, '.0') END"
-    # A missing or zero total is written as a float zero for every kind.
-    return f"CASE WHEN {total} IS NULL OR {total} = 0 THEN '0.0' ELSE {text} END"
+    def run(one, two):
+        # Self-contained, so that the tasks need nothing but Python.
+        from decimal import Context, Decimal, Inexact, localcontext
+
+        def total(parts):
+            out = Decimal(0)
+            short = (parts.short or "").split()
+            if len(short) == 3:  # limbs of binary digits
+                out = sum(Decimal(s) * 2 ** (17 * i) for i, s in enumerate(short))
+                out = out.scaleb(-parts.scale)
+            elif short:
+                out = Decimal(short[0])
+            for row in parts.limbs or ():
+                power, *limbs = row.split()
+                for i, limb in enumerate(limbs):
+                    out += Decimal(limb).scaleb(18 * (int(power) + i))
+            return out
+
+        def text(value, parts):
+            if value == 0:  # a missing total too is written as a float zero
+                return "0.0"
+            if plain and parts.kind == "integer":
+                return f"{value:.0f}"
+            if plain and parts.kind == "decimal":
+                return f"{value:.{parts.scale}f}"
+            whole, _, places = f"{value:f}".partition(".")
+            return f"{whole}.{places.rstrip('0') or '0'}"
+
+        with localcontext(Context(prec=1200, Emax=100000, Emin=-100000, traps=[Inexact])):
+            a, b = total(one), total(two)
+            gap = abs(a - b)
+            equal = gap == 0 or gap <= Decimal(repr(float(tolerance)))
+            return text(a, one), text(b, two), float(gap), equal
+
+    shape = "struct<source: string, target: string, gap: double, equal: boolean>"
+    return F.udf(run, shape)(source, target)
+
+
+def one_row(
+    df: DataFrame,
+    inputs: list[tuple[str, str]],
+    derived: list[tuple[str, str]],
+    keys: list[str],
+    sums: list[tuple[str, str]],
+    outputs: list[str],
+) -> DataFrame:
+    """One row of ``outputs``, SQL over the aggregates ``sums`` of each group of ``keys``."""
+    frame = df.selectExpr(*[f"{sql} AS {name}" for name, sql in inputs]) if inputs else df
+    for name, sql in derived:
+        frame = frame.withColumn(name, F.expr(sql))
+    aggregates = [F.expr(f"{sql} AS {name}") for name, sql in sums]
+    return frame.groupBy(*keys).agg(*aggregates).agg(*[F.expr(sql) for sql in outputs])
+
+
+def exact_sums(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row: the exact sum of each column as text without exponent, under the column's name."""
+    from plumbline.functions.names import name_sql
+
+    own = [sum_parts(f"s{i}", name_sql(df, c), df.select(F.col(name_sql(df, c))).schema[0].dataType)
+           for i, c in enumerate(columns)]
+    row = one_row(
+        df,
+        [x for p in own for x in p.inputs],
+        [x for p in own for x in p.derived],
+        [p.key for p in own if p.key],
+        [x for p in own for x in p.aggregates],
+        [gathered(f"s{i}", p) for i, p in enumerate(own)],
+    )
+    return row.select(
+        *[compared(F.col(f"s{i}"), F.col(f"s{i}"), True, 0)["source"].alias(c) for i, c in enumerate(columns)]
+    )

@@ -9,14 +9,9 @@ from pyspark.sql import types as T
 from plumbline.functions.names import column_named
 from plumbline.rules import RuleContext, SetRule, dq_check
 
-# From this many fixed-width columns on rows are first told apart by fingerprint. A text or
-# another column without a width may be of any length, so one of them is enough.
+# From this many columns on rows are first told apart by fingerprint, if left to choose.
 WIDE_ROW_COLUMNS = 8
 
-# Repeated fingerprints (8 bytes each) that may be broadcast. With more of them all rows are
-# grouped whole.
-MOST_LISTED = 2**19
-
 
 def _can_fingerprint(data_type: T.DataType) -> bool:
     """Types whose equal values always hash alike."""
@@ -39,11 +34,6 @@ def _can_fingerprint(data_type: T.DataType) -> bool:
     )
 
 
-def _is_wide(types: list[T.DataType]) -> bool:
-    unsized = (T.StringType, T.BinaryType, T.ArrayType, T.StructType)
-    return len(types) >= WIDE_ROW_COLUMNS or any(isinstance(t, unsized) for t in types)
-
-
 def _equal_rows(rows: DataFrame) -> DataFrame:
     # The alias cannot meet a data column of the name "count".
     return rows.groupBy(*rows.columns).agg(F.expr("count(*) AS __rows"))
@@ -59,42 +49,43 @@ def _fingerprint_counts(rows: DataFrame) -> DataFrame:
     """Shuffle 8-byte fingerprints; only rows whose fingerprint repeats travel whole.
 
     Equal rows have equal fingerprints, so every duplicate is among those rows, and grouping
-    them by all their columns sorts out chance collisions: the count is exact. The list of
-    repeated fingerprints is bounded, so broadcasting it is safe, and it spares the rows the
-    shuffle of a join. If it overflows, every row is a suspect. Both groupings combine on the
-    map side, so a group that holds a third of all rows is no burden to one task.
+    them by all their columns sorts out chance collisions: the count is exact. Rows meet the
+    repeated fingerprints in a join that is planned by size: adaptive execution broadcasts few
+    of them and splits the partitions of frequent ones. Both groupings combine on the map side,
+    so a group that holds a third of all rows is no burden to one task.
     """
     values = rows.columns
     printed = rows.withColumn("__print", F.xxhash64(*values))
     per_print = printed.groupBy("__print").agg(F.expr("count(*) AS __rows"))
-    listed = per_print.where("__rows > 1").select("__print").limit(MOST_LISTED + 1)
-    overflow = listed.agg(F.expr(f"count(*) > {MOST_LISTED}")).scalar()
-    suspects = (
-        printed.join(F.broadcast(listed.selectExpr("*", "true AS __listed")), "__print", "left")
-        .where(F.col("__listed") | overflow)
-        .select(*values)
-    )
+    repeated = per_print.where("__rows > 1").select("__print")
+    suspects = printed.join(repeated, "__print", "left_semi").select(*values)
     failed = _equal_rows(suspects).agg(F.expr("count_if(__rows > 1) AS failed"))
-    # Counting rows reads no columns: much cheaper than adding up the fingerprint groups again.
-    return failed.withColumn("total", rows.agg(F.expr("count(*)")).scalar())
+    total = per_print.agg(F.expr("coalesce(sum(__rows), 0)")).scalar()
+    return failed.withColumn("total", total)
 
 
 def duplicate_groups(df: DataFrame, columns: list[str], strategy: str = "auto") -> DataFrame:
     """One row: ``failed``, the groups of two or more rows equal in ``columns``, and ``total``.
 
-    ``strategy`` is ``direct`` (group by the columns), ``fingerprint`` (two scans, much less
-    shuffle for wide rows) or ``auto``. Nulls are equal to each other.
+    ``strategy`` decides how, not what: ``direct`` groups by the columns in one scan and is best
+    for keys, short columns and rows that mostly repeat; ``fingerprint`` takes two scans and much
+    less shuffle for wide rows that mostly differ; ``auto`` is fingerprint for eight columns or
+    more, direct for fewer. Nulls are equal to each other.
     """
     rows = df.select(*[column_named(df, c).alias(f"k{i}") for i, c in enumerate(columns)])
-    types = [f.dataType for f in rows.schema]
     if strategy == "auto":
-        wide = _is_wide(types) and all(_can_fingerprint(t) for t in types)
-        strategy = "fingerprint" if wide else "direct"
+        wide = len(columns) >= WIDE_ROW_COLUMNS
+        sound = all(_can_fingerprint(f.dataType) for f in rows.schema)
+        strategy = "fingerprint" if wide and sound else "direct"
     counts = {"direct": _direct_counts, "fingerprint": _fingerprint_counts}
+    if strategy not in counts:
+        raise ValueError(f"strategy must be 'auto', 'direct' or 'fingerprint', got {strategy!r}")
     return counts[strategy](rows)
 
 
 @dq_check("duplicate_row_check")
-def duplicate_row_check(ctx: RuleContext, column: str | None, **ignored) -> SetRule:
+def duplicate_row_check(
+    ctx: RuleContext, column: str | None, strategy: str = "auto", **ignored
+) -> SetRule:
     """Groups of rows that are equal in all columns. Groups count, not rows."""
-    return SetRule(duplicate_groups(ctx.df, ctx.df.columns))
+    return SetRule(duplicate_groups(ctx.df, ctx.df.columns, strategy))

@@ -18,6 +18,7 @@ from plumbline.rules import RowRule, RuleContext, dq_check
 NUMBER_TYPES = {"NUMBER", "INT", "INTEGER", "FLOAT", "DECIMAL"}
 DATE_TYPES = {"DATE", "TIMESTAMP"}
 TEXT_TYPES = {"STRING", "VARCHAR", "TEXT"}
+DATED_TEXT = r"\A\d{4}-\d{1,2}-\d{1,2}([ T].+)?\z"
 DEFAULT_DATE_FORMAT = "YYYY-MM-DD"
 
 
@@ -96,12 +97,8 @@ def data_type_check(ctx: RuleContext, column: str, expected_type: str) -> Column
     if expected in DATE_TYPES:
         if isinstance(have, (T.DateType, T.TimestampType, T.TimestampNTZType)):
             return _never()
-        parsed = (
-            F.try_to_date(text, "yyyy-MM-dd")
-            if expected == "DATE"
-            else F.try_to_timestamp(text)
-        )
-        return parsed.isNull() & text.isNotNull()
+        # A date or timestamp is text with a full date, and a time if any, that exists.
+        return ~text.rlike(DATED_TEXT) | (F.try_to_timestamp(text).isNull() & text.isNotNull())
     if expected in TEXT_TYPES:
         return matches_whole(text, DIGITS_TEXT)
     raise ValueError(f"Unsupported expected_type: {expected}")

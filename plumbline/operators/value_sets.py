@@ -5,20 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from plumbline.operators.references import not_in_list
-from plumbline.rules import RuleContext, SetRule, dq_check
-
-# Longer lists become a key frame instead of an expression with a literal per value.
-LONGEST_INLINE_LIST = 1000
+from plumbline.rules import RuleContext, dq_check
 
 
 @dq_check("value_set_check")
-def value_set_check(ctx: RuleContext, column: str, allowed_values) -> Column | SetRule:
-    """Known values outside the list fail. A null in the list makes every miss unknown."""
+def value_set_check(ctx: RuleContext, column: str, allowed_values) -> Column:
+    """Known values outside the list fail. A null in the list makes every miss unknown.
+
+    A row rule for any length of list: Spark looks values up in a hash set of the literals.
+    """
     allowed = list(allowed_values)
     value = ctx.column(column)
     if None in allowed:
         return F.lit(False) & value.isNull()
-    if len(allowed) > LONGEST_INLINE_LIST:
-        return not_in_list(ctx, column, allowed)
     return value.isNotNull() & ~value.isin(allowed)

@@ -1,7 +1,8 @@
 """Audit of a target table against its source.
 
 Completeness, reconciliation and timeliness are plain aggregates, so a run takes one
-aggregation over the target, one over the source and one grouping for the keys.
+aggregation over the target, one over the source and one grouping for the keys; very many
+columns take some more, each over its own columns.
 """
 
 from __future__ import annotations
@@ -9,13 +10,14 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import UTC, date, datetime
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.names import column_named, name_sql, text_literal
-from plumbline.functions.sums import DEFAULT_SUM_SCALE, exact_sum, plain_text_sql
+from plumbline.functions.names import name_sql, text_literal
+from plumbline.functions.sums import compared, gathered, one_row, sum_parts, width
 from plumbline.operators.duplicates import duplicate_groups
 from plumbline.results import (
     AUDIT_SCHEMA,
@@ -56,23 +58,42 @@ class _Stamp:
         return cls(str(business_day), as_of)
 
 
+# Comments of the records.
+NULLS_COMMENT = "Null values in {}: "
+NON_NULL_COUNT_COMMENT = "Non-null count check"
+COUNT_COMMENT = "Count check"
+SUM_COMMENT = "Sum check"
+SOURCE_COMMENT, TARGET_COMMENT = " — Source: ", ", Target: "
+KEYS_COMMENT = "Duplicate key rows found: "
+LATEST_COMMENT, LAG_COMMENT = "Latest date: ", ", lag days: "
+
+
 @dataclass(frozen=True)
-class _Measures:
-    """Aggregates to take, and SQL for the records made of them.
+class _Measure:
+    """One value, or one sum in parts, to take from a table; named as ``name``."""
 
-    Records refer to a target aggregate by its name and to a source one as ``source.name``.
-    """
+    name: str
+    inputs: list[tuple[str, str]] = field(default_factory=list)
+    derived: list[tuple[str, str]] = field(default_factory=list)
+    keys: list[str] = field(default_factory=list)
+    aggregates: list[tuple[str, str]] = field(default_factory=list)
+    outputs: list[str] = field(default_factory=list)
+    width: int = 1
 
-    target: list[Column] = field(default_factory=list)
-    source: list[Column] = field(default_factory=list)
-    records: list[str] = field(default_factory=list)
 
-    def __add__(self, other: _Measures) -> _Measures:
-        return _Measures(
-            self.target + other.target,
-            self.source + other.source,
-            self.records + other.records,
-        )
+@dataclass(frozen=True)
+class _Unit:
+    """What belongs together: a measure of the target, of the source if any, and SQL for the
+    records made of them.
+
+    Records refer to a target value by its name and to a source one as ``source.name``. ``sums``
+    names sums of both sides to compare, how they are written, and the tolerance.
+    """
+
+    target: _Measure
+    records: list[str]
+    source: _Measure | None = None
+    sums: tuple[str, bool, float] | None = None
 
 
 def _record(dimension: str, column_name: str, status: str, failed_rows: str, comment: str) -> str:
@@ -106,28 +127,83 @@ def _no_records(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame([], AUDIT_SCHEMA)
 
 
+# Columns whose rows are grouped by powers of ten in one scan: a few dozen groups for each, which
+# multiply at worst.
+MOST_KEYS = 3
+
+
+def _scans(units: list[_Unit], fields: int) -> list[list[_Unit]]:
+    """Units in as many scans as Spark can compile: none is wider than its limit."""
+    scans: list[list[_Unit]] = []
+    taken = keys = 0
+    for unit in units:
+        sides = [unit.target, *([unit.source] if unit.source else [])]
+        own, own_keys = max(m.width for m in sides), max(len(m.keys) for m in sides)
+        taken, keys = taken + own, keys + own_keys
+        if not scans or taken > fields or keys > MOST_KEYS:
+            scans.append([])
+            taken, keys = own, own_keys
+        scans[-1].append(unit)
+    return scans
+
+
+def _taken(df: DataFrame, measures: list[_Measure]) -> DataFrame:
+    """One row with all measures of a side."""
+    return one_row(
+        df,
+        [x for m in measures for x in m.inputs],
+        [x for m in measures for x in m.derived],
+        [x for m in measures for x in m.keys],
+        [x for m in measures for x in m.aggregates],
+        [x for m in measures for x in m.outputs],
+    )
+
+
+def _beside(target: DataFrame, source: DataFrame) -> DataFrame:
+    """Two one-row frames as one row: the target's columns and the struct ``source``."""
+    one, two = target.select(F.struct("*").alias("target")), source.select(F.struct("*").alias("source"))
+    nothing = {f.name: F.lit(None).cast(f.dataType) for f in (one.schema[0], two.schema[0])}
+    both = one.withColumn("source", nothing["source"]).unionByName(
+        two.withColumn("target", nothing["target"])
+    )
+    return both.agg(
+        F.any_value("target", True).alias("target"), F.any_value("source", True).alias("source")
+    ).select("target.*", "source")
+
+
 def _measure(
-    target: DataFrame, source: DataFrame | None, measures: _Measures, stamp: _Stamp
+    target: DataFrame, source: DataFrame | None, units: list[_Unit], stamp: _Stamp
 ) -> DataFrame:
-    if not measures.records:
+    if not units:
         return _no_records(target)
-    measured = target.agg(*measures.target)
-    if measures.source:
-        one_row = source.agg(*measures.source).select(F.struct("*"))
-        measured = measured.withColumn("source", one_row.scalar())
-    return _records(measured, measures.records, stamp)
-
-
-def _completeness(target: DataFrame, columns: list[str] | None) -> _Measures:
-    measures = _Measures()
+    fields = int(target.sparkSession.conf.get("spark.sql.codegen.maxFields", "100")) - 10
+    parts = []
+    for scan in _scans(units, fields):
+        measured = _taken(target, [u.target for u in scan])
+        sources = [u.source for u in scan if u.source]
+        if sources:
+            measured = _beside(measured, _taken(source, sources))
+        for name, plain, tolerance in (u.sums for u in scan if u.sums):
+            both = compared(F.col(f"source.{name}"), F.col(name), plain, tolerance)
+            measured = measured.withColumn(f"{name}_compared", both)
+        parts.append(_records(measured, [r for u in scan for r in u.records], stamp))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _completeness(target: DataFrame, columns: list[str] | None) -> list[_Unit]:
+    units = []
     for i, name in enumerate(columns or []):
-        nulls = f"nulls_{i}"
-        comment = f"concat({text_literal(f'Null values in {name}: ')}, {nulls})"
-        measures += _Measures(
-            target=[F.count_if(column_named(target, name).isNull()).alias(nulls)],
-            records=[_record(COMPLETENESS, name, _pass_if(f"{nulls} = 0"), nulls, comment)],
+        nulls, is_null = f"nulls_{i}", f"null_{i}"
+        comment = f"concat({text_literal(NULLS_COMMENT.format(name))}, {nulls})"
+        taken = _Measure(
+            nulls,
+            inputs=[(is_null, f"{name_sql(target, name)} IS NULL")],
+            aggregates=[(nulls, f"count_if({is_null})")],
+            outputs=[f"coalesce(sum({nulls}), 0) AS {nulls}"],
         )
-    return measures
+        record = _record(COMPLETENESS, name, _pass_if(f"{nulls} = 0"), nulls, comment)
+        units.append(_Unit(taken, [record]))
+    return units
 
 
 def _value_columns(value_columns: str | list[str] | None) -> list[str]:
@@ -145,26 +221,23 @@ def _count_record(name: str, label: str, count: str) -> str:
         name,
         _pass_if(f"{source} = {target}"),
         f"abs({source} - {target})",
-        f"concat('{label} — Source: ', {source}, ', Target: ', {target})",
+        f"concat('{label}{SOURCE_COMMENT}', {source}, '{TARGET_COMMENT}', {target})",
     )
 
 
-def _sum_record(name: str, total: str, bad: str, kinds: tuple[str, str], tolerance: float) -> str:
-    """Equal totals? Any value that cannot be summed exactly makes it an error instead."""
-    source, target = f"coalesce(source.{total}, 0)", f"coalesce({total}, 0)"
-    gap = f"abs({source} - {target})"
-    equal = f"{gap} <= {float(tolerance)!r}D" if tolerance else f"{source} = {target}"
-    errors = f"(source.{bad} + {bad})"
+def _sum_record(name: str, total: str) -> str:
+    """Equal totals? NaN or infinite values make it an error instead."""
+    errors = f"(source.{total}.bad + {total}.bad)"
+    both = f"{total}_compared"
     sums = (
-        f"concat('Sum check — Source: ', {plain_text_sql(f'source.{total}', kinds[0])}, "
-        f"', Target: ', {plain_text_sql(total, kinds[1])})"
+        f"concat('{SUM_COMMENT}{SOURCE_COMMENT}', {both}.source, '{TARGET_COMMENT}', {both}.target)"
     )
-    broken = f"concat('Sum check — values without an exact sum: ', {errors})"
+    broken = f"concat('{SUM_COMMENT} — values without an exact sum: ', {errors})"
     return _record(
         RECONCILIATION,
         name,
-        f"CASE WHEN {errors} > 0 THEN '{ERROR}' ELSE {_pass_if(equal)} END",
-        f"CASE WHEN {errors} > 0 THEN CAST({errors} AS DOUBLE) ELSE CAST({gap} AS DOUBLE) END",
+        f"CASE WHEN {errors} > 0 THEN '{ERROR}' ELSE {_pass_if(f'{both}.equal')} END",
+        f"CASE WHEN {errors} > 0 THEN CAST({errors} AS DOUBLE) ELSE {both}.gap END",
         f"CASE WHEN {errors} > 0 THEN {broken} ELSE {sums} END",
     )
 
@@ -175,57 +248,60 @@ def _reconciliation(
     value_columns: str | list[str] | None,
     mode: str,
     tolerance: float,
-    sum_scale: int,
-) -> _Measures:
+) -> list[_Unit]:
     if mode not in ("non_null", "rows"):
         raise ValueError(f"mode must be 'non_null' or 'rows', got {mode!r}")
-    label = "Non-null count check" if mode == "non_null" else "Count check"
-    measures = _Measures()
+    label = NON_NULL_COUNT_COMMENT if mode == "non_null" else COUNT_COMMENT
+    units = []
     for i, name in enumerate(_value_columns(value_columns)):
-        counted, total, bad = f"count_{i}", f"sum_{i}", f"unsummable_{i}"
-        sides, kinds = [], []
+        counted, total = f"count_{i}", f"sum_{i}"
+        sides = []
         for df in (source, target):
             value = name_sql(df, name)
-            exact = exact_sum(value, df.select(F.col(value)).schema[0].dataType, sum_scale)
-            count = f"count({value})" if mode == "non_null" else "count(*)"
-            # Overflow leaves no total although there are values; that is an error as well.
-            overflow = f"CAST(count({value}) > 0 AND {exact.total} IS NULL AS BIGINT)"
+            parts = sum_parts(total, value, df.select(F.col(value)).schema[0].dataType)
+            rows = (f"{total}_rows", "count(*)")
+            count = f"{total}.n" if mode == "non_null" else f"sum({rows[0]})"
+            outputs = [gathered(total, parts)]
+            if mode == "rows":
+                outputs.append(f"coalesce({count}, 0) AS {counted}")
             sides.append(
-                [
-                    F.expr(f"{count} AS {counted}"),
-                    F.expr(f"{exact.total} AS {total}"),
-                    F.expr(f"greatest({exact.unsummable}, {overflow}) AS {bad}"),
-                ]
+                _Measure(
+                    total,
+                    inputs=parts.inputs,
+                    derived=parts.derived,
+                    keys=[parts.key] if parts.key else [],
+                    aggregates=parts.aggregates + ([rows] if mode == "rows" else []),
+                    outputs=outputs,
+                    width=width(parts),
+                )
             )
-            kinds.append("float" if mode == "non_null" else exact.kind)
-        measures += _Measures(
-            source=sides[0],
-            target=sides[1],
-            records=[
-                _count_record(name, label, counted),
-                _sum_record(name, total, bad, (kinds[0], kinds[1]), tolerance),
-            ],
-        )
-    return measures
+        records = [
+            _count_record(name, label, counted if mode == "rows" else f"{total}.n"),
+            _sum_record(name, total),
+        ]
+        units.append(_Unit(sides[1], records, sides[0], (total, mode == "rows", tolerance)))
+    return units
 
 
-def _timeliness(target: DataFrame, stamp: _Stamp, expected_lag_days: int) -> _Measures:
+def _timeliness(target: DataFrame, stamp: _Stamp, expected_lag_days: int) -> list[_Unit]:
     if BUSINESS_DAY not in target.columns:
-        return _Measures()
+        return []
     lag = f"datediff(DATE'{stamp.as_of.date()}', latest)"
     on_time = _pass_if(f"{lag} <= {int(expected_lag_days)}")
-    return _Measures(
-        target=[F.max(F.col(BUSINESS_DAY).cast("date")).alias("latest")],
-        records=[
-            _record(
-                TIMELINESS,
-                BUSINESS_DAY,
-                f"CASE WHEN latest IS NOT NULL THEN {on_time} END",
-                lag,
-                f"concat('Latest date: ', latest, ', lag days: ', {lag})",
-            )
-        ],
+    latest = _Measure(
+        "latest",
+        inputs=[("business_day", f"CAST({name_sql(target, BUSINESS_DAY)} AS DATE)")],
+        aggregates=[("latest_day", "max(business_day)")],
+        outputs=["max(latest_day) AS latest"],
+    )
+    record = _record(
+        TIMELINESS,
+        BUSINESS_DAY,
+        f"CASE WHEN latest IS NOT NULL THEN {on_time} END",
+        lag,
+        f"concat('{LATEST_COMMENT}', latest, '{LAG_COMMENT}', {lag})",
     )
+    return [_Unit(latest, [record])]
 
 
 def check_uniqueness(
@@ -234,14 +310,18 @@ def check_uniqueness(
     edi_business_day: str | date,
     *,
     as_of: datetime | date | None = None,
+    strategy: str = "auto",
 ) -> DataFrame:
-    """Number of key values held by more than one row; no record without key columns."""
+    """Number of key values held by more than one row; no record without key columns.
+
+    ``strategy`` is that of ``duplicate_groups``.
+    """
     keys = list(primary_key_columns or [])
     if not keys:
         return _no_records(df)
-    comment = "concat('Duplicate key rows found: ', failed)"
+    comment = f"concat('{KEYS_COMMENT}', failed)"
     record = _record(UNIQUENESS, ",".join(keys), _pass_if("failed = 0"), "failed", comment)
-    return _records(duplicate_groups(df, keys), [record], _Stamp.of(edi_business_day, as_of))
+    return _records(duplicate_groups(df, keys, strategy), [record], _Stamp.of(edi_business_day, as_of))
 
 
 def check_completeness(
@@ -264,19 +344,17 @@ def check_reconciliation(
     *,
     mode: str = "non_null",
     tolerance: float = 0,
-    sum_scale: int = DEFAULT_SUM_SCALE,
     as_of: datetime | date | None = None,
 ) -> DataFrame:
     """Count and sum per column, equal on both sides? One scan per side for all columns.
 
-    ``mode`` compares non-null values (``non_null``) or all rows (``rows``). Sums do not
-    depend on partitioning; values that have no exact sum give an ERROR record.
+    ``mode`` compares non-null values (``non_null``) or all rows (``rows``). Sums are exact and
+    do not depend on partitioning, also where the sides have unlike types; NaN and infinity have
+    no exact sum and give an ERROR record.
     """
     stamp = _Stamp.of(edi_business_day, as_of)
-    measures = _reconciliation(
-        df_source, df_target, value_columns, mode, tolerance, sum_scale
-    )
-    return _measure(df_target, df_source, measures, stamp)
+    units = _reconciliation(df_source, df_target, value_columns, mode, tolerance)
+    return _measure(df_target, df_source, units, stamp)
 
 
 def check_timeliness(
@@ -302,14 +380,13 @@ def run_dq_checks(
     *,
     mode: str = "non_null",
     tolerance: float = 0,
-    sum_scale: int = DEFAULT_SUM_SCALE,
     as_of: datetime | date | None = None,
 ) -> DataFrame:
     """All audit records of a run, lazily: uniqueness, completeness, reconciliation, timeliness."""
     stamp = _Stamp.of(edi_business_day, as_of)
-    measures = (
+    units = (
         _completeness(df_target, not_null_columns)
-        + _reconciliation(df_source, df_target, value_column, mode, tolerance, sum_scale)
+        + _reconciliation(df_source, df_target, value_column, mode, tolerance)
         + _timeliness(df_target, stamp, expected_lag_days)
     )
     parts = []
@@ -319,8 +396,8 @@ def run_dq_checks(
                 df_target, primary_key_columns, stamp.business_day, as_of=stamp.as_of
             )
         )
-    if measures.records or not parts:
-        parts.append(_measure(df_target, df_source, measures, stamp))
+    if units or not parts:
+        parts.append(_measure(df_target, df_source, units, stamp))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 

@@ -1,8 +1,8 @@
 """Running a configuration of rules with as few scans as possible.
 
 The row rules of a table become one aggregation over one column-pruned scan, or a few when they
-are very many. Rules that need a grouping of their own are added with a union, so that Spark
-runs their stages side by side.
+are very many, and its references one grouping over another. Rules that need a grouping of their
+own are added with a union, so that Spark runs their stages side by side.
 """
 
 from __future__ import annotations
@@ -10,15 +10,30 @@ from __future__ import annotations
 import json
 import logging
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import (
+    AnalysisException,
+    ArithmeticException,
+    ArrayIndexOutOfBoundsException,
+    DateTimeException,
+    IllegalArgumentException,
+    NumberFormatException,
+    ParseException,
+    PySparkException,
+    PythonException,
+)
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline import operators  # noqa: F401  (registers the built-in checks)
 from plumbline.config import RuleSpec, read_config
+from plumbline.operators.references import count_missing
 from plumbline.results import (
     ERROR,
     GRADED_ERROR_SQL,
@@ -29,7 +44,9 @@ from plumbline.results import (
 )
 from plumbline.rules import (
     DQ_FUNCTIONS,
+    ReferenceRule,
     RowRule,
+    Rule,
     RuleContext,
     SetRule,
     TableResolver,
@@ -46,7 +63,7 @@ class _Ready:
     place: int
     spec: RuleSpec
     df: DataFrame
-    rule: RowRule | SetRule
+    rule: Rule
 
 
 def _message(error: Exception) -> str:
@@ -65,9 +82,49 @@ def _error_row(spec: RuleSpec, error: Exception) -> Row:
     )
 
 
-# Spark compiles a stage as a whole up to 100 fields (spark.sql.codegen.maxFields). A wider
-# aggregation is interpreted, several times slower, so more rules than this take another scan.
-MOST_AGGREGATES = 90
+# Errors that the data or a rule cause: data exceptions, functions of the user, unresolved names,
+# errors raised in SQL. Others, say a cancelled job or a lost cluster, are nobody's rule.
+_RULE_SQLSTATES = ("21", "22", "38", "39", "42", "P0")
+_RULE_ERRORS = (
+    AnalysisException,
+    ArithmeticException,
+    ArrayIndexOutOfBoundsException,
+    DateTimeException,
+    IllegalArgumentException,
+    NumberFormatException,
+    ParseException,
+    PythonException,
+)
+
+
+# Exceptions of Java's library that values or patterns cause in a task.
+_JAVA_RULE_ERRORS = (
+    "java.lang.ArithmeticException",
+    "java.lang.ArrayIndexOutOfBoundsException",
+    "java.lang.NumberFormatException",
+    "java.time.DateTimeException",
+    "java.util.regex.PatternSyntaxException",
+)
+
+
+def _is_rule_error(error: Exception) -> bool:
+    if isinstance(error, Py4JJavaError):  # an exception that Spark's Python API has no class for
+        cause = error.java_exception
+        while cause is not None:
+            if cause.getClass().getName() in _JAVA_RULE_ERRORS:
+                return True
+            cause = cause.getCause()
+        return False
+    if not isinstance(error, PySparkException):
+        return False
+    state = error.getSqlState()
+    return state.startswith(_RULE_SQLSTATES) if state else isinstance(error, _RULE_ERRORS)
+
+
+def _most_aggregates(df: DataFrame) -> int:
+    """Spark compiles a stage as a whole up to a number of fields. A wider aggregation is
+    interpreted, several times slower, so more rules than this take another scan."""
+    return max(1, int(df.sparkSession.conf.get("spark.sql.codegen.maxFields", "100")) - 10)
 
 
 def _scan_groups(rules: list[_Ready]) -> list[list[_Ready]]:
@@ -78,7 +135,7 @@ def _scan_groups(rules: list[_Ready]) -> list[list[_Ready]]:
     """
     by_column = sorted(rules, key=lambda r: str(r.spec.column))
     sizes = [1 if r.rule.scope is None else 2 for r in by_column]
-    scans = -(-sum(sizes) // MOST_AGGREGATES)
+    scans = -(-sum(sizes) // _most_aggregates(rules[0].df))
     share = sum(sizes) / max(scans, 1)
     groups: list[list[_Ready]] = [[] for _ in range(scans)]
     before = 0
@@ -119,20 +176,40 @@ def _set_rule_counts(ready: _Ready) -> DataFrame:
     return ready.rule.counts.selectExpr(f"inline(array({_rule_sql(ready, 'failed', 'total')}))")
 
 
-def _rule_counts(ready: list[_Ready]) -> list[DataFrame]:
-    """``place, failed, total, zero_when_empty``: one frame per scan, one per set rule."""
-    by_table: dict[int, list[_Ready]] = {}
+def _reference_counts(df: DataFrame, ready: list[_Ready]) -> DataFrame:
+    places = F.array(*[F.lit(r.place) for r in ready])
+    return count_missing(df, [r.rule for r in ready]).select(
+        places[F.col("rule")].alias("place"),
+        F.col("failed").cast("long"),
+        F.col("total").cast("long"),
+        F.lit(False).alias("zero_when_empty"),
+    )
+
+
+def _by_table(ready: list[_Ready], kind: type) -> list[list[_Ready]]:
+    tables: dict[int, list[_Ready]] = {}
     for r in ready:
-        if isinstance(r.rule, RowRule):
-            by_table.setdefault(id(r.df), []).append(r)
+        if isinstance(r.rule, kind):
+            tables.setdefault(id(r.df), []).append(r)
+    return list(tables.values())
+
+
+def _rule_counts(ready: list[_Ready]) -> list[DataFrame]:
+    """``place, failed, total, zero_when_empty``: one frame per scan of row rules, one for the
+    references of a table, one per set rule."""
     row_rules = [
         _row_rule_counts(group[0].df, group)
-        for rules in by_table.values()
+        for rules in _by_table(ready, RowRule)
         for group in _scan_groups(rules)
     ]
-    return row_rules + [_set_rule_counts(r) for r in ready if isinstance(r.rule, SetRule)]
+    references = [_reference_counts(rules[0].df, rules) for rules in _by_table(ready, ReferenceRule)]
+    sets = [_set_rule_counts(r) for r in ready if isinstance(r.rule, SetRule)]
+    return row_rules + references + sets
 
 
+# Jobs that the driver submits at a time.
+MOST_JOBS = 16
+
 _LABELS = "array<struct<table: string, column: string, dq_type: string, threshold: double>>"
 
 
@@ -158,8 +235,7 @@ class _Suite:
         self.spark = spark
         self.tables = tables
         self.specs = read_config(config)
-        self.ready: list[_Ready] = []
-        self.counts: list[DataFrame] = []
+        self.parts: list[tuple[list[_Ready], list[DataFrame]]] = []
         self.errors: dict[int, Row] = {}
         by_table: dict[str, list[int]] = {}
         for place, spec in enumerate(self.specs):
@@ -195,8 +271,8 @@ class _Suite:
         except Exception:
             built = [r for r in built if self._resolves(r)]
             counts = _analysed(built)
-        self.ready += built
-        self.counts += counts
+        if built:
+            self.parts.append((built, counts))
 
     def _resolves(self, ready: _Ready) -> bool:
         try:
@@ -231,25 +307,30 @@ class _Suite:
         )
 
     def frame(self) -> DataFrame:
-        """Lazy results; a rule that fails at run time fails them all."""
+        """Lazy results in configured order; a rule that fails at run time fails them all."""
+        names = RULE_RESULT_SCHEMA.names
         parts = []
-        if self.ready:
-            parts.append(self._graded(self.counts).select(*RULE_RESULT_SCHEMA.names))
+        if self.parts:
+            counts = [frame for _, frames in self.parts for frame in frames]
+            parts.append(self._graded(counts).select("place", *names))
         if self.errors or not parts:
-            rows = [self.errors[place] for place in sorted(self.errors)]
-            parts.append(self.spark.createDataFrame(rows, RULE_RESULT_SCHEMA))
-        return reduce(DataFrame.unionByName, parts)
-
-    def rows(self) -> list[Row]:
-        """Results in configured order, a rule that fails at run time as an ERROR row."""
-        done = dict(self.errors)
-        # Neighbours share a table, so a failing part soon narrows down to one table.
-        parts = [(self.ready, self.counts)] if self.ready else []
+            rows = [(place, *self.errors[place]) for place in sorted(self.errors)]
+            shape = T.StructType([T.StructField("place", T.IntegerType()), *RULE_RESULT_SCHEMA])
+            parts.append(self.spark.createDataFrame(rows, shape))
+        return reduce(DataFrame.unionByName, parts).orderBy("place").select(*names)
+
+    def _table_rows(self, ready: list[_Ready], counts: list[DataFrame]) -> dict[int, Row]:
+        """Results of one table. If its job fails, its rules are halved until those that fail
+        stand alone; what has succeeded is kept."""
+        done: dict[int, Row] = {}
+        parts = [(ready, counts)]
         while parts:
             part, counts = parts.pop()
             try:
                 collected = self._graded(counts).collect()
             except Exception as error:
+                if not _is_rule_error(error):
+                    raise
                 if len(part) == 1:
                     done[part[0].place] = _error_row(part[0].spec, error)
                 else:
@@ -258,6 +339,17 @@ class _Suite:
                     parts += [(half, _rule_counts(half)) for half in halves]
                 continue
             done.update((row["place"], row) for row in collected)
+        return done
+
+    def rows(self) -> list[Row]:
+        """Results in configured order, a rule that fails at run time as an ERROR row.
+
+        The tables' jobs are submitted side by side.
+        """
+        done = dict(self.errors)
+        with ThreadPoolExecutor(max(1, min(len(self.parts), MOST_JOBS))) as pool:
+            for rows in pool.map(lambda part: self._table_rows(*part), self.parts):
+                done.update(rows)
         names = RULE_RESULT_SCHEMA.names
         return [Row(**{n: done[place][n] for n in names}) for place in sorted(done)]
 
@@ -278,8 +370,9 @@ def run_dq_from_config(
 ) -> DataFrame:
     """Run all rules of ``config`` and return one row per rule, in configured order.
 
-    One job for everything. If a rule fails on the data, the rules are halved until it stands
-    alone, so one bad rule among n costs about log2(n) further scans.
+    One job for each table. If a rule fails on the data, the rules of its table are halved until
+    it stands alone, so one bad rule among n costs about log2(n) further scans of that table. Any
+    other failure of a job, say that it was cancelled, is raised.
     """
     rows = _Suite(spark, config, tables or spark.table).rows()
     return spark.createDataFrame(rows, RULE_RESULT_SCHEMA)

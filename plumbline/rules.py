@@ -55,7 +55,18 @@ class SetRule:
     zero_when_empty: bool = False
 
 
-Builder = Callable[..., "Column | DataFrame | RowRule | SetRule"]
+@dataclass(frozen=True)
+class ReferenceRule:
+    """Every value must be one of the keys. All references of a table share one grouping."""
+
+    value: Column
+    keys: DataFrame
+    key: Column
+    zero_when_empty: bool = False
+
+
+Rule = RowRule | SetRule | ReferenceRule
+Builder = Callable[..., "Column | DataFrame | Rule"]
 
 # Check name -> builder(context, column, **params).
 DQ_FUNCTIONS: dict[str, Builder] = {}
@@ -77,13 +88,13 @@ def dq_check(name: str) -> Callable[[Builder], Builder]:
 
 def build_rule(
     dq_type: str, context: RuleContext, column: str | None, params: dict
-) -> RowRule | SetRule:
+) -> Rule:
     """Run the registered builder and normalise what it returns."""
     built = DQ_FUNCTIONS[dq_type](context, column, **params)
     if isinstance(built, DataFrame):
         return SetRule(built)
     if isinstance(built, Column):
         return RowRule(built)
-    if isinstance(built, (RowRule, SetRule)):
+    if isinstance(built, Rule):
         return built
     raise TypeError(f"check {dq_type} returned {type(built).__name__}")

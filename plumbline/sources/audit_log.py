@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping, Sequence
+from typing import Any
+
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from plumbline.results import AUDIT_SCHEMA
 
@@ -18,3 +21,14 @@ def append_audit(records: DataFrame, path: str) -> DataFrame:
     frame = records.sparkSession.createDataFrame(rows, AUDIT_SCHEMA).coalesce(1)
     frame.write.mode("append").parquet(path)
     return frame
+
+
+def write_dq_results(
+    spark: SparkSession, dq_results: DataFrame | Sequence[Mapping[str, Any] | Row], path: str
+) -> DataFrame:
+    """The same for records given as a frame, as rows or as mappings."""
+    if not isinstance(dq_results, DataFrame):
+        names = AUDIT_SCHEMA.names
+        rows = [tuple(r[n] if n != "failed_rows" else float(r[n]) for n in names) for r in dq_results]
+        dq_results = spark.createDataFrame(rows, AUDIT_SCHEMA)
+    return append_audit(dq_results, path)

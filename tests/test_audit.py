@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime, timedelta, timezone
+from decimal import Decimal as D
 
 import pytest
 from pyspark.sql import functions as F
@@ -108,13 +109,95 @@ def test_smallest_difference_counts(spark):
     assert (row["status"], row["failed_rows"]) == ("FAIL", 1e-12)
 
 
-@pytest.mark.parametrize("bad", [float("nan"), float("inf"), 1e33])
+@pytest.mark.parametrize("bad", [float("nan"), float("inf"), float("-inf")])
 def test_values_without_sum_are_an_error(spark, bad):
     df = spark.createDataFrame([(1.0,), (bad,)], "v double")
     row = check_reconciliation(df, df, "v", DAY).collect()[1]
     assert (row["status"], row["failed_rows"]) == ("ERROR", 2.0)
 
 
+def sums(spark, source, target, partitions=None, **options):
+    one, two = (
+        spark.createDataFrame([(v,) for v in values], f"v {kind}") for values, kind in (source, target)
+    )
+    if partitions:
+        one, two = one.repartition(partitions), two.repartition(partitions)
+    row = check_reconciliation(one, two, "v", DAY, **options).collect()[1]
+    return row["status"], row["failed_rows"]
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 7])
+@pytest.mark.parametrize("mode", ["non_null", "rows"])
+@pytest.mark.parametrize(
+    ("source", "target", "expected"),
+    [
+        (([3], "int"), ([3.04], "double"), ("FAIL", 0.04)),
+        (([3], "int"), ([3.0], "double"), ("PASS", 0.0)),
+        (([D("100.00")], "decimal(18,2)"), ([100.0004], "double"), ("FAIL", 0.0004)),
+        (([D("0.10")] * 10, "decimal(18,2)"), ([1.0], "double"), ("PASS", 0.0)),
+        (([1], "long"), ([D("1.0000001")], "decimal(38,10)"), ("FAIL", 1e-7)),
+        (([D("1.00")], "decimal(12,2)"), ([D("1.0000001")], "decimal(20,8)"), ("FAIL", 1e-7)),
+        (([1e27] * 3, "double"), ([3e27], "double"), ("PASS", 0.0)),
+        (([1e27], "double"), ([D(10**27)], "decimal(38,0)"), ("PASS", 0.0)),
+        (([1e-13] * 1000, "double"), ([0.0] * 1000, "double"), ("FAIL", 1e-10)),
+        (
+            ([D("12345678." + "0" * 29 + "1")], "decimal(38,30)"),
+            ([D("12345678." + "0" * 29 + "1")], "decimal(38,30)"),
+            ("PASS", 0.0),
+        ),
+        (
+            ([D("12345678." + "0" * 29 + "1")], "decimal(38,30)"),
+            ([12345678], "int"),
+            ("FAIL", 1e-30),
+        ),
+        (([1.5], "float"), ([D("1.5")], "decimal(2,1)"), ("PASS", 0.0)),
+    ],
+)
+def test_unlike_types_are_compared_exactly(spark, source, target, expected, mode, partitions):
+    assert sums(spark, source, target, partitions, mode=mode) == expected
+
+
+def test_tolerance_across_types(spark):
+    assert sums(spark, ([3], "int"), ([3.04], "double"), tolerance=0.04)[0] == "PASS"
+    assert sums(spark, ([3], "int"), ([3.04], "double"), tolerance=0.039)[0] == "FAIL"
+
+
+def ran(frame):
+    """Lines of the physical plan as it ran, subqueries included."""
+    frame.collect()
+    kept, skipped = [], None
+    for line in frame._jdf.queryExecution().executedPlan().toString().splitlines():
+        indent = len(line) - len(line.lstrip(" :+-"))
+        if skipped is not None and indent >= skipped:
+            continue
+        skipped = indent if "== Initial Plan ==" in line else None
+        kept.append(line)
+    return kept
+
+
+def heavy_aggregates(frame):
+    """Aggregations over the table's rows: how many are compiled, how many are not."""
+    lines = [x for x in ran(frame) if "Aggregate(" in x and "partial_count" in x]
+    return sum("*(" in x for x in lines), sum("*(" not in x for x in lines)
+
+
+def test_wide_audits_are_compiled(spark):
+    wide = spark.range(50).select(*[(F.col("id") / (i + 3)).alias(f"c{i}") for i in range(30)])
+    names = wide.columns
+    found = check_reconciliation(wide, wide, names, DAY)
+    compiled, interpreted = heavy_aggregates(found)
+    assert compiled >= 10 and interpreted == 0
+    assert {r["status"] for r in found.collect()} == {"PASS"}
+    many = spark.range(50).select(
+        *[F.when(F.col("id") % (i + 2) != 0, F.col("id")).alias(f"c{i}") for i in range(300)]
+    )
+    found = check_completeness(many, many.columns, DAY)
+    compiled, interpreted = heavy_aggregates(found)
+    assert compiled >= 4 and interpreted == 0
+    expected = [float(sum(k % (i + 2) == 0 for k in range(50))) for i in range(300)]
+    assert [r["failed_rows"] for r in found.collect()] == expected
+
+
 def test_integers_and_decimals_reconcile(spark):
     source = spark.createDataFrame([(2**62,), (2**62,), (2**62,)], "v long")
     target = source.select(F.col("v").cast("decimal(30,2)").alias("v"))
@@ -205,7 +288,8 @@ def test_job_appends_to_the_log(spark, target, tmp_path):
     path = str(tmp_path / "audit")
     parameters = {"edi_business_day": DAY, "dq_audit_path": path, "expected_lag_days": "3"}
     first = run_audit_job(target, target, parameters, as_of=AS_OF)
-    second = write_dq_results(run_dq_checks(target, target, DAY, ["order_id"]), path)
+    records = [r.asDict() for r in run_dq_checks(target, target, DAY, ["order_id"]).collect()]
+    second = write_dq_results(spark, records, path)
     back = spark.read.parquet(path)
     assert first.count() == 6
     assert back.count() == first.count() + second.count()

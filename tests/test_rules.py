@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
+from decimal import Decimal
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from plumbline import frames, run_check
-from plumbline.operators import duplicates, value_sets
 from plumbline.operators.duplicates import duplicate_groups
 
 
@@ -66,6 +67,16 @@ def column_of(spark, values, data_type="string"):
             {"expected_type": "timestamp"},
             1,
         ),
+        *[
+            (
+                "data_type_check",
+                ["10:00", "T10:00", "2024", "2024-02", "2024-02-29 10:00:00", "2024-2-9", None],
+                "string",
+                {"expected_type": name},
+                4,
+            )
+            for name in ("DATE", "TIMESTAMP")
+        ],
         ("data_type_check", [date(2024, 1, 1), None], "date", {"expected_type": "date"}, 0),
         ("data_type_check", ["12", "12a", "2024-01-01", None], "string", {"expected_type": "text"}, 1),
         ("data_type_check", [12, -3, None], "int", {"expected_type": "string"}, 1),
@@ -188,18 +199,25 @@ class TestReferences:
             spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("allowed", [["a"], ["a", "c"], ["a", None], []])
-def test_long_list_equals_inline(spark, monkeypatch, allowed):
-    df = column_of(spark, ["a", "a", "b", None])
-    inline = run_check(df, "value_set_check", "x", allowed_values=allowed).first()
-    monkeypatch.setattr(value_sets, "LONGEST_INLINE_LIST", 0)
-    assert run_check(df, "value_set_check", "x", allowed_values=allowed).first() == inline
-
-
-def test_long_list_of_mixed_numbers(spark, monkeypatch):
-    monkeypatch.setattr(value_sets, "LONGEST_INLINE_LIST", 0)
-    df = column_of(spark, [1.0, 2.5, 3.0], "double")
-    assert failed(df, "value_set_check", allowed_values=[1, 2.5]) == 1
+@pytest.mark.parametrize(
+    ("value_type", "make"),
+    [
+        ("string", str),
+        ("int", int),
+        ("long", int),
+        ("double", float),
+        ("double", int),
+        ("decimal(38,0)", lambda i: Decimal(10**25 + i)),
+        ("decimal(12,2)", lambda i: Decimal(i) / 2 if i % 2 else i),
+        ("date", lambda i: date(2000, 1, 1) + timedelta(days=i)),
+    ],
+)
+def test_length_of_the_list_does_not_matter(spark, value_type, make):
+    typed = {"double": float, "decimal(12,2)": Decimal}.get(value_type, lambda x: x)
+    values = [typed(make(i)) for i in (0, 5, 998, 1000, 2000)] + [None]
+    df = column_of(spark, values, value_type)
+    assert failed(df, "value_set_check", allowed_values=[make(i) for i in range(999)]) == 2
+    assert failed(df, "value_set_check", allowed_values=[make(i) for i in range(1001)]) == 1
 
 
 @pytest.mark.parametrize(
@@ -222,6 +240,16 @@ def test_keys_of_another_type_meet_as_in_a_join(
     assert row.first()["failed"] == expected
 
 
+def test_long_texts_meet_by_digest(spark):
+    long = "x" * 33
+    df = column_of(spark, [long, long + "y", "short", "x" * 32, "", None])
+    ref = spark.createDataFrame([(long,), ("x" * 32,), ("",), ("z",)], "k string")
+    row = run_check(
+        df, "referential_check", "x", tables=frames({"ref": ref}), ref_table="ref", ref_col="k"
+    ).first()
+    assert row["failed"] == 3
+
+
 class TestDuplicates:
     ROWS = [
         ("a", 1, 0.0),
@@ -265,20 +293,26 @@ class TestDuplicates:
         df = spark.sql("SELECT map('a', 1) AS m, 'x' AS t FROM range(2)")
         assert duplicate_groups(df, df.columns).first()["failed"] == 1
 
-    @pytest.mark.parametrize("most_listed", [0, 2, 3, 1000])
-    def test_hot_group_with_any_length_of_list(self, spark, monkeypatch, most_listed):
-        """A group of a third of the rows and 2 small ones; the list of prints may overflow."""
-        df = spark.range(20_000).select(
-            F.when(F.col("id") % 3 == 0, F.lit("hot"))
-            .when(F.col("id") < 5, F.lit("pair"))
-            .when(F.col("id") > 19_990, F.lit("few"))
-            .otherwise(F.col("id").cast("string"))
-            .alias("a"),
+    @pytest.mark.parametrize("strategy", ["direct", "fingerprint"])
+    def test_hot_group_and_very_many_groups(self, spark, strategy):
+        """A third of the rows in one group, and more than 2^19 pairs."""
+        pairs = 2**19 + 1000
+        df = spark.range(3 * pairs).select(
+            F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % pairs).alias("a"),
             F.lit("same").alias("b"),
         )
-        monkeypatch.setattr(duplicates, "MOST_LISTED", most_listed)
-        row = duplicate_groups(df, df.columns, "fingerprint").first()
-        assert (row["failed"], row["total"]) == (3, 20_000)
+        row = duplicate_groups(df, df.columns, strategy).first()
+        ids = np.arange(3 * pairs)
+        _, counts = np.unique(np.where(ids % 3 == 0, -1, ids % pairs), return_counts=True)
+        assert (row["failed"], row["total"]) == ((counts > 1).sum(), 3 * pairs)
+        assert row["failed"] > 2**18
+
+    def test_strategy_is_open_to_rules(self, spark):
+        df = spark.createDataFrame([("a",), ("a",)], "x string")
+        for strategy in ("direct", "fingerprint", "auto"):
+            assert failed(df, "duplicate_row_check", strategy=strategy) == 1
+        with pytest.raises(ValueError, match="strategy"):
+            run_check(df, "duplicate_row_check", "x", strategy="other")
 
 
 def test_awkward_column_names(spark):

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import random
+import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -287,6 +289,88 @@ def test_isolation_takes_few_jobs(spark, monkeypatch):
     assert len(runs) == 11  # 32, then two halves five times
 
 
+def test_a_bad_rule_reads_its_own_table_only(spark, monkeypatch):
+    df = spark.createDataFrame([("a", i) for i in range(10)], "x string, y int")
+    other = spark.range(5)
+    rules = {
+        "tables": config("good", *[("id", "null_check", {})] * 4)["tables"]
+        + config("bad", ("y", "null_check", {}), ("x", "range_check", {"params": {"min_val": 1}}))["tables"]
+    }
+    runs = []
+    graded = suite._Suite._graded
+
+    def counted(self, counts):
+        runs.append(len(counts))
+        return graded(self, counts)
+
+    monkeypatch.setattr(suite._Suite, "_graded", counted)
+    result = statuses(run_dq_from_config(spark, rules, frames({"bad": df, "good": other})))
+    assert result == ["PASS"] * 5 + ["ERROR"]
+    assert len(runs) == 4  # the good table, the bad one, its two rules
+
+
+def test_other_failures_are_raised(spark, monkeypatch):
+    rules = config("t", *[("id", "null_check", {})] * 8)
+    runs = []
+
+    class Broken:
+        def collect(self):
+            runs.append(1)
+            raise RuntimeError("Job 3 cancelled")
+
+    monkeypatch.setattr(suite._Suite, "_graded", lambda self, counts: Broken())
+    with pytest.raises(RuntimeError, match="cancelled"):
+        run_dq_from_config(spark, rules, frames({"t": spark.range(3)}))
+    assert len(runs) == 1
+
+
+def test_cancelled_job_is_raised(spark):
+    def later():
+        time.sleep(1)
+        spark.sparkContext.cancelAllJobs()
+
+    thread = threading.Thread(target=later)
+    thread.start()
+    endless = spark.range(10**13).select((F.rand() * F.col("id")).alias("x"))
+    with pytest.raises(Exception, match="(?i)cancel"):
+        run_dq_from_config(spark, config("t", ("x", "null_check", {}), ("x", "range_check", {"params": {"min_val": 1}})), frames({"t": endless}))
+    thread.join()
+
+
+def test_references_of_a_table_share_one_scan(spark, sf_dir):
+    refs = [("l_orderkey", "orders", "o_orderkey"), ("l_partkey", "part", "p_partkey"),
+            ("l_suppkey", "supplier", "s_suppkey"), ("l_returnflag", "orders", "o_orderstatus")]
+    rules = config(
+        "lineitem",
+        *[(c, "referential_check", {"params": {"ref_table": t, "ref_col": k}}) for c, t, k in refs],
+    )
+    frame = plan_dq_from_config(spark, rules, parquet_tables(spark, sf_dir))
+    lines = [x for x in plan_of(frame).splitlines() if "FileScan parquet" in x and "l_orderkey" in x]
+    assert len(lines) == 1
+
+
+def test_lazy_rows_are_in_configured_order(spark):
+    df = spark.createDataFrame([("a", 1)], "x string, y int")
+    rules = config(
+        "t",
+        ("y", "duplicate_row_check", {}),
+        ("nope", "null_check", {}),
+        ("x", "null_check", {}),
+        ("y", "referential_check", {"params": {"ref_table": "t", "ref_col": "y"}}),
+        ("y", "null_check", {}),
+    )
+    tables = frames({"t": df})
+    lazy, run = (f(spark, rules, tables).collect() for f in (plan_dq_from_config, run_dq_from_config))
+    assert [(r["column"], r["dq_type"]) for r in lazy] == [(r["column"], r["dq_type"]) for r in run]
+    assert [r["status"] for r in lazy] == ["PASS", "ERROR", "PASS", "PASS", "PASS"]
+
+
+def test_nan_threshold_fails(spark):
+    df = spark.createDataFrame([(1,), (None,)], "x int")
+    rules = config("t", ("x", "null_check", {"threshold": float("nan")}))
+    assert statuses(run_dq_from_config(spark, rules, frames({"t": df}))) == ["FAIL"]
+
+
 def test_public_names():
     for name in plumbline.__all__:
         assert hasattr(plumbline, name)
