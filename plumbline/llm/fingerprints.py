@@ -9,10 +9,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import as_bytes, cut, ordered_buckets, pieces, texts_of, words_of
+from plumbline.llm.common import (
+    as_bytes,
+    cut,
+    ordered_buckets,
+    packed_texts,
+    pieces,
+    texts_of,
+    words_of,
+)
 
 BITS = 128
 RADIUS = 4
@@ -97,9 +106,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     Columns: ``doc_id``, ``n_chars``, ``edited_sha256``, ``fingerprint``, ``edited_fingerprint``
     (16 bytes each), ``near_edited``, ``near_next``. The next document of the last is the first; a
-    single row is its own. Nulls in doc_id come first, equal ids are ordered by text; where the
-    first of a range of ids is repeated, its smallest text follows the range before. Null texts
-    are empty. Texts are dealt out once, by ranges of ids.
+    single row is its own. Nulls in doc_id come first, equal ids are ordered by a hash of the text.
+    Null texts are empty. Texts are dealt out once, by ranges of ids.
     """
     rows = texts_of(docs)
     weights = docs.sparkSession.sparkContext.broadcast(term_weights(rows))
@@ -118,11 +126,15 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         F.struct(F.col("bucket").alias("bucket"), F.lit(0).alias("ahead")),
         F.struct(ahead.alias("bucket"), F.lit(1).alias("ahead")),
     )
-    sent = dealt.select("doc_id", "text", F.explode(copies).alias("to")).where("to.bucket is not null")
+    packed = packed_texts(
+        dealt.select("doc_id", F.xxhash64("text").alias("text_hash"), copies.alias("to"), "text")
+    )
+    sent = packed.select("doc_id", "text_hash", "packed", F.explode("to").alias("to"))
     ranged = (
-        sent.select("to.bucket", "to.ahead", "doc_id", "text")
+        sent.where("to.bucket is not null")
+        .select("to.bucket", "to.ahead", "doc_id", "text_hash", "packed")
         .repartition(many, "bucket")
-        .sortWithinPartitions("bucket", "ahead", "doc_id", "text")
+        .sortWithinPartitions("bucket", "ahead", "doc_id", "text_hash")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,12 +156,14 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                 [f.name for f in SHAPE],
             )
 
+        unpack = zstandard.ZstdDecompressor()
         ids, texts, held, over = [], [], 0, None
-        for piece in pieces(batches):
-            columns = [piece.column(c).to_pylist() for c in ("bucket", "ahead", "doc_id", "text")]
-            for range_, is_ahead, doc_id, text in zip(*columns):
+        for piece in pieces(batches, "packed"):
+            columns = [piece.column(c).to_pylist() for c in ("bucket", "ahead", "doc_id", "packed")]
+            for range_, is_ahead, doc_id, packed in zip(*columns):
                 if range_ == over:
                     continue  # further rows with the id of the next range's first
+                text = unpack.decompress(packed).decode()
                 if is_ahead:
                     yield flush(ids, [*texts, text])
                     ids, texts, held, over = [], [], 0, range_

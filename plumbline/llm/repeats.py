@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import as_bytes, cut, pieces, texts_of
+from plumbline.llm.common import as_bytes, cut, packed_texts, pieces, texts_of
 from plumbline.llm.decontamination import bloom, passes
 
 LENGTH = 200
@@ -165,21 +165,6 @@ def _ordered(order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 # --- the job
 
 
-def _packed(rows: DataFrame) -> DataFrame:
-    """Texts as zstd frames, so that dealing them out by document moves less."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=1)
-        for piece in pieces(batches):
-            own = [squeeze.compress(t) for t in as_bytes(piece.column("text"))]
-            yield pa.RecordBatch.from_arrays(
-                [piece.column("doc_id"), piece.column("text_hash"), pa.array(own, pa.binary())],
-                ["doc_id", "text_hash", "packed"],
-            )
-
-    return rows.mapInArrow(run, "doc_id long, text_hash long, packed binary")
-
-
 def _minimizers(rows: DataFrame, length: int, gram: int) -> DataFrame:
     """Minimizers of two blocks or more, and whether their blocks differ (``mixed``)."""
 
@@ -363,7 +348,7 @@ def repeated_spans(
         different["*"], F.col("_wide").isNotNull().alias("wide"),
         (F.col("count") + length - 1).alias("size"),
     )
-    strings = _strings(marked, _packed(rows))
+    strings = _strings(marked, packed_texts(rows))
     ranges = _compared(strings, length)
     if many.limit(1).count():
         ranges = ranges.union(_counted(strings, length))
@@ -394,7 +379,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, **options) -> DataFra
     own = spans.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(
         F.collect_list(F.struct("start", "stop")).alias("own")
     )  # a document's spans: fewer than its bytes
-    packed = _packed(rows)
+    packed = packed_texts(rows)
     joined = packed.join(
         own, packed["doc_id"].eqNullSafe(own["_id"]) & (packed["text_hash"] == own["_hash"]), "left"
     ).select("doc_id", "packed", "own")

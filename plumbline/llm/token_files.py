@@ -34,9 +34,9 @@ CHUNK_BITS = 8
 BLOCK = 512
 END_ID = 1
 #: Tokens after which a task begins a new file.
-FILE_TOKENS = 1 << 23
+FILE_TOKENS = 1 << 22
 #: Distinct words whose ids a task keeps.
-KEPT_WORDS = 600_000
+KEPT_WORDS = 350_000
 #: Words whose ids are laid out at a time.
 SLICE_WORDS = 1 << 17
 _TAIL = "^(?P<core>.*[a-z])(?P<tail>[.,!#$%&*]+)$"
@@ -291,7 +291,7 @@ def write_tokens(
             )
 
         encode = encoder(tokenizer, by_words, end_id)
-        for piece in pieces(batches, limit=1 << 24):
+        for piece in pieces(batches, limit=1 << 23):
             flat, own = encode(piece.column("text"))
             ids += piece.column("doc_id").to_pylist()
             sizes.append(own)

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import as_bytes, cut, pieces, texts_of, without, words_of
+from plumbline.llm.common import as_bytes, cut, pieces, texts_of, words_of
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
 #: Labelled documents learned from at most.
@@ -295,30 +295,44 @@ def learn(docs: DataFrame, labels: DataFrame, training: Column, sample: int = SA
     return model
 
 
+def _scorer(docs: DataFrame, model: Model):
+    """A function for tasks: the scores of some texts."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # PATTERNS entries at most
+
+    def scores(texts: pa.Array, known: dict) -> np.ndarray:
+        if len(known) > 300_000:
+            known.clear()
+        x = features(texts, sent.value, known)
+        z = sent.value.bias + x @ np.array(sent.value.slopes)
+        return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+
+    return scores
+
+
 def toxicity(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id``, ``text_hash``, ``score`` (0 to 1) of every row, repeated ones too.
+    """``doc_id``, ``score`` (0 to 1) of every row, repeated ones too.
 
     Null and empty texts score as texts without a match. Other columns are ignored.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # PATTERNS entries at most
+    scores = _scorer(docs, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict = {}
         for piece in pieces(batches):
-            if len(known) > 300_000:
-                known.clear()
-            x = features(piece.column("text"), sent.value, known)
-            z = sent.value.bias + x @ np.array(sent.value.slopes)
-            score = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
-            yield pa.RecordBatch.from_arrays(
-                [piece.column("doc_id"), piece.column("text_hash"), pa.array(score)],
-                ["doc_id", "text_hash", "score"],
-            )
+            score = pa.array(scores(piece.column("text"), known))
+            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), score], ["doc_id", "score"])
 
-    rows = texts_of(docs).withColumn("text_hash", F.xxhash64("text"))
-    return rows.mapInArrow(run, "doc_id long, text_hash long, score double")
+    return texts_of(docs).mapInArrow(run, "doc_id long, score double")
 
 
 def without_toxic(docs: DataFrame, model: Model, most: float = 0.5) -> DataFrame:
-    """The documents, with all their columns, that score below ``most``."""
-    return without(docs, toxicity(docs, model).where(F.col("score") >= most))
+    """The rows, with all their columns, that score below ``most``: decided where they are read."""
+    scores = _scorer(docs, model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict = {}
+        for piece in pieces(batches):
+            texts = pc.fill_null(piece.column("text").cast(pa.string()), "")
+            yield piece.filter(pa.array(scores(texts, known) < most))
+
+    return docs.mapInArrow(run, docs.schema)

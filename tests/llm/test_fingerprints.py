@@ -4,6 +4,7 @@ import hashlib
 
 import numpy as np
 import pytest
+import xxhash
 
 from plumbline.llm.fingerprints import (
     block_tables,
@@ -17,8 +18,13 @@ from pyspark.sql import functions as F
 
 
 def check(found, rows):
-    """``rows`` are (doc_id, text); ids are unlike, or the texts of equal ids are in order."""
-    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode()))
+    """``rows`` are (doc_id, text); equal ids are ordered by a signed hash of the text."""
+
+    def place(row):
+        hashed = np.uint64(xxhash.xxh64_intdigest(row[1].encode(), 42)).astype(np.int64)
+        return row[0] is not None, row[0] or 0, int(hashed)
+
+    rows = sorted(rows, key=place)
     expected = []
     for i, (doc_id, text) in enumerate(rows):
         new = edited(text, rows[(i + 1) % len(rows)][1])
