@@ -21,8 +21,9 @@ from plumbline.llm.token_files import open_folder
 #: Compressed bytes after which a task begins a new archive, and bytes of a reader's range.
 ARCHIVE_BYTES = 1 << 28
 SPLIT_BYTES = 1 << 23
-#: Bytes read at a time, and bytes of a candidate that are decoded to tell whether it is a record.
-READ_BYTES, PROBE_BYTES = 1 << 19, 1 << 12
+#: Bytes read and decoded at a time, and bytes of a candidate that tell whether it is a record.
+READ_BYTES, UNPACK_BYTES, PROBE_BYTES = 1 << 20, 1 << 13, 1 << 10
+MARK = b"WARC/1."
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _MAGIC = re.compile(rb"\x1f\x8b\x08[\x00-\x1f]")
 _KEPT = "".join(map(chr, range(33, 127)))
@@ -72,7 +73,7 @@ def write_warc(
     pages: DataFrame,
     folder: str,
     least_bytes: int = 0,
-    level: int = 6,
+    level: int = 4,
     date: str = "2024-01-01T00:00:00Z",
     archive_bytes: int = ARCHIVE_BYTES,
 ) -> DataFrame:
@@ -141,23 +142,28 @@ class Members:
 
     def __init__(self, source: pa.NativeFile, size: int):
         self._source, self._size = source, size
+        self._at, self._held = 0, memoryview(b"")
 
-    def _read(self, at: int, n: int) -> bytes:
-        return self._source.read_at(min(n, self._size - at), at) if at < self._size else b""
+    def _read(self, at: int, n: int) -> memoryview:
+        """Up to ``n`` bytes from ``at``; the archive is read ahead in large pieces."""
+        stop = min(at + n, self._size)
+        if at < self._at or stop > self._at + len(self._held):
+            ahead = max(0, min(max(n, READ_BYTES), self._size - at))
+            self._at, self._held = at, memoryview(self._source.read_at(ahead, at))
+        return self._held[at - self._at : stop - self._at]
 
     def is_record(self, at: int) -> bool:
         """Whether what starts here decodes to the header of a record."""
         try:
-            return zlib.decompressobj(31).decompress(self._read(at, PROBE_BYTES), 16)[:7] == b"WARC/1."
+            return zlib.decompressobj(31).decompress(self._read(at, PROBE_BYTES), 16)[:7] == MARK
         except zlib.error:
             return False
 
     def member(self, at: int) -> tuple[bytes, int] | None:
-        """The whole member and the place after it; None if it is broken."""
-        unpack, out = zlib.decompressobj(31), []
-        place = at
+        """The whole record that starts here and the place after it; None if none does."""
+        unpack, out, place = zlib.decompressobj(31), [], at
         while not unpack.eof:
-            data = self._read(place, READ_BYTES)
+            data = self._read(place, UNPACK_BYTES)
             if not data:
                 return None
             place += len(data)
@@ -165,12 +171,13 @@ class Members:
                 out.append(unpack.decompress(data))
             except zlib.error:
                 return None
-        return b"".join(out), place - len(unpack.unused_data)
+        whole = b"".join(out)
+        return (whole, place - len(unpack.unused_data)) if whole.startswith(MARK) else None
 
     def next_record(self, at: int, stop: int) -> int | None:
         """The first place of [at, stop) where a record starts."""
         while at < stop:
-            data = self._read(at, min(READ_BYTES, stop - at) + 3)
+            data = self._read(at, min(READ_BYTES, stop - at + 3))
             for found in _MAGIC.finditer(data):
                 place = at + found.start()
                 if place < stop and self.is_record(place):
@@ -180,17 +187,16 @@ class Members:
 
     def within(self, start: int, stop: int) -> Iterator[tuple[int, bytes]]:
         """(place, bytes) of the records that start in the range, wherever they end."""
+        stop = min(stop, self._size)
         at = self.next_record(start, stop)
-        while at is not None:
+        while at is not None and at < stop:
             found = self.member(at)
             if found is None:
                 at = self.next_record(at + 1, stop)
                 continue
             yield at, found[0]
             after = found[1]
-            if after >= stop:
-                return
-            at = after if self.is_record(after) else self.next_record(after, stop)
+            at = after if _MAGIC.match(self._read(after, 4)) else self.next_record(after, stop)
 
 
 def headers(raw: bytes) -> dict[str, str]:
