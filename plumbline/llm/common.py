@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -70,6 +72,13 @@ def pieces(
             start = stop
 
 
+def release_memory() -> None:
+    """Gives memory that a task no longer uses back to the machine: its worker may idle for long."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has this
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def as_bytes(column: pa.Array) -> list[bytes]:
     return column.cast(pa.binary()).to_pylist()
 
@@ -143,20 +152,23 @@ def shingles(words: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.ndarray,
     return mixed(h[at]), at
 
 
-def ordered_buckets(frame: DataFrame, key: str, parts: int | None = None) -> tuple[Column, int]:
-    """A column that deals rows into ranges of ``key`` of about equal row counts, and their number.
+def ordered_buckets(frame: DataFrame, key: str, parts: int | None = None) -> Column:
+    """A column that deals rows into ranges of the long ``key`` of about equal row counts.
 
     Only split points, one for each range, come to the driver. Nulls go to the first range.
     """
     spark = frame.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     shares = [i / parts for i in range(1, parts)]
-    cuts = sorted(set(frame.approxQuantile(key, shares, 0.25 / parts))) if shares else []
-    bounds = F.array(*[F.lit(int(c)).cast("long") for c in cuts]) if cuts else None
-    if bounds is None:
-        return F.lit(0), 1
-    bucket = F.coalesce(F.size(F.filter(bounds, lambda c: c <= F.col(key))), F.lit(0))
-    return F.when(F.col(key).isNull(), 0).otherwise(bucket).cast("int"), len(cuts) + 1
+    found = frame.approxQuantile(key, shares, 0.25 / parts) if shares else []
+    sent = spark.sparkContext.broadcast(np.array(sorted({int(c) for c in found}), np.int64))
+
+    @F.arrow_udf("int")
+    def bucket(keys: pa.Array) -> pa.Array:
+        known = pc.fill_null(keys, np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
+        return pa.array(np.searchsorted(sent.value, known, side="right").astype(np.int32))
+
+    return bucket(F.col(key))
 
 
 def without(docs: DataFrame, bad: DataFrame) -> DataFrame:

@@ -27,6 +27,12 @@ BITS = 128
 RADIUS = 4
 #: Document frequencies are counted by this many hashes of words, whatever the corpus.
 TERM_SLOTS = 1 << 16
+#: Ranges of ids for each partition of texts.
+RANGES = 4
+SHAPE = (
+    "doc_id long, n_chars long, edited_sha256 string, fingerprint binary, "
+    "edited_fingerprint binary, near_edited double, near_next double"
+)
 
 
 def term_slots(distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -111,27 +117,31 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """
     rows = texts_of(docs)
     weights = docs.sparkSession.sparkContext.broadcast(term_weights(rows))
-    bucket, many = ordered_buckets(rows, "doc_id")
-    dealt = rows.withColumn("bucket", bucket)
+    many = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # A partition gets some ranges, so that they even out.
+    dealt = rows.withColumn("bucket", ordered_buckets(rows, "doc_id", RANGES * many))
     # The first id of each range: its row also goes to the end of the range before.
     firsts = dealt.groupBy("bucket").agg(
         F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id")).alias("first")
     )
     order = sorted((r.bucket, r.first.doc_id) for r in firsts.collect())  # a row for each range
-    ahead: Column = F.lit(None).cast("int")
-    for i, (_, first) in enumerate(order):
-        previous = order[i - 1][0]
-        ahead = F.when(F.col("doc_id").eqNullSafe(F.lit(first)), F.lit(previous)).otherwise(ahead)
+    before = {first: order[i - 1][0] for i, (_, first) in enumerate(order)}
+    sent = docs.sparkSession.sparkContext.broadcast(before)
+
+    @F.arrow_udf("int")
+    def range_before(ids: pa.Array) -> pa.Array:
+        return pa.array([sent.value.get(i) for i in ids.to_pylist()], pa.int32())
+
     copies = F.array(
         F.struct(F.col("bucket").alias("bucket"), F.lit(0).alias("ahead")),
-        F.struct(ahead.alias("bucket"), F.lit(1).alias("ahead")),
+        F.struct(range_before("doc_id").alias("bucket"), F.lit(1).alias("ahead")),
     )
     packed = packed_texts(
         dealt.select("doc_id", F.xxhash64("text").alias("text_hash"), copies.alias("to"), "text")
     )
-    sent = packed.select("doc_id", "text_hash", "packed", F.explode("to").alias("to"))
+    sent_rows = packed.select("doc_id", "text_hash", "packed", F.explode("to").alias("to"))
     ranged = (
-        sent.where("to.bucket is not null")
+        sent_rows.where("to.bucket is not null")
         .select("to.bucket", "to.ahead", "doc_id", "text_hash", "packed")
         .repartition(many, "bucket")
         .sortWithinPartitions("bucket", "ahead", "doc_id", "text_hash")
@@ -153,7 +163,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                     pa.array(likeness(own[:-1], new)),
                     pa.array(likeness(own[:-1], own[1:])),
                 ],
-                [f.name for f in SHAPE],
+                [field.split()[0] for field in SHAPE.split(", ")],
             )
 
         unpack = zstandard.ZstdDecompressor()
@@ -175,23 +185,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                 texts.append(text)
                 held += len(text)
 
-    return ranged.mapInArrow(
-        run, ", ".join(f"{f.name} {f.kind}" for f in SHAPE)
-    )
-
-
-class _Field:
-    def __init__(self, name: str, kind: str):
-        self.name, self.kind = name, kind
-
-
-SHAPE = [
-    _Field(*x.split())
-    for x in (
-        "doc_id long", "n_chars long", "edited_sha256 string", "fingerprint binary",
-        "edited_fingerprint binary", "near_edited double", "near_next double",
-    )
-]
+    return ranged.mapInArrow(run, SHAPE)
 
 
 def halves(fingerprint: Column) -> list[Column]:

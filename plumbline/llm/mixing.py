@@ -139,8 +139,7 @@ def mix(
         F.col("doc_id").cast("long").alias("_mix_id"),
         F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_mix_hash"),
     )
-    bucket, _ = ordered_buckets(rows, "_mix_id")
-    dealt = rows.withColumn("_mix_bucket", bucket)
+    dealt = rows.withColumn("_mix_bucket", ordered_buckets(rows, "_mix_id"))
     counts = cut(dealt.groupBy("_mix_source", "_mix_bucket").count())
     totals = {r[0]: r[1] for r in counts.groupBy("_mix_source").agg(F.sum("count")).collect()}
     if len(totals) > MOST_SOURCES:

@@ -14,7 +14,6 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from plumbline.llm.common import cut, mixed, pieces, texts_of, words_of
 from plumbline.llm.toxicity import labelled, logistic, unlike

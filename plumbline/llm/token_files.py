@@ -14,6 +14,7 @@ File layout, all numbers little-endian:
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 from collections.abc import Iterator, Sequence
@@ -27,17 +28,18 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import pieces, texts_of, words_of
+from plumbline.llm.common import pieces, release_memory, texts_of, words_of
 
 MAGIC = b"PLDAC001"
 CHUNK_BITS = 8
 BLOCK = 512
 END_ID = 1
 #: Tokens after which a task begins a new file.
-FILE_TOKENS = 1 << 22
+FILE_TOKENS = 1 << 21
 #: Distinct words whose ids a task keeps.
-KEPT_WORDS = 350_000
-#: Words whose ids are laid out at a time.
+KEPT_WORDS = 300_000
+#: Words that are encoded, and words whose ids are laid out, at a time.
+ENCODED_WORDS = 1 << 12
 SLICE_WORDS = 1 << 17
 _TAIL = "^(?P<core>.*[a-z])(?P<tail>[.,!#$%&*]+)$"
 _TYPES = {8: np.dtype("<u1"), 16: np.dtype("<u2")}
@@ -153,13 +155,15 @@ class WordIds:
     """
 
     def __init__(self, path: str, by_words: bool = True, end_id: int | None = END_ID):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self._tokenizer, self._by_words = Tokenizer.from_file(path), by_words
         self._end = [] if end_id is None else [end_id]
-        self._clear()
+        self.clear()
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
+        """Forgets all words."""
         self._known: dict[str, int] = {}
         self._pool, self._used, self._count = np.zeros(1 << 16, np.uint32), 0, 0
         self._at, self._len = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
@@ -187,8 +191,10 @@ class WordIds:
         missing = np.flatnonzero(own < 0)
         if len(missing):
             first, new = self._count, [distinct[i] for i in missing.tolist()]
-            found = self._tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            self._add([x.ids for x in found])
+            for i in range(0, len(new), ENCODED_WORDS):  # an encoding takes a kilobyte or so
+                part = new[i : i + ENCODED_WORDS]
+                found = self._tokenizer.encode_batch_fast(part, add_special_tokens=False)
+                self._add([x.ids for x in found])
             self._known.update(zip(new, range(first, self._count)))
             own[missing] = np.arange(first, self._count)
         at = coded.indices.fill_null(len(distinct)).to_numpy(zero_copy_only=False)
@@ -202,7 +208,7 @@ class WordIds:
             return np.concatenate([*own, np.zeros(0, np.uint32)]), np.array([len(x) for x in own])
         words = words_of(texts, lower=False)
         if len(self._known) > KEPT_WORDS:
-            self._clear()
+            self.clear()
         # Special tokens are matched before letters are lower-cased.
         special = pc.match_substring(words.distinct, "<|")
         names = pc.if_else(special, words.distinct, pc.ascii_lower(words.distinct))
@@ -291,7 +297,7 @@ def write_tokens(
             )
 
         encode = encoder(tokenizer, by_words, end_id)
-        for piece in pieces(batches, limit=1 << 23):
+        for piece in pieces(batches, limit=1 << 22):
             flat, own = encode(piece.column("text"))
             ids += piece.column("doc_id").to_pylist()
             sizes.append(own)
@@ -302,6 +308,8 @@ def write_tokens(
                 ids, sizes, chunks, held, file = [], [], [], 0, file + 1
         if ids:
             yield flush()
+        encode.clear()  # an idle worker keeps the tokenizer alone
+        release_memory()
 
     shape = "part long, file long, path string, documents long, tokens long"
     files = sorted(dealt.mapInArrow(run, shape).collect())  # a row for each file

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from odd_texts import words
 from pyspark.sql import functions as F
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -14,10 +15,6 @@ CLASHING = [
 ]
 
 
-def words(rng: random.Random, n: int) -> str:
-    return " ".join("".join(rng.choices("abcdefgh", k=rng.randint(2, 6))) for _ in range(n))
-
-
 @pytest.fixture(scope="session")
 def odd_rows():
     """Nulls, empty and very long texts, copies, near copies, repeated rows and ids."""

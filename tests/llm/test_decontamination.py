@@ -1,11 +1,10 @@
 from __future__ import annotations
 
+import random
 import re
 
 import pytest
-
-from conftest import words
-import random
+from odd_texts import words
 
 from plumbline.llm.decontamination import contained_items, signature_size, without_items
 

@@ -1,13 +1,12 @@
 from __future__ import annotations
 
-import hashlib
 import random
 from collections import Counter
 
 import numpy as np
 import pytest
+from odd_texts import words
 
-from conftest import words
 from plumbline.llm.repeats import blocks, without_repeats
 
 
