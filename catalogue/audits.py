@@ -241,7 +241,8 @@ def _unlike(name: str, source: str, target: str, changed: str, sql_type: str) ->
         def run(spark: SparkSession, tables: TableResolver, mode: str = mode) -> DataFrame:
             orders = tables("orders").withColumn("first", F.expr("o_orderkey = 1"))
             one = orders.selectExpr(f"{source} AS v", f"{source} AS w")
-            two = orders.selectExpr(f"{target} AS v", f"CASE WHEN first THEN {changed} ELSE {target} END AS w")
+            other = f"CASE WHEN first THEN {changed} ELSE {target} END"
+            two = orders.selectExpr(f"{target} AS v", f"{other} AS w")
             found = check_reconciliation(one, two, ["v", "w"], BUSINESS_DAY, mode=mode, as_of=AS_OF)
             return found.drop("dq_comment")
 
@@ -282,7 +283,8 @@ _unlike(
     "reconciliation_decimal_scales",
     "CAST(o_totalprice AS DECIMAL(12, 2))",
     "CAST(CAST(o_totalprice AS DECIMAL(12, 2)) AS DECIMAL(38, 10))",
-    "CAST(CAST(o_totalprice AS DECIMAL(12, 2)) AS DECIMAL(38, 10)) + CAST(0.0000001 AS DECIMAL(10, 10))",
+    "CAST(CAST(o_totalprice AS DECIMAL(12, 2)) AS DECIMAL(38, 10)) "
+    "+ CAST(0.0000001 AS DECIMAL(10, 10))",
     "DECIMAL(38, 10)",
 )
 

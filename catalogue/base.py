@@ -58,7 +58,7 @@ def shared_folder(spark: SparkSession) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         return tempfile.mkdtemp(prefix="plumbline-")
     return f"{shared.rstrip('/')}/plumbline-{uuid.uuid4().hex}"

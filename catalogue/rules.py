@@ -330,7 +330,9 @@ add(
     "value_set_mixed_numbers",
     lambda t: t("lineitem").select(F.col("l_quantity").cast("decimal(12,2)").alias("x")),
     ("value_set_check", "x", {"allowed_values": [Decimal("1.00"), 2, 3, Decimal("4.5")]}),
-    counted("SELECT CAST(l_quantity AS DECIMAL(12,2)) AS x FROM lineitem", "NOT (x IN (1, 2, 3, 4.5))"),
+    counted(
+        "SELECT CAST(l_quantity AS DECIMAL(12,2)) AS x FROM lineitem", "NOT (x IN (1, 2, 3, 4.5))"
+    ),
 )
 
 # Types

@@ -385,7 +385,8 @@ def _defects(tables: TableResolver) -> DataFrame:
         F.when(F.col("o_custkey") % 7 == 0, " ")
         .when(F.col("o_custkey") % 11 != 0, F.col("o_orderstatus"))
         .alias("status"),
-        F.when(F.col("o_orderkey") % 150 != 0, F.date_format("o_orderdate", "yyyy-MM-dd")).alias("day"),
+        F.when(F.col("o_orderkey") % 150 != 0, F.date_format("o_orderdate", "yyyy-MM-dd"))
+        .alias("day"),
         F.col("o_custkey").alias("low"),
     )
 

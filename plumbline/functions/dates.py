@@ -36,7 +36,7 @@ _WAREHOUSE_ONLY = re.compile(
 
 
 def spark_date_pattern(date_format: str) -> str:
-    """``YYYY-MM-DD`` style formats, in any case, as Spark patterns; Spark patterns stay as they are.
+    """``YYYY-MM-DD`` style formats, in any case, as Spark patterns; Spark patterns stay unchanged.
 
     A format is a Spark pattern if it can be one: ``yyyy-MM-dd`` is, ``yyyy-mm-dd`` would have
     minutes for months and is read as the other kind.

@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plumbline.functions.names import name_sql
+
 # Doubles of up to 15 digits, six of them after the point, are summed as whole millionths.
 SHORT_PLACES, SHORT_DIGITS = 6, 15
 LIMB_BITS = 17
@@ -60,7 +62,8 @@ def sum_parts(name: str, value: str, data_type: T.DataType) -> SumParts:
         if data_type.precision <= SUMMED_DIGITS:
             narrow = f"DECIMAL({SUMMED_DIGITS}, {data_type.scale})"
             total = (f"{name}_short", f"sum(CAST({v} AS {narrow}))")
-            return SumParts([(v, value)], [], None, [counted, total], [], data_type.scale, "decimal")
+            scale = data_type.scale
+            return SumParts([(v, value)], [], None, [counted, total], [], scale, "decimal")
         return _by_limbs(name, value, v, 4, [], [counted], data_type.scale, "decimal")
     return _double_parts(name, value)
 
@@ -103,7 +106,8 @@ def _by_limbs(
     """Adds the digits of the values ``other``, a column's or an expression's, in limbs."""
     t, m, x, k, d = (f"{name}_{c}" for c in "tmxkd")
     mantissa = f"substring_index({t}, 'E', 1)"
-    exponent = f"CASE WHEN contains({t}, 'E') THEN CAST(substring_index({t}, 'E', -1) AS INT) ELSE 0 END"
+    power = f"CAST(substring_index({t}, 'E', -1) AS INT)"
+    exponent = f"CASE WHEN contains({t}, 'E') THEN {power} ELSE 0 END"
     places = f"CASE WHEN contains({m}, '.') THEN length(substring_index({m}, '.', -1)) ELSE 0 END"
     digits = f"trim(LEADING '0' FROM replace(trim(LEADING '-' FROM {m}), '.', ''))"
     derived = [
@@ -126,7 +130,7 @@ def _by_limbs(
 
 
 def width(parts: SumParts) -> int:
-    """Fields that Spark's projection or aggregation holds for the parts; a decimal sum takes two."""
+    """Fields of Spark's projection or aggregation for the parts; a decimal sum takes two."""
     buffers = sum(1 + ("DECIMAL" in sql) for _, sql in parts.aggregates) + bool(parts.key)
     return max(len(parts.inputs) + len(parts.derived), buffers)
 
@@ -151,7 +155,8 @@ def gathered(name: str, parts: SumParts) -> str:
             f"collect_list(CASE WHEN {parts.key} IS NOT NULL THEN "
             f"concat_ws(' ', CAST({parts.key} AS STRING), {texts}) END)"
         )
-    fields = ", ".join(f"'{k}', CAST({v} AS {'STRING' if k == 'short' else 'BIGINT'})" for k, v in own.items())
+    types = {"n": "BIGINT", "bad": "BIGINT", "short": "STRING"}
+    fields = ", ".join(f"'{k}', CAST({v} AS {types[k]})" for k, v in own.items())
     return (
         f"named_struct({fields}, 'limbs', CAST({limbs} AS ARRAY<STRING>), "
         f"'scale', {parts.scale}, 'kind', '{parts.kind}') AS {name}"
@@ -220,10 +225,9 @@ def one_row(
 
 def exact_sums(df: DataFrame, columns: list[str]) -> DataFrame:
     """One row: the exact sum of each column as text without exponent, under the column's name."""
-    from plumbline.functions.names import name_sql
-
-    own = [sum_parts(f"s{i}", name_sql(df, c), df.select(F.col(name_sql(df, c))).schema[0].dataType)
-           for i, c in enumerate(columns)]
+    values = [name_sql(df, c) for c in columns]
+    types = [f.dataType for f in df.select(*[F.col(v) for v in values]).schema]
+    own = [sum_parts(f"s{i}", v, t) for i, (v, t) in enumerate(zip(values, types, strict=True))]
     row = one_row(
         df,
         [x for p in own for x in p.inputs],
@@ -232,6 +236,5 @@ def exact_sums(df: DataFrame, columns: list[str]) -> DataFrame:
         [x for p in own for x in p.aggregates],
         [gathered(f"s{i}", p) for i, p in enumerate(own)],
     )
-    return row.select(
-        *[compared(F.col(f"s{i}"), F.col(f"s{i}"), True, 0)["source"].alias(c) for i, c in enumerate(columns)]
-    )
+    sums = [compared(F.col(f"s{i}"), F.col(f"s{i}"), True, 0) for i in range(len(columns))]
+    return row.select(*[s["source"].alias(c) for s, c in zip(sums, columns, strict=True)])

@@ -58,7 +58,8 @@ def count_missing(df: DataFrame, rules: Sequence[ReferenceRule]) -> DataFrame:
             fields.append(filled.cast(shape).alias(name))
         return F.struct(*fields)
 
-    stacked = df.select(F.explode(F.array(*[row(i, r.value, True) for i, r in enumerate(rules)])).alias("r"))
+    values = F.array(*[row(i, r.value, True) for i, r in enumerate(rules)])
+    stacked = df.select(F.explode(values).alias("r"))
     for i, r in enumerate(rules):
         stacked = stacked.union(r.keys.select(row(i, r.key, False)))
     columns = list(shapes)
@@ -74,7 +75,7 @@ def count_missing(df: DataFrame, rules: Sequence[ReferenceRule]) -> DataFrame:
         F.expr("coalesce(sum(rows), 0) AS total"),
     )
     every = df.sparkSession.range(len(rules)).select(F.col("id").cast("int").alias("rule"))
-    none = every.select("rule", F.lit(0).cast("long").alias("failed"), F.lit(0).cast("long").alias("total"))
+    none = every.selectExpr("rule", "0L AS failed", "0L AS total")
     return counted.union(none).groupBy("rule").agg(
         F.sum("failed").alias("failed"), F.sum("total").alias("total")
     )

@@ -161,7 +161,8 @@ def _taken(df: DataFrame, measures: list[_Measure]) -> DataFrame:
 
 def _beside(target: DataFrame, source: DataFrame) -> DataFrame:
     """Two one-row frames as one row: the target's columns and the struct ``source``."""
-    one, two = target.select(F.struct("*").alias("target")), source.select(F.struct("*").alias("source"))
+    one = target.select(F.struct("*").alias("target"))
+    two = source.select(F.struct("*").alias("source"))
     nothing = {f.name: F.lit(None).cast(f.dataType) for f in (one.schema[0], two.schema[0])}
     both = one.withColumn("source", nothing["source"]).unionByName(
         two.withColumn("target", nothing["target"])
@@ -321,7 +322,8 @@ def check_uniqueness(
         return _no_records(df)
     comment = f"concat('{KEYS_COMMENT}', failed)"
     record = _record(UNIQUENESS, ",".join(keys), _pass_if("failed = 0"), "failed", comment)
-    return _records(duplicate_groups(df, keys, strategy), [record], _Stamp.of(edi_business_day, as_of))
+    stamp = _Stamp.of(edi_business_day, as_of)
+    return _records(duplicate_groups(df, keys, strategy), [record], stamp)
 
 
 def check_completeness(

@@ -202,7 +202,9 @@ def _rule_counts(ready: list[_Ready]) -> list[DataFrame]:
         for rules in _by_table(ready, RowRule)
         for group in _scan_groups(rules)
     ]
-    references = [_reference_counts(rules[0].df, rules) for rules in _by_table(ready, ReferenceRule)]
+    references = [
+        _reference_counts(rules[0].df, rules) for rules in _by_table(ready, ReferenceRule)
+    ]
     sets = [_set_rule_counts(r) for r in ready if isinstance(r.rule, SetRule)]
     return row_rules + references + sets
 

@@ -45,7 +45,8 @@ PERCENT_SQL = (
     "WHEN zero_when_empty THEN 0D END"
 )
 STATUS_SQL = (
-    f"CASE WHEN percent IS NULL THEN '{ERROR}' WHEN percent <= threshold AND NOT isnan(threshold) THEN '{PASS}' "
+    f"CASE WHEN percent IS NULL THEN '{ERROR}' "
+    f"WHEN percent <= threshold AND NOT isnan(threshold) THEN '{PASS}' "
     f"ELSE '{FAIL}' END"
 )
 GRADED_FAILED_SQL = "CASE WHEN percent IS NOT NULL THEN failed END"

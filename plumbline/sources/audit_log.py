@@ -29,6 +29,7 @@ def write_dq_results(
     """The same for records given as a frame, as rows or as mappings."""
     if not isinstance(dq_results, DataFrame):
         names = AUDIT_SCHEMA.names
-        rows = [tuple(r[n] if n != "failed_rows" else float(r[n]) for n in names) for r in dq_results]
+        as_given = {n: float if n == "failed_rows" else (lambda x: x) for n in names}
+        rows = [tuple(as_given[n](r[n]) for n in names) for r in dq_results]
         dq_results = spark.createDataFrame(rows, AUDIT_SCHEMA)
     return append_audit(dq_results, path)

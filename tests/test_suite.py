@@ -331,15 +331,20 @@ def test_cancelled_job_is_raised(spark):
 
     thread = threading.Thread(target=later)
     thread.start()
+    rules = config("t", ("x", "null_check", {}), ("x", "range_check", {"params": {"min_val": 1}}))
     endless = spark.range(10**13).select((F.rand() * F.col("id")).alias("x"))
     with pytest.raises(Exception, match="(?i)cancel"):
-        run_dq_from_config(spark, config("t", ("x", "null_check", {}), ("x", "range_check", {"params": {"min_val": 1}})), frames({"t": endless}))
+        run_dq_from_config(spark, rules, frames({"t": endless}))
     thread.join()
 
 
 def test_references_of_a_table_share_one_scan(spark, sf_dir):
-    refs = [("l_orderkey", "orders", "o_orderkey"), ("l_partkey", "part", "p_partkey"),
-            ("l_suppkey", "supplier", "s_suppkey"), ("l_returnflag", "orders", "o_orderstatus")]
+    refs = [
+        ("l_orderkey", "orders", "o_orderkey"),
+        ("l_partkey", "part", "p_partkey"),
+        ("l_suppkey", "supplier", "s_suppkey"),
+        ("l_returnflag", "orders", "o_orderstatus"),
+    ]
     rules = config(
         "lineitem",
         *[(c, "referential_check", {"params": {"ref_table": t, "ref_col": k}}) for c, t, k in refs],
