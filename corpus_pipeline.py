@@ -37,8 +37,9 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Tokens of all documents, written in the order of the part files and read back."""
+    order = token_files.file_order(docs)
     files = token_files.write_tokens(
-        docs, shared_folder(spark), tokenizer_path(), order=token_files.file_order(docs)
+        docs, shared_folder(spark), tokenizer_path(), order=order, forget=True
     )
     return token_files.token_digests(token_files.read_tokens(files))
 

@@ -10,18 +10,16 @@ from plumbline.llm.common import cut
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Neighbours (larger ones, or the others) of each node, linked to its smallest neighbour."""
-    around = edges.select("u", "v") if not large else edges.select("u", "v").union(
-        edges.select(F.col("v").alias("u"), F.col("u").alias("v"))
-    )
+    around = edges.select("u", "v")
+    if large:
+        around = around.union(edges.selectExpr("v AS u", "u AS v"))
+    least = around.groupBy("u").agg(F.min("v").alias("m"))
     if large:
-        least = around.groupBy("u").agg(F.min("v").alias("m"))
         least = least.select("u", F.least("u", "m").alias("m"))
-        linked = around.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        linked = around.where("v > u").join(least, "u").selectExpr("v AS u", "m AS v")
     else:
-        least = around.groupBy("u").agg(F.min("v").alias("m"))
-        linked = around.join(least, "u").select(
-            F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")
-        ).select("e.u", "e.v")
+        both = "inline(array(named_struct('u', u, 'v', m), named_struct('u', v, 'v', m)))"
+        linked = around.join(least, "u").selectExpr(both)
     return linked.where("u <> v").distinct()
 
 

@@ -94,7 +94,14 @@ def log_ratios(rows: list[np.ndarray], y: np.ndarray, slots: int = SLOTS) -> np.
     return np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
 
 
-def hinge(rows: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, c: np.ndarray, slots: int, epochs: int = 12) -> tuple[np.ndarray, float]:
+def hinge(
+    rows: list[np.ndarray],
+    values: list[np.ndarray],
+    y: np.ndarray,
+    c: np.ndarray,
+    slots: int,
+    epochs: int = 12,
+) -> tuple[np.ndarray, float]:
     """Weights and bias of the linear hinge loss, by dual coordinate descent.
 
     ``c`` bounds the dual variable of each row. The bias is the weight of a constant indicator.

@@ -37,7 +37,7 @@ END_ID = 1
 #: Tokens after which a task begins a new file.
 FILE_TOKENS = 1 << 21
 #: Distinct words whose ids a task keeps.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 400_000
 #: Words that are encoded, and words whose ids are laid out, at a time.
 ENCODED_WORDS = 1 << 12
 SLICE_WORDS = 1 << 17
@@ -261,6 +261,7 @@ def write_tokens(
     order: Sequence[Column] | None = None,
     chunk_bits: int = CHUNK_BITS,
     file_tokens: int = FILE_TOKENS,
+    forget: bool = False,
 ) -> DataFrame:
     """Encodes whole texts and writes their ids in ascending ``order`` (default: doc_id); gives a
     row for each file.
@@ -269,7 +270,8 @@ def write_tokens(
     before it). Texts that are null or empty have the end id alone. Rows with a null order come
     first; equal ones are ordered by doc_id and text, and all are written. Files are written under
     another name and then renamed, and their names follow from the rows they hold: a task that
-    runs again writes the same files. An empty table gives no row.
+    runs again writes the same files. An empty table gives no row. With ``forget`` a worker keeps no
+    words from one task to the next: less memory where idle workers add up, more work.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -297,7 +299,7 @@ def write_tokens(
             )
 
         encode = encoder(tokenizer, by_words, end_id)
-        for piece in pieces(batches, limit=1 << 22):
+        for piece in pieces(batches, limit=1 << 23):
             flat, own = encode(piece.column("text"))
             ids += piece.column("doc_id").to_pylist()
             sizes.append(own)
@@ -308,7 +310,8 @@ def write_tokens(
                 ids, sizes, chunks, held, file = [], [], [], 0, file + 1
         if ids:
             yield flush()
-        encode.clear()  # an idle worker keeps the tokenizer alone
+        if forget:
+            encode.clear()
         release_memory()
 
     shape = "part long, file long, path string, documents long, tokens long"

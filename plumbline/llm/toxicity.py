@@ -35,7 +35,8 @@ PREFIXES = range(3, 9)
 LEAST_SUPPORT, LEAST_ODDS = 4, 2.5
 
 SEEDS = {
-    THREAT: "kill hurt destroy murder beat burn shoot stab crush töten umbringen tuer frapper matar golpear",
+    THREAT: "kill hurt destroy murder beat burn shoot stab crush töten umbringen tuer frapper matar "
+    "golpear",
     TARGET: "you your yours he she they him her them du dich dir ihr euch tu toi vous tú usted ustedes",
     NEGATION: "not never no nobody isn't aren't don't nicht kein keine nie ne pas jamais nunca jamás",
     REPORT: "said says wrote writes quoted called calls sagte schrieb nannte dit écrit appelé dijo escribió",
@@ -224,7 +225,8 @@ def labelled(
 
 
 def unlike(rows: DataFrame) -> DataFrame:
-    """The rows without most near copies: one for each of two MinHash values of word triples."""
+    """The rows without most near copies: of each of two MinHash values of word triples the row
+    with the smallest doc_id stays."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
@@ -241,7 +243,10 @@ def unlike(rows: DataFrame) -> DataFrame:
             )
 
     marked = rows.mapInArrow(run, "doc_id long, text string, y int, first long, second long")
-    return marked.dropDuplicates(["first"]).dropDuplicates(["second"]).select("doc_id", "text", "y")
+    for value in ("first", "second"):
+        least = F.min_by(F.struct(*marked.columns), "doc_id").alias("row")
+        marked = marked.groupBy(value).agg(least).select("row.*")
+    return marked.select("doc_id", "text", "y")
 
 
 def learn(docs: DataFrame, labels: DataFrame, training: Column, sample: int = SAMPLE) -> Model:

@@ -240,11 +240,8 @@ def read_warc(archives: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     ends. Every record starts in one range, so none is lost or read twice. Broken members are
     passed over. A revisit's payload is null; its size and digest are those of the full payload.
     """
-    ranges = archives.where("bytes > 0").select(
-        "path",
-        "bytes",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(split_bytes).cast("long"))).alias("start"),
-    )
+    starts = f"explode(sequence(0L, bytes - 1, {int(split_bytes)}L)) AS start"
+    ranges = archives.where("bytes > 0").selectExpr("path", "bytes", starts)
     kinds = pa.schema(
         [
             ("page_id", pa.int64()), ("record_type", pa.string()), ("url", pa.string()),
@@ -269,5 +266,6 @@ def read_warc(archives: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
                     if rows:
                         yield pa.RecordBatch.from_pylist(rows, kinds)
 
-    many = max(1, min(ranges.count(), 4 * int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    partitions = int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = max(1, min(ranges.count(), 4 * partitions))
     return ranges.repartition(many).mapInArrow(run, _READ)
