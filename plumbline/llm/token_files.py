@@ -37,7 +37,7 @@ END_ID = 1
 #: Tokens after which a task begins a new file.
 FILE_TOKENS = 1 << 21
 #: Distinct words whose ids a task keeps.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 700_000
 #: Words that are encoded, and words whose ids are laid out, at a time.
 ENCODED_WORDS = 1 << 12
 SLICE_WORDS = 1 << 17
@@ -299,7 +299,7 @@ def write_tokens(
             )
 
         encode = encoder(tokenizer, by_words, end_id)
-        for piece in pieces(batches, limit=1 << 23):
+        for piece in pieces(batches, limit=3 << 22):
             flat, own = encode(piece.column("text"))
             ids += piece.column("doc_id").to_pylist()
             sizes.append(own)
