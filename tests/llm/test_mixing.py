@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from fractions import Fraction
 
 import pytest
 
@@ -68,3 +69,63 @@ def test_too_many_sources_are_refused(spark, monkeypatch):
     monkeypatch.setattr("plumbline.llm.mixing.MOST_SOURCES", 2)
     with pytest.raises(ValueError, match="3 sources"):
         mix(spark.createDataFrame([(i, "t", str(i)) for i in range(3)], "doc_id long, text string, source string"))
+
+
+def furthest(order, blocks, weights):
+    """The most blocks that any source is off its exact target, after any slot."""
+    target, done, most = {s: Fraction(0) for s in blocks}, dict.fromkeys(blocks, 0), Fraction(0)
+    for s in order:
+        left = Fraction(1)
+        while left:
+            own = {t: Fraction(weights[t]) for t in blocks if target[t] < blocks[t]}
+            total = sum(own.values())
+            step = min([left, *((blocks[t] - target[t]) * total / w for t, w in own.items())])
+            for t, w in own.items():
+                target[t] += step * w / total
+            left -= step
+        done[s] += 1
+        most = max(most, *(abs(done[t] - target[t]) for t in blocks))
+    return most
+
+
+def order_of(found):
+    """The source of each slot, of what schedule() gives."""
+    at = {}
+    for s, own in found.items():
+        for x in own:
+            for i in range(x.stop - x.first):
+                turn, place = divmod(i, len(x.places))
+                at[x.slot + turn * x.period + int(x.places[place])] = s
+    return [at[i] for i in range(len(at))]
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_sources_keep_to_exact_targets_over_segments_and_phases(seed):
+    rng = random.Random(seed)
+    blocks = {f"s{i}": rng.randint(1, 80) for i in range(rng.randint(2, 12))}
+    weights = {s: rng.random() ** 3 + 1e-6 if seed % 2 else float(rng.randint(1, 9)) for s in blocks}
+    order = order_of(schedule(blocks, weights, 1, 16))
+    assert {s: order.count(s) for s in blocks} == blocks and furthest(order, blocks, weights) < 1
+
+
+def test_many_tiny_shares_take_nothing_from_the_large():
+    blocks = {"a": 600, "b": 400} | {f"t{i}": 2 for i in range(60)}
+    weights = {"a": 6000.0, "b": 4000.0} | {f"t{i}": 1.6 for i in range(60)}
+    assert furthest(order_of(schedule(blocks, weights, 1, 240)), blocks, weights) < 1
+
+
+def test_rounding_does_not_add_up():
+    blocks, weights = {"a": 40_000, "b": 20_000}, {"a": 1 / 3 + 1e-3, "b": 2 / 3 - 1e-3}
+    done, share = 0, Fraction(weights["a"]) / (Fraction(weights["a"]) + Fraction(weights["b"]))
+    for n, s in enumerate(order_of(schedule(blocks, weights, 1, 64))[:29_000], 1):
+        done += s == "a"
+        assert abs(done - n * share) < 1
+
+
+def test_positions_after_short_blocks(spark):
+    sizes = {"a": 37, "b": 5, "c": 11, None: 3}
+    rows = [(i, "t", s) for s, n in sizes.items() for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = mix(docs, block=4, period=4).orderBy("slot", "doc_id").collect()
+    assert [r.position for r in found] == list(range(len(rows)))
+    assert len({r.slot for r in found}) == sum(-(-n // 4) for n in sizes.values())
