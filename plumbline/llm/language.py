@@ -38,8 +38,8 @@ def is_letter() -> np.ndarray:
     return _LETTER
 
 
-def automaton(codes: list[int], alphabet: int) -> np.ndarray:
-    """Transitions of the suffix automaton of a text, as (states, alphabet); -1 where there is none."""
+def transitions(codes: list[int]) -> list[dict[int, int]]:
+    """The next state by symbol for each state of the suffix automaton of a text."""
     moves: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in codes:
@@ -65,6 +65,12 @@ def automaton(codes: list[int], alphabet: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[new] = clone
         last = new
+    return moves
+
+
+def automaton(codes: list[int], alphabet: int) -> np.ndarray:
+    """Transitions of the suffix automaton of a text, as (states, alphabet); -1 where there is none."""
+    moves = transitions(codes)
     out = np.full((len(moves), alphabet), -1, np.int32)
     for s, row in enumerate(moves):
         for c, t in row.items():
@@ -72,17 +78,75 @@ def automaton(codes: list[int], alphabet: int) -> np.ndarray:
     return out
 
 
+@dataclass
+class Steps:
+    """An automaton's transitions laid over one another in one array.
+
+    The step of state s by symbol c is at ``base[s] + c`` if ``owner`` is s there. ``first`` has
+    the state after the first letter of a phrase; 0 where the sample lacks the letter.
+    """
+
+    base: np.ndarray
+    owner: np.ndarray
+    after: np.ndarray
+    first: np.ndarray
+
+
+def steps_of(moves: list[dict[int, int]], alphabet: int) -> Steps:
+    """``moves`` in cells of their own: states of many steps first, each where all its cells are free."""
+    cells = alphabet + 2 * sum(map(len, moves))
+    owner, after = np.full(2 * cells, -1, np.int32), np.zeros(2 * cells, np.int32)
+    base = np.zeros(len(moves), np.int64)
+    at = size = 0
+    for s in sorted((s for s, row in enumerate(moves) if len(row) > 1), key=lambda s: -len(moves[s])):
+        own = np.array(sorted(moves[s]), np.int64)
+        if len(own) != size:  # fewer steps may fit where more did not
+            at, size = int(np.argmax(owner < 0)), len(own)
+        while True:
+            if at + 512 + alphabet > len(owner):
+                owner = np.concatenate([owner, np.full(cells, -1, np.int32)])
+                after = np.concatenate([after, np.zeros(cells, np.int32)])
+                continue
+            room = np.flatnonzero(owner[at : at + 512] < 0) + at
+            fits = room[(owner[room[:, None] + (own - own[0])] < 0).all(axis=1)]
+            if len(fits):
+                break
+            at += 512
+        base[s] = fits[0] - own[0]
+        owner[base[s] + own] = s
+        after[base[s] + own] = [moves[s][c] for c in own.tolist()]
+    ones = [(s, *row.items()) for s, row in enumerate(moves) if len(row) == 1]
+    state = np.array([s for s, _ in ones], np.int64)
+    symbol, to = np.array([step for _, step in ones], np.int64).reshape(-1, 2).T
+    cell = np.flatnonzero(owner < 0)[: len(ones)]  # any free cell will do
+    base[state] = cell - symbol
+    owner[cell], after[cell] = state, to
+    first = np.zeros(alphabet, np.int32)
+    for c, t in moves[0].items():
+        first[c] = t
+    # A base may lie before the first cell; cells are shifted so that all lookups fall inside.
+    shift = alphabet
+    used = int(np.flatnonzero(owner >= 0).max(initial=-1)) + 1
+    edge = np.full(shift, -1, np.int32)
+    return Steps(
+        (base + shift).astype(np.int32),
+        np.concatenate([edge, owner[:used], edge]),
+        np.concatenate([edge, after[:used], edge]),
+        first,
+    )
+
+
 @dataclass
 class Model:
-    """For each language a table of steps and the logarithm of its sample's length.
+    """For each language the steps of its automaton and the logarithm of its sample's length.
 
-    A step is the next state; where a phrase ends it is the complement of the state after the
-    first letter of the next phrase. ``symbols`` numbers the letters that any sample has.
+    ``symbols`` numbers the letters that any sample has; all others are ``UNKNOWN``, which no
+    sample has. A letter that a language's sample lacks matches nothing of it.
     """
 
     languages: list[str]
     symbols: dict[int, int]
-    steps: list[np.ndarray]
+    steps: list[Steps]
     bits: list[float]
 
     def codes(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -91,10 +155,8 @@ class Model:
         points = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), "<u4") for t in texts]
         doc = np.repeat(np.arange(len(texts)), [len(p) for p in points])
         flat = np.concatenate([*points, np.zeros(0, np.uint32)]).astype(np.int64)
-        number = np.full(0x110000, SPACE, np.uint8)
-        number[is_letter()] = UNKNOWN
-        for point, symbol in self.symbols.items():
-            number[point] = symbol
+        number = np.where(is_letter(), UNKNOWN, SPACE).astype(np.int32)
+        number[list(self.symbols)] = list(self.symbols.values())
         own = number[flat]
         kept = np.ones(len(own), bool)
         kept[1:] = (own[1:] != SPACE) | (own[:-1] != SPACE) | (doc[1:] != doc[:-1])
@@ -116,17 +178,17 @@ class Model:
         total = np.zeros((len(texts), len(self.languages)), np.int64)
         active = [int(np.searchsorted(-size, -j, side="left")) for j in range(RUN)]
         for k, steps in enumerate(self.steps):
-            width = steps.shape[1]
-            table, state = steps.reshape(-1), np.zeros(len(doc), np.int32)
+            state = np.zeros(len(doc), np.int32)
             ended = np.ones(len(doc), np.int64)  # the phrase that the run's end closes
             for j in range(RUN):
                 m = active[j]
                 if not m:
                     break
-                after = table[state[:m] * width + flat[first[:m] + j]]
-                miss = after < 0
+                symbol = flat[first[:m] + j]
+                cell = steps.base[state[:m]] + symbol
+                miss = steps.owner[cell] != state[:m]
                 ended[:m] += miss
-                state[:m] = np.where(miss, ~after, after)
+                state[:m] = np.where(miss, steps.first[symbol], steps.after[cell])
             total[:, k] = np.bincount(doc, ended, minlength=len(texts)).astype(np.int64)
         return total, n, lettered
 
@@ -143,25 +205,18 @@ class Model:
 
 
 def model_of(samples: dict[str, list[str]]) -> Model:
-    """Automata of the samples; the most frequent letters get symbols of their own."""
+    """Automata of the samples; every letter of them has a symbol of its own."""
     letters = is_letter()
-    count: dict[int, int] = {}
     texts = {}
     for name in sorted(samples):
         joined = " ".join(t.lower() for t in samples[name])
         texts[name] = " ".join("".join(c if letters[ord(c)] else " " for c in joined).split())[:SAMPLE_CHARS]
-        for c in texts[name]:
-            if c != " ":
-                count[ord(c)] = count.get(ord(c), 0) + 1
-    common = sorted(count, key=lambda c: (-count[c], c))[:250]
-    symbols = {c: i + 2 for i, c in enumerate(common)}
-    width = len(symbols) + 2
+    found = sorted(set("".join(texts.values())) - {" "})
+    symbols = {ord(c): i + 2 for i, c in enumerate(found)}
     steps, bits = [], []
     for text in texts.values():
-        moves = automaton([SPACE if c == " " else symbols.get(ord(c), UNKNOWN) for c in text], width)
-        # A symbol that the sample lacks is a phrase of its own: the next one begins at the root.
-        restart = ~np.maximum(moves[0], 0)
-        steps.append(np.where(moves < 0, restart[None, :], moves).astype(np.int32))
+        codes = [SPACE if c == " " else symbols[ord(c)] for c in text]
+        steps.append(steps_of(transitions(codes), len(symbols) + 2))
         bits.append(float(np.log2(len(text) + 2)))
     return Model(list(texts), symbols, steps, bits)
 

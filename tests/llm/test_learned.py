@@ -156,3 +156,26 @@ def test_hinge_separates_and_meets_its_conditions():
     w, bias = quality.hinge(rows, values, y, np.ones(200), 40, epochs=200)
     margin = np.array([w[r].sum() + bias for r in rows]) * np.where(y == 1, 1, -1)
     assert (margin > 0.9).all()
+
+
+def test_letters_of_every_script_match_only_themselves():
+    rng = np.random.default_rng(5)
+    han = [chr(0x4E00 + i) for i in rng.permutation(6000)]
+    samples = {f"l{k}": ["".join(rng.choice(han[k * 1500 : k * 1500 + 1500], 900))] for k in range(4)}
+    model = language.model_of(samples)
+    texts = ["".join(rng.choice(han[k * 1500 : k * 1500 + 1500], 60)) for k in range(4)]
+    assert model.predict(texts)[0] == list(samples)
+    phrases = model.phrases(["".join(samples["l0"])[:300], "\u1200" * 40])[0]
+    assert phrases[0].tolist() == [1, 301, 301, 301] and phrases[1].tolist() == [41] * 4
+
+
+def test_steps_are_those_of_the_automaton():
+    rng = np.random.default_rng(2)
+    for letters, n in ((3, 400), (300, 900), (5, 0), (4, 1)):
+        moves = language.transitions(rng.integers(0, letters, n).tolist())
+        steps = language.steps_of(moves, letters + 1)
+        for s, row in enumerate(moves):
+            cells = steps.base[s] + np.arange(letters + 1)
+            own = steps.owner[cells] == s
+            assert {c: int(t) for c, t in enumerate(steps.after[cells]) if own[c]} == row
+        assert {c: t for c, t in enumerate(steps.first.tolist()) if t} == moves[0]
