@@ -129,7 +129,9 @@ def repeated_windows(
         behind[i, :a] = row[:a][::-1]
     _, rank = np.unique(group, return_inverse=True)
     keyed = np.concatenate((rank.astype(">u4").view(np.uint8).reshape(n, 4), ahead), axis=1)
-    row = np.argsort(keyed.view(f"S{length + 4}")[:, 0], kind="stable")
+    # Of rows that differ only in how many zeros they end with, the shortest comes first.
+    row = np.argsort(right, kind="stable")
+    row = row[np.argsort(keyed[row].view(f"S{length + 4}")[:, 0], kind="stable")]
     # lcp[k]: common prefix of rows k - 1 and k; -1 where they have parted.
     apart = ahead[row[1:]] != ahead[row[:-1]]
     lcp = np.full(n, -1, np.int64)

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from odd_texts import words
 
-from plumbline.llm.repeats import blocks, without_repeats
+from plumbline.llm.repeats import blocks, repeated_windows, without_repeats
 
 
 def plain(texts, length):
@@ -64,3 +64,26 @@ def test_windows_are_each_in_one_block_of_equal_minimizer():
 
 def test_empty_table(no_docs):
     assert without_repeats(no_docs, filter_bits=1 << 12).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_windows_that_end_in_zeros(seed):
+    rng, length, found = random.Random(seed), 12, {}
+    for _ in range(40):
+        a = rng.randint(0, 6)
+        count = rng.randint(1, a + 1)
+        before, after = (bytes(rng.choices(b"\0a", (9, 1), k=k)) for k in (a, length))
+        found[(before + b"K" + after)[: count + length - 1]] = (a, count)
+    strings = list(found)
+    anchor, count = (np.array(x) for x in zip(*found.values()))
+    got = repeated_windows(np.zeros(len(strings), np.int64), strings, anchor, count, length)
+    at = [[(a - w, s[w : w + length]) for w in range(n)] for s, (a, n) in found.items()]
+    seen = Counter(x for own in at for x in own)
+    assert [[seen[x] > 1 for x in own] for own in at] == [g[:n].tolist() for g, n in zip(got, count)]
+
+
+def test_texts_with_zeros(spark):
+    rng = random.Random(1)
+    parts = ["\0" * rng.randint(1, 30) + rng.choice("abc") * rng.randint(0, 3) for _ in range(200)]
+    rows = [(i, "".join(rng.choice(parts) for _ in range(6))) for i in range(60)]
+    check(spark.createDataFrame(rows, "doc_id long, text string"), rows, 24, gram=8, filter_bits=1 << 12)
