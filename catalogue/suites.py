@@ -326,6 +326,79 @@ QUERIES["suite_isolation"] = Query(
     ),
 )
 
+# A rule whose scalar subquery fails on the data, between good ones: deviations of a text column, and
+# a condition with a query of its own.
+TEXT_OUTLIERS = {
+    "tables": [
+        {
+            "name": "orders",
+            "columns": [
+                {
+                    "name": "o_orderstatus",
+                    "dq_rules": [
+                        _rule("null_check"),
+                        _rule("outlier_check"),
+                        _rule("value_set_check", 50.0, allowed_values=["F", "O"]),
+                    ],
+                }
+            ],
+        }
+    ]
+}
+FAILING_SUBQUERY = {
+    "tables": [
+        {
+            "name": "orders",
+            "columns": [
+                {
+                    "name": "o_orderstatus",
+                    "dq_rules": [
+                        _rule("null_check"),
+                        _rule(
+                            "custom_expression_check",
+                            expression="o_custkey > "
+                            "(SELECT min(CAST(o_orderstatus AS INT)) FROM plumbline_orders)",
+                        ),
+                        _rule("value_set_check", 50.0, allowed_values=["F", "O"]),
+                    ],
+                }
+            ],
+        }
+    ]
+}
+
+
+def _flagged(spark: SparkSession, tables: TableResolver, config: dict[str, Any]) -> DataFrame:
+    tables("orders").createOrReplaceTempView("plumbline_orders")
+    return run_dq_from_config(spark, config, tables).select(
+        "table",
+        "column",
+        "dq_type",
+        "status",
+        "failed",
+        "percent",
+        F.col("error").contains("CAST_INVALID_INPUT").alias("has_error"),
+    ).na.fill(False, ["has_error"])
+
+
+def _one_error(dq_type: str) -> str:
+    return "\nUNION ALL ".join(
+        [
+            _good("o_orderstatus", "null_check", "o_orderstatus IS NULL"),
+            _error("orders", "o_orderstatus", dq_type),
+            _good("o_orderstatus", "value_set_check", "NOT (o_orderstatus IN ('F', 'O'))", 50.0),
+        ]
+    )
+
+
+QUERIES["suite_outlier_on_text"] = Query(
+    lambda spark, tables: _flagged(spark, tables, TEXT_OUTLIERS), _one_error("outlier_check")
+)
+QUERIES["suite_failing_subquery"] = Query(
+    lambda spark, tables: _flagged(spark, tables, FAILING_SUBQUERY),
+    _one_error("custom_expression_check"),
+)
+
 # Four references of one table: one scan of it.
 REFERENCES = {
     "tables": [

@@ -85,7 +85,7 @@ def duplicate_groups(df: DataFrame, columns: list[str], strategy: str = "auto")
 
 @dq_check("duplicate_row_check")
 def duplicate_row_check(
-    ctx: RuleContext, column: str | None, strategy: str = "auto", **ignored
+    ctx: RuleContext, column: str | None, strategy: str = "auto"
 ) -> SetRule:
     """Groups of rows that are equal in all columns. Groups count, not rows."""
     return SetRule(duplicate_groups(ctx.df, ctx.df.columns, strategy))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.dates import spark_date_pattern
-from plumbline.functions.patterns import DIGITS_TEXT, NUMBER_TEXT, matches_whole
+from plumbline.functions.patterns import DIGITS_TEXT, NUMBER_TEXT, matches_part, matches_whole
 from plumbline.rules import RowRule, RuleContext, dq_check
 
 # Type names the type rule accepts.
@@ -42,7 +42,7 @@ def regex_check(
 ) -> Column:
     """The whole text must match; with ``full_match=False`` any part of it may."""
     text = ctx.column(column)
-    return ~(matches_whole(text, pattern) if full_match else text.rlike(pattern))
+    return ~(matches_whole(text, pattern) if full_match else matches_part(text, pattern))
 
 
 def _outside(value: Column, low, high) -> Column:

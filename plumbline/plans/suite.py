@@ -15,7 +15,9 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
+from py4j.java_gateway import is_instance_of
 from py4j.protocol import Py4JJavaError
+from pyspark import SparkContext
 from pyspark.errors import (
     AnalysisException,
     ArithmeticException,
@@ -66,7 +68,24 @@ class _Ready:
     rule: Rule
 
 
+def _java_causes(error: Exception) -> list[Any]:
+    """The Java exceptions behind an error, the deepest last; none if Python raised it."""
+    if isinstance(error, Py4JJavaError):
+        cause = error.java_exception
+    else:
+        cause = getattr(error, "_origin", None)
+    causes: list[Any] = []
+    while cause is not None and not any(cause.equals(seen) for seen in causes):
+        causes.append(cause)
+        cause = cause.getCause()
+    return causes
+
+
 def _message(error: Exception) -> str:
+    """What went wrong; of a chain of Java exceptions, what the deepest one says."""
+    if isinstance(error, Py4JJavaError):
+        deepest = _java_causes(error)[-1]
+        return str(deepest.getMessage() or deepest.toString()).strip()
     return str(error).split("\n\nJVM stacktrace:")[0].strip()
 
 
@@ -97,7 +116,8 @@ _RULE_ERRORS = (
 )
 
 
-# Exceptions of Java's library that values or patterns cause in a task.
+# Exceptions of Java's library that values or patterns cause in a task, and the type
+# of Spark's own exceptions.
 _JAVA_RULE_ERRORS = (
     "java.lang.ArithmeticException",
     "java.lang.ArrayIndexOutOfBoundsException",
@@ -105,20 +125,26 @@ _JAVA_RULE_ERRORS = (
     "java.time.DateTimeException",
     "java.util.regex.PatternSyntaxException",
 )
+_SPARK_THROWABLE = "org.apache.spark.SparkThrowable"
+
+
+def _is_rule_cause(cause: Any) -> bool:
+    gateway = SparkContext._gateway
+    if is_instance_of(gateway, cause, _SPARK_THROWABLE):
+        state = cause.getSqlState()
+        if state:
+            return state.startswith(_RULE_SQLSTATES)
+    return any(is_instance_of(gateway, cause, name) for name in _JAVA_RULE_ERRORS)
 
 
 def _is_rule_error(error: Exception) -> bool:
-    if isinstance(error, Py4JJavaError):  # an exception that Spark's Python API has no class for
-        cause = error.java_exception
-        while cause is not None:
-            if cause.getClass().getName() in _JAVA_RULE_ERRORS:
-                return True
-            cause = cause.getCause()
-        return False
-    if not isinstance(error, PySparkException):
-        return False
-    state = error.getSqlState()
-    return state.startswith(_RULE_SQLSTATES) if state else isinstance(error, _RULE_ERRORS)
+    """Judged by the whole chain of causes: the failure of a subquery, say, arrives wrapped in
+    exceptions of the jobs and threads that it passed through."""
+    if isinstance(error, PySparkException):
+        state = error.getSqlState()
+        if state.startswith(_RULE_SQLSTATES) if state else isinstance(error, _RULE_ERRORS):
+            return True
+    return any(_is_rule_cause(cause) for cause in _java_causes(error))
 
 
 def _most_aggregates(df: DataFrame) -> int:

@@ -117,6 +117,40 @@ def test_errors_stand_alone(spark):
             assert row["error"] is None and row["failed"] is not None
 
 
+@pytest.mark.parametrize("alone", [True, False])
+def test_a_failing_subquery_is_one_error(spark, alone):
+    df = spark.createDataFrame([("1", 1), ("a", 2), (None, 3)], "x string, y int")
+    df.createOrReplaceTempView("failing_rows")
+    query = "y < (SELECT max(CAST(x AS INT)) FROM failing_rows)"
+    good = [] if alone else [("y", "null_check", {}), ("y", "outlier_check", {})]
+    rules = [
+        ("x", "outlier_check", {}),
+        ("y", "custom_expression_check", {"params": {"expression": query}}),
+    ]
+    for rule in rules:
+        result = run_dq_from_config(spark, config("t", *good, rule, *good), frames({"t": df}))
+        rows = result.collect()
+        assert [r["status"] for r in rows] == ["PASS"] * len(good) + ["ERROR"] + ["PASS"] * len(good)
+        assert rows[len(good)]["error"].startswith("[CAST_INVALID_INPUT]")
+
+
+def test_errors_say_the_reason(spark):
+    df = spark.createDataFrame([("1",)], "x string")
+    rules = config(
+        "t",
+        ("x", "regex_check", {"params": {"pattern": "["}}),
+        ("x", "regex_check", {"params": {"pattern": None}}),
+        ("x", "regex_check", {"params": {"pattern": None, "full_match": False}}),
+        ("x", "duplicate_row_check", {"params": {"stratgy": "direct"}}),
+        ("x", "duplicate_row_check", {}),
+    )
+    rows = run_dq_from_config(spark, rules, frames({"t": df})).collect()
+    assert [r["status"] for r in rows] == ["ERROR"] * 4 + ["PASS"]
+    assert "py4j" not in rows[0]["error"] and "near index" in rows[0]["error"]
+    assert "NoneType" in rows[1]["error"] and "NoneType" in rows[2]["error"]
+    assert "stratgy" in rows[3]["error"]
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "x double")
     rules = config(
@@ -324,14 +358,15 @@ def test_other_failures_are_raised(spark, monkeypatch):
     assert len(runs) == 1
 
 
-def test_cancelled_job_is_raised(spark):
+@pytest.mark.parametrize("check", ["range_check", "outlier_check"])
+def test_cancelled_job_is_raised(spark, check):
     def later():
         time.sleep(1)
         spark.sparkContext.cancelAllJobs()
 
     thread = threading.Thread(target=later)
     thread.start()
-    rules = config("t", ("x", "null_check", {}), ("x", "range_check", {"params": {"min_val": 1}}))
+    rules = config("t", ("x", "null_check", {}), ("x", check, {}))
     endless = spark.range(10**13).select((F.rand() * F.col("id")).alias("x"))
     with pytest.raises(Exception, match="(?i)cancel"):
         run_dq_from_config(spark, rules, frames({"t": endless}))
