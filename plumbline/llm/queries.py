@@ -11,6 +11,7 @@ from plumbline.llm import (
     decontamination,
     fingerprints,
     language,
+    licenses,
     mixing,
     near_duplicates,
     quality,
@@ -20,6 +21,7 @@ from plumbline.llm import (
     warc,
 )
 from plumbline.llm.common import shared_folder
+from plumbline.llm.license_rules import REACH, signatures
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -129,6 +131,11 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's licences."""
+    return licenses.license_scan(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_warc": op2_warc,
@@ -140,6 +147,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_mixing": op9_mixing,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_licenses": op11_licenses,
 }
 
 #: Lower-cases A-Z only.
@@ -157,6 +165,62 @@ _BASE32 = (
     "CAST(substr(bits, i * 5 + k + 1, 1) AS INTEGER) << (4 - k)))::INTEGER, 1)), '')"
 )
 
+
+
+def _licenses_sql() -> str:
+    """The rules as a table of values; every rule at every place of its keyword, and its cover."""
+    rules = ", ".join(
+        f"({r.rule}, '{r.label}', {r.priority}, {r.base}, '{r.keyword}', '{r.lead}', '{r.tail}')"
+        for r in signatures()
+    )
+    sure = " ".join(f"WHEN {p} THEN {s}" for p, s in licenses.STRENGTH.items())
+    lower = _LOWER.format("coalesce(text, '')")
+    spaces = "length({0}) - length(replace({0}, ' ', ''))"
+    return rf"""
+WITH rules(rule, label, priority, base, keyword, lead, tail) AS (VALUES {rules}),
+t AS (SELECT row_number() OVER () AS r, doc_id,
+             regexp_extract_all({lower}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+place AS (SELECT r, w, unnest(range(0, len(w))) AS i FROM t),
+hit AS (
+  SELECT r, i, w[i + 1] AS keyword,
+         CASE WHEN i = 0 THEN ' ' ELSE ' ' || array_to_string(w[greatest(1, i - {REACH - 1}):i], ' ') || ' ' END AS b,
+         CASE WHEN i + 1 = len(w) THEN ' '
+              ELSE ' ' || array_to_string(w[i + 2:i + 1 + {REACH}], ' ') || ' ' END AS a
+  FROM place WHERE w[i + 1] IN (SELECT keyword FROM rules)
+),
+met AS (
+  SELECT r, i, rule, label, priority, base, regexp_extract(b, lead) AS x, regexp_extract(a, tail) AS y
+  FROM hit JOIN rules USING (keyword)
+),
+found AS (
+  SELECT DISTINCT r, i - ({spaces.format("x")}) + 1 AS start, i + ({spaces.format("y")}) AS stop,
+         rule, label, priority, base
+  FROM met WHERE x <> '' AND y <> ''
+),
+judged AS (
+  SELECT *, NOT EXISTS (
+    SELECT 1 FROM found o WHERE o.r = f.r AND o.start <= f.start AND o.stop >= f.stop
+      AND o.priority >= f.priority
+      AND (o.start < f.start OR o.stop > f.stop OR o.priority > f.priority OR o.rule < f.rule)
+  ) AS kept
+  FROM found f
+),
+own AS (
+  SELECT r, count(*) FILTER (WHERE base) AS n_base, min(start) FILTER (WHERE base) AS first_word,
+         max(start) FILTER (WHERE base) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base) AS base_labels,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base OR kept) AS labels,
+         count(*) FILTER (WHERE kept) AS n_kept,
+         max(CASE priority {sure} END) FILTER (WHERE kept) AS score
+  FROM judged GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       coalesce(n_kept, 0) AS n_kept, CAST(coalesce(score, 0) AS DOUBLE) AS score
+FROM t LEFT JOIN own USING (r)
+"""
+
+
 SQL: dict[str, str] = {
     "op2_warc": f"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
@@ -190,4 +254,5 @@ shared AS (
 SELECT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS containment
 FROM shared JOIN totals USING (item_id) WHERE n_shared / n_shingles >= 0.8
 """,
+    "op11_licenses": _licenses_sql(),
 }
