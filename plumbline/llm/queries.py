@@ -16,6 +16,7 @@ from plumbline.llm import (
     near_duplicates,
     quality,
     repeats,
+    spelling,
     token_files,
     toxicity,
     warc,
@@ -136,6 +137,11 @@ def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word, its usual form and its near words."""
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_warc": op2_warc,
@@ -148,6 +154,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
     "op11_licenses": op11_licenses,
+    "op12_spelling": op12_spelling,
 }
 
 #: Lower-cases A-Z only.
