@@ -11,6 +11,7 @@ from plumbline.llm import (
     decontamination,
     fingerprints,
     language,
+    lexical,
     licenses,
     mixing,
     near_duplicates,
@@ -142,6 +143,11 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item's ten best documents."""
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_warc": op2_warc,
@@ -155,6 +161,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
     "op11_licenses": op11_licenses,
     "op12_spelling": op12_spelling,
+    "op13_lexical": op13_lexical,
 }
 
 #: Lower-cases A-Z only.
@@ -164,6 +171,8 @@ _WORDS = (
     + r", '[ \t\n\x0B\f\r]+'), lambda x: x <> '')"
 )
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
 #: Four bits of each hexadecimal digit, in order.
 _NIBBLES = "".join(f"{i:04b}" for i in range(16))
 _BASE32 = (
@@ -262,4 +271,28 @@ SELECT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS containme
 FROM shared JOIN totals USING (item_id) WHERE n_shared / n_shingles >= 0.8
 """,
     "op11_licenses": _licenses_sql(),
+    "op13_lexical": rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER.format("text")}, '{_TERM}') AS w
+           FROM documents WHERE text IS NOT NULL),
+totals AS (SELECT CAST(count(*) AS BIGINT) AS many, CAST(sum(len(w)) AS BIGINT) AS total FROM d WHERE len(w) > 0),
+tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) GROUP BY r, t),
+df AS (SELECT t, count(*) AS df FROM tf GROUP BY t),
+asked AS (
+  SELECT item_id, text, t, count(*) AS c
+  FROM (SELECT item_id, text, unnest(regexp_extract_all({_LOWER.format("text")}, '{_TERM}')) AS t
+        FROM (SELECT DISTINCT item_id, text FROM benchmark))
+  GROUP BY item_id, text, t
+),
+scored AS (
+  SELECT item_id, asked.text, doc_id, r, CAST(sum(c * CAST(floor(1000 * ln((2 * many + 2) / (2 * df + 1))) AS BIGINT)
+         * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * len(w) * many) // total)))) AS BIGINT) AS score
+  FROM asked JOIN df USING (t) JOIN tf USING (t) JOIN d USING (r), totals
+  GROUP BY item_id, asked.text, doc_id, r
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id) AS place
+  FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM placed WHERE place <= 10
+""",
 }
