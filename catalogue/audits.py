@@ -288,6 +288,44 @@ _unlike(
     "DECIMAL(38, 10)",
 )
 
+
+
+# Doubles of up to 17 digits, tiny and large ones among them.
+RANDOM_DOUBLES = {
+    "x": ("l_extendedprice / 7", "DECIMAL(38, 18)"),
+    "y": ("l_discount * l_tax / 3e9", "DECIMAL(38, 33)"),
+    "z": ("l_extendedprice * 1e13 / (l_quantity + 6)", "DECIMAL(38, 10)"),
+    "w": ("l_extendedprice / 7 + (l_orderkey = 1)::INT * 0.0009765625", "DECIMAL(38, 18)"),
+}
+
+
+def _doubles(spark: SparkSession, tables: TableResolver) -> DataFrame:
+    """Equal in any order of the rows; ``w`` is a little more on one side."""
+    x, y, z = (RANDOM_DOUBLES[c][0] for c in "xyz")
+    more = "CASE WHEN l_orderkey = 1 THEN 0.0009765625D ELSE 0D END"
+    lines = tables("lineitem")
+    source = lines.selectExpr(f"{x} AS x", f"{y} AS y", f"{z} AS z", f"{x} AS w")
+    target = lines.repartition("l_orderkey").selectExpr(
+        f"{x} AS x", f"{y} AS y", f"{z} AS z", f"{x} + {more} AS w"
+    )
+    found = check_reconciliation(source, target, list("xyzw"), BUSINESS_DAY, as_of=AS_OF)
+    return found.where("dq_comment LIKE 'Sum check%'").select("column_name", "status")
+
+
+def _doubles_sql(column: str) -> str:
+    value, sql_type = RANDOM_DOUBLES[column]
+    other = RANDOM_DOUBLES["x" if column == "w" else column][0]
+    one, two = (f"sum(CAST(CAST({v} AS VARCHAR) AS {sql_type}))" for v in (value, other))
+    return (
+        f"SELECT '{column}' AS column_name, CASE WHEN {one} = {two} THEN 'PASS' ELSE 'FAIL' END "
+        "AS status FROM lineitem"
+    )
+
+
+QUERIES["reconciliation_random_doubles"] = Query(
+    _doubles, "\nUNION ALL ".join(_doubles_sql(c) for c in RANDOM_DOUBLES)
+)
+
 QUERIES["timeliness"] = Query(
     lambda spark, t: check_timeliness(source_orders(t), BUSINESS_DAY, as_of=AS_OF),
     sides_sql(timeliness_sql("source", 2)),

@@ -5,10 +5,12 @@ could differ. Every value is therefore added as the decimal that its text shows,
 that cannot be rounded, and totals are compared as they are, also across types:
 
 - integers and decimals of at most 28 digits as decimals;
-- doubles that are whole millionths of at most 15 digits as integers;
-- any other finite value by its digits, in limbs of 18, beside the power of ten that its
-  last digits belong to. Rows are grouped by these powers first, a few dozen at most for a
-  column, and the groups are put together afterwards.
+- longer decimals in four limbs of 18 digits;
+- doubles from 0.001 up to 10^15, nearly all there are, in whole numbers, ten places after the
+  point and ten more. Whole millionths of at most 15 digits are taken apart without their text;
+- any other finite double, from its text, in three limbs of ten digits that begin at a multiple of
+  ten places. It is put on a row of its own, and such rows are grouped by column and place; no
+  other row is, and columns do not multiply each other's groups.
 
 Only NaN and infinity have no exact sum. The few totals of a run are put together and
 compared by a small function over one row.
@@ -16,7 +18,7 @@ compared by a small function over one row.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,13 +26,19 @@ from pyspark.sql import types as T
 
 from plumbline.functions.names import name_sql
 
-# Doubles of up to 15 digits, six of them after the point, are summed as whole millionths.
+# Doubles of up to 15 digits, six of them after the point, are whole millionths.
 SHORT_PLACES, SHORT_DIGITS = 6, 15
-LIMB_BITS = 17
+# Whole numbers are added in pieces of so many bits: their sums fit a long up to 10^13 rows.
+PIECE_BITS = 17
+
+# Doubles in this range have at most 20 places after the point and 15 digits before it, and no
+# leading zeros that their text leaves out.
+LEAST, MOST = 1e-3, 1e15
+PLACES = 10
 
 # Decimals of up to 28 digits leave ten digits for the number of rows in a sum of 38.
 SUMMED_DIGITS = 28
-LIMB_DIGITS = 18
+LIMB_DIGITS, LIMBS = 18, 4
 
 
 @dataclass(frozen=True)
@@ -38,128 +46,183 @@ class SumParts:
     """SQL for the parts of one column's sum. ``inputs`` are read from the table, ``derived``
     and the others from the columns before them."""
 
+    name: str
     inputs: list[tuple[str, str]]
     derived: list[tuple[str, str]]
-    key: str | None
-    """Column that groups rows by the power of ten of values summed in limbs; null for others."""
     aggregates: list[tuple[str, str]]
     """Names and sums; rows and groups are put together by adding them up."""
-    limbs: list[str]
-    """Those of the aggregates that belong to the key."""
+    terms: list[tuple[str, int, int]]
+    """Those of the aggregates that make up the total, each times a power of two and one of ten."""
     scale: int
-    """Places after the point of the part without limbs."""
+    """Places after the point that decimals show."""
     kind: str
-    """``integer``, ``decimal`` or ``float``; decimals show ``scale`` places."""
+    """``integer``, ``decimal`` or ``float``."""
+    rare: str | None = None
+    """Text of a value that goes on a row of its own; null for others."""
+
+
+@dataclass(frozen=True)
+class Rows:
+    """What to take from a table in one scan: SQL for its columns and their sums."""
+
+    inputs: list[tuple[str, str]] = field(default_factory=list)
+    derived: list[tuple[str, str]] = field(default_factory=list)
+    rares: list[tuple[str, str]] = field(default_factory=list)
+    aggregates: list[tuple[str, str]] = field(default_factory=list)
 
 
 def sum_parts(name: str, value: str, data_type: T.DataType) -> SumParts:
     """Parts of the sum of the SQL ``value``; all their names begin with ``name``."""
     v, counted = f"{name}_v", (f"{name}_n", f"count({name}_v)")
-    if isinstance(data_type, T.IntegralType):
-        total = (f"{name}_short", f"sum(CAST({v} AS DECIMAL({SUMMED_DIGITS}, 0)))")
-        return SumParts([(v, value)], [], None, [counted, total], [], 0, "integer")
+    if isinstance(data_type, T.IntegralType) or (
+        isinstance(data_type, T.DecimalType) and data_type.precision <= SUMMED_DIGITS
+    ):
+        scale = getattr(data_type, "scale", 0)
+        total = (f"{name}_all", f"sum(CAST({v} AS DECIMAL({SUMMED_DIGITS}, {scale})))")
+        kind = "decimal" if isinstance(data_type, T.DecimalType) else "integer"
+        return SumParts(
+            name, [(v, value)], [], [counted, total], [(f"{name}_all", 0, 0)], scale, kind
+        )
     if isinstance(data_type, T.DecimalType):
-        if data_type.precision <= SUMMED_DIGITS:
-            narrow = f"DECIMAL({SUMMED_DIGITS}, {data_type.scale})"
-            total = (f"{name}_short", f"sum(CAST({v} AS {narrow}))")
-            scale = data_type.scale
-            return SumParts([(v, value)], [], None, [counted, total], [], scale, "decimal")
-        return _by_limbs(name, value, v, 4, [], [counted], data_type.scale, "decimal")
-    return _double_parts(name, value)
-
-
-def _double_parts(name: str, value: str) -> SumParts:
-    """Turning a double into a decimal goes through its text and costs far more than the scan. A
-    value that is a whole number of millionths, of 15 digits at most, is the only short decimal
-    at that double, so the whole number can be added instead. The other values are taken apart.
-    """
-    v, w = f"{name}_v", f"{name}_w"
-    bound, unit = float(10 ** (SHORT_DIGITS - SHORT_PLACES)), float(10**SHORT_PLACES)
-    whole = f"CASE WHEN abs({v}) < {bound}D THEN CAST(rint({v} * {unit}D) AS BIGINT) END"
-    short = (w, f"CASE WHEN CAST({whole} AS DOUBLE) / {unit}D = {v} THEN {whole} END")
-    finite = f"{w} IS NULL AND NOT isnan({v}) AND abs({v}) <= 1.7976931348623157E308D"
-    low_bits = 2**LIMB_BITS - 1
-    sums = [
-        (f"{name}_n", f"count({v})"),
-        # Three limbs of at most 17 bits: their sums fit a long up to 10^13 rows.
-        (f"{name}_b0", f"sum({w} & {low_bits})"),
-        (f"{name}_b1", f"sum(shiftright({w}, {LIMB_BITS}) & {low_bits})"),
-        (f"{name}_b2", f"sum(shiftright({w}, {2 * LIMB_BITS}))"),
-        (f"{name}_bad", f"count(CASE WHEN {w} IS NULL AND {name}_t IS NULL THEN {v} END)"),
-    ]
-    other = f"CASE WHEN {finite} THEN {v} END"
-    return _by_limbs(
-        name, f"CAST({value} AS DOUBLE)", other, 2, [short], sums, SHORT_PLACES, "float"
-    )
+        return _long_decimal_parts(name, value, counted, data_type.scale)
+    return _double_parts(name, f"CAST({value} AS DOUBLE)", counted)
 
 
-def _by_limbs(
-    name: str,
-    value: str,
-    other: str,
-    many: int,
-    before: list[tuple[str, str]],
-    sums: list[tuple[str, str]],
-    scale: int,
-    kind: str,
+def _long_decimal_parts(
+    name: str, value: str, counted: tuple[str, str], scale: int
 ) -> SumParts:
-    """Adds the digits of the values ``other``, a column's or an expression's, in limbs."""
-    t, m, x, k, d = (f"{name}_{c}" for c in "tmxkd")
-    mantissa = f"substring_index({t}, 'E', 1)"
-    power = f"CAST(substring_index({t}, 'E', -1) AS INT)"
-    exponent = f"CASE WHEN contains({t}, 'E') THEN {power} ELSE 0 END"
+    v, t, m, d = (f"{name}_{c}" for c in "vtmd")
+    power = f"CASE WHEN contains({t}, 'E') THEN CAST(substring_index({t}, 'E', -1) AS INT) ELSE 0 END"
     places = f"CASE WHEN contains({m}, '.') THEN length(substring_index({m}, '.', -1)) ELSE 0 END"
-    digits = f"trim(LEADING '0' FROM replace(trim(LEADING '-' FROM {m}), '.', ''))"
+    digits = f"replace(trim(LEADING '-' FROM {m}), '.', '')"
+    width = LIMB_DIGITS * LIMBS
     derived = [
-        *before,
-        (t, f"CAST({other} AS STRING)"),
-        (m, mantissa),
-        (x, f"{exponent} - {places}"),
-        (k, f"CAST(floor({x} / {LIMB_DIGITS}.0D) AS INT)"),
-        (d, f"lpad({digits} || repeat('0', {x} - {LIMB_DIGITS} * {k}), {LIMB_DIGITS * many}, '0')"),
+        (t, f"CAST({v} AS STRING)"),
+        (m, f"substring_index({t}, 'E', 1)"),
+        (d, f"lpad({digits} || repeat('0', {power} - {places} + {scale}), {width}, '0')"),
     ]
-    sign = f"(CASE WHEN startswith({t}, '-') THEN -1 ELSE 1 END)"
-    limbs = []
-    for i in range(many):
-        first = LIMB_DIGITS * (many - 1 - i) + 1
+    sign = f"(CASE WHEN {v} < 0 THEN -1 ELSE 1 END)"
+    sums, terms = [counted], []
+    for i in range(LIMBS):
+        first = width - LIMB_DIGITS * (i + 1) + 1
         part = f"CAST(substring({d}, {first}, {LIMB_DIGITS}) AS BIGINT) * {sign}"
-        limbs.append((f"{name}_l{i}", f"sum(CAST({part} AS DECIMAL({SUMMED_DIGITS}, 0)))"))
-    return SumParts(
-        [(f"{name}_v", value)], derived, k, [*sums, *limbs], [n for n, _ in limbs], scale, kind
+        sums.append((f"{name}_l{i}", f"sum(CAST({part} AS DECIMAL({SUMMED_DIGITS}, 0)))"))
+        terms.append((f"{name}_l{i}", 0, LIMB_DIGITS * i - scale))
+    return SumParts(name, [(v, value)], derived, sums, terms, scale, "decimal")
+
+
+def _power_of_ten(exponent: str) -> str:
+    """Ten to the SQL ``exponent`` as a long; null below 0 and above 18, also where Spark works it
+    out before it knows whether a branch is taken."""
+    return f"get(array({', '.join(f'{10**i}L' for i in range(19))}), {exponent})"
+
+
+def _double_parts(name: str, value: str, counted: tuple[str, str]) -> SumParts:
+    """A double that is a whole number of millionths, of 15 digits at most, is the only short
+    decimal at that double, so that the whole number can be taken instead of its text. Of others
+    the text gives the places after the point. The whole part is the double's own: no decimal
+    that reads as a double lies beyond the next whole number, which is a double too.
+    """
+    v, w, t, p, i, f, g = (f"{name}_{c}" for c in "vwtpifg")
+    bound, unit = float(10 ** (SHORT_DIGITS - SHORT_PLACES)), float(10**SHORT_PLACES)
+    whole = f"CASE WHEN abs({v}) < {bound}D THEN CAST(rint({v} * {unit}D) AS BIGINT) END"
+    inside = f"abs({v}) >= {LEAST!r}D AND abs({v}) < {MOST!r}D"
+    finite = f"NOT isnan({v}) AND abs({v}) <= 1.7976931348623157E308D"
+    # In the text of a number from 10^7 on the point stands after the first digit.
+    moved = (
+        f"substring(substring_index({t}, 'E', 1), "
+        f"instr({t}, '.') + 1 + CAST(substring_index({t}, 'E', -1) AS INT))"
+    )
+    after = f"CASE WHEN abs({v}) < 1.0E7D THEN substring_index({t}, '.', -1) ELSE {moved} END"
+    sign = f"CASE WHEN {v} < 0 THEN -1L ELSE 1L END"
+    derived = [
+        (w, f"CASE WHEN CAST({whole} AS DOUBLE) / {unit}D = {v} THEN {whole} END"),
+        (t, f"CASE WHEN {w} IS NULL AND {inside} THEN CAST({v} AS STRING) END"),
+        (p, f"rpad({after}, {2 * PLACES}, '0')"),
+        (i, f"CASE WHEN {w} IS NOT NULL OR {t} IS NOT NULL THEN CAST({v} AS BIGINT) END"),
+        (
+            f,
+            f"CASE WHEN {w} IS NOT NULL THEN ({w} % {10**SHORT_PLACES}L) "
+            f"* {10 ** (PLACES - SHORT_PLACES)}L "
+            f"ELSE CAST(substring({p}, 1, {PLACES}) AS BIGINT) * {sign} END",
+        ),
+        (g, f"CAST(substring({p}, {PLACES + 1}, {PLACES}) AS BIGINT) * {sign}"),
+    ]
+    sums, terms = [counted], []
+    for part, pieces, tens in ((i, 3, 0), (f, 2, -PLACES), (g, 2, -2 * PLACES)):
+        for piece in range(pieces):
+            high = f"shiftright({part}, {PIECE_BITS * piece})" if piece else part
+            low = f"{high} & {2**PIECE_BITS - 1}"
+            sums.append((f"{part}{piece}", f"sum({low if piece < pieces - 1 else high})"))
+            terms.append((f"{part}{piece}", PIECE_BITS * piece, tens))
+    sums.append((f"{name}_bad", f"count(CASE WHEN NOT ({finite}) THEN {v} END)"))
+    rare = f"CASE WHEN {i} IS NULL AND {finite} THEN CAST({v} AS STRING) END"
+    return SumParts(name, [(v, value)], derived, sums, terms, SHORT_PLACES, "float", rare)
+
+
+def _rare_rows(frame: DataFrame, rares: list[tuple[str, str]]) -> DataFrame:
+    """Further rows for rare values: ``__pos`` above 0, ``__of``, the column, ``__place``, and limbs."""
+    texts = [f"__rare_{i}" for i in range(len(rares))]
+    for text, (_, sql) in zip(texts, rares, strict=True):
+        frame = frame.withColumn(text, F.expr(sql))
+    every = ", ".join(
+        f"named_struct('of', '{name}', 't', {text})"
+        for text, (name, _) in zip(texts, rares, strict=True)
     )
+    some = " OR ".join(f"{text} IS NOT NULL" for text in texts)
+    rows = f"CASE WHEN {some} THEN filter(array({every}), x -> x.t IS NOT NULL) END"
+    frame = frame.withColumn("__rows", F.expr(rows))
+    frame = frame.selectExpr("*", "posexplode_outer(__rows) AS (__pos, __row)")
+    steps = [
+        ("__of", "__row.of"),
+        ("__t", "__row.t"),
+        ("__m", "CASE WHEN contains(__t, 'E') THEN substring_index(__t, 'E', 1) ELSE __t END"),
+        (
+            "__k",
+            "octet_length(__m) - instr(__m, '.') - "
+            "CASE WHEN contains(__t, 'E') THEN CAST(substring_index(__t, 'E', -1) AS INT) ELSE 0 END",
+        ),
+        ("__d", "CAST(replace(__m, '.', '') AS BIGINT)"),
+        # The value is __d * 10^__up at a place that is a multiple of ten.
+        ("__place", f"CAST(floor(-__k / {PLACES}.0D) AS INT)"),
+        ("__up", f"-__k - {PLACES} * __place"),
+        ("__high", f"__d div {_power_of_ten(f'({PLACES} - __up)')}"),
+        ("__l0", f"(__d % {_power_of_ten(f'({PLACES} - __up)')}) * {_power_of_ten('__up')}"),
+        ("__l1", f"__high % {10**PLACES}L"),
+        ("__l2", f"__high div {10**PLACES}L"),
+    ]
+    for name, sql in steps:
+        frame = frame.withColumn(name, F.expr(sql))
+    return frame
 
 
 def width(parts: SumParts) -> int:
     """Fields of Spark's projection or aggregation for the parts; a decimal sum takes two."""
-    buffers = sum(1 + ("DECIMAL" in sql) for _, sql in parts.aggregates) + bool(parts.key)
+    buffers = sum(1 + ("DECIMAL" in sql) for _, sql in parts.aggregates) + bool(parts.rare)
     return max(len(parts.inputs) + len(parts.derived), buffers)
 
 
-def gathered(name: str, parts: SumParts) -> str:
+def gathered(parts: SumParts) -> str:
     """SQL, over the groups of rows, for one struct with all that the total is made of."""
-    sums = dict(parts.aggregates)
-    own = {"n": f"coalesce(sum({name}_n), 0)", "bad": "0L", "short": "CAST(NULL AS STRING)"}
-    if f"{name}_bad" in sums:
-        own["bad"] = f"coalesce(sum({name}_bad), 0)"
-    if f"{name}_short" in sums:
-        own["short"] = f"CAST(sum({name}_short) AS STRING)"
-    elif f"{name}_b0" in sums:
-        terms = [
-            f"coalesce(sum(CAST({name}_b{i} AS DECIMAL({SUMMED_DIGITS}, 0))), 0)" for i in range(3)
-        ]
-        own["short"] = f"concat_ws(' ', {', '.join(f'CAST({x} AS STRING)' for x in terms)})"
-    limbs = "array()"
-    if parts.key:
-        texts = ", ".join(f"CAST({n} AS STRING)" for n in parts.limbs)
-        limbs = (
-            f"collect_list(CASE WHEN {parts.key} IS NOT NULL THEN "
-            f"concat_ws(' ', CAST({parts.key} AS STRING), {texts}) END)"
+    name, sums = parts.name, dict(parts.aggregates)
+    bad = f"coalesce(sum({name}_bad), 0)" if f"{name}_bad" in sums else "0L"
+    terms = [
+        f"concat_ws(' ', CAST(sum({term}) AS STRING), '{twos}', '{tens}')"
+        if "DECIMAL" in sums[term]
+        else f"concat_ws(' ', CAST(sum(CAST({term} AS DECIMAL({SUMMED_DIGITS}, 0))) AS STRING), "
+        f"'{twos}', '{tens}')"
+        for term, twos, tens in parts.terms
+    ]
+    every = f"array({', '.join(terms)})"
+    if parts.rare:
+        own = ", ".join(
+            f"concat_ws(' ', CAST(__sum{i} AS STRING), '0', CAST({PLACES} * (__place + {i}) AS STRING))"
+            for i in range(3)
         )
-    types = {"n": "BIGINT", "bad": "BIGINT", "short": "STRING"}
-    fields = ", ".join(f"'{k}', CAST({v} AS {types[k]})" for k, v in own.items())
+        every = f"concat({every}, flatten(collect_list(CASE WHEN __of = '{name}' THEN array({own}) END)))"
     return (
-        f"named_struct({fields}, 'limbs', CAST({limbs} AS ARRAY<STRING>), "
-        f"'scale', {parts.scale}, 'kind', '{parts.kind}') AS {name}"
+        f"named_struct('n', CAST(coalesce(sum({name}_n), 0) AS BIGINT), 'bad', CAST({bad} AS BIGINT), "
+        f"'terms', {every}, 'scale', {parts.scale}, 'kind', '{parts.kind}') AS {name}"
     )
 
 
@@ -175,16 +238,10 @@ def compared(source: Column, target: Column, plain: bool, tolerance: float) -> C
 
         def total(parts):
             out = Decimal(0)
-            short = (parts.short or "").split()
-            if len(short) == 3:  # limbs of binary digits
-                out = sum(Decimal(s) * 2 ** (17 * i) for i, s in enumerate(short))
-                out = out.scaleb(-parts.scale)
-            elif short:
-                out = Decimal(short[0])
-            for row in parts.limbs or ():
-                power, *limbs = row.split()
-                for i, limb in enumerate(limbs):
-                    out += Decimal(limb).scaleb(18 * (int(power) + i))
+            for term in parts.terms or ():
+                value, *powers = term.split()
+                if len(powers) == 2:  # otherwise a sum of no values
+                    out += (Decimal(value) * 2 ** int(powers[0])).scaleb(int(powers[1]))
             return out
 
         def text(value, parts):
@@ -207,20 +264,21 @@ def compared(source: Column, target: Column, plain: bool, tolerance: float) -> C
     return F.udf(run, shape)(source, target)
 
 
-def one_row(
-    df: DataFrame,
-    inputs: list[tuple[str, str]],
-    derived: list[tuple[str, str]],
-    keys: list[str],
-    sums: list[tuple[str, str]],
-    outputs: list[str],
-) -> DataFrame:
-    """One row of ``outputs``, SQL over the aggregates ``sums`` of each group of ``keys``."""
-    frame = df.selectExpr(*[f"{sql} AS {name}" for name, sql in inputs]) if inputs else df
-    for name, sql in derived:
+def one_row(df: DataFrame, rows: Rows, outputs: list[str]) -> DataFrame:
+    """One row of ``outputs``, SQL over the groups of rows: all of them, and those of rare values."""
+    frame = df.selectExpr(*[f"{sql} AS {name}" for name, sql in rows.inputs]) if rows.inputs else df
+    for name, sql in rows.derived:
         frame = frame.withColumn(name, F.expr(sql))
-    aggregates = [F.expr(f"{sql} AS {name}") for name, sql in sums]
-    return frame.groupBy(*keys).agg(*aggregates).agg(*[F.expr(sql) for sql in outputs])
+    if not rows.rares:
+        aggregates = [F.expr(f"{sql} AS {name}") for name, sql in rows.aggregates]
+        return frame.groupBy().agg(*aggregates).agg(*[F.expr(sql) for sql in outputs])
+    own = "FILTER (WHERE __pos IS NULL OR __pos = 0)"
+    aggregates = [F.expr(f"{sql} {own} AS {name}") for name, sql in rows.aggregates]
+    limbs = [
+        F.expr(f"sum(CAST(__l{i} AS DECIMAL({SUMMED_DIGITS}, 0))) AS __sum{i}") for i in range(3)
+    ]
+    grouped = _rare_rows(frame, rows.rares).groupBy("__of", "__place").agg(*aggregates, *limbs)
+    return grouped.agg(*[F.expr(sql) for sql in outputs])
 
 
 def exact_sums(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -228,13 +286,12 @@ def exact_sums(df: DataFrame, columns: list[str]) -> DataFrame:
     values = [name_sql(df, c) for c in columns]
     types = [f.dataType for f in df.select(*[F.col(v) for v in values]).schema]
     own = [sum_parts(f"s{i}", v, t) for i, (v, t) in enumerate(zip(values, types, strict=True))]
-    row = one_row(
-        df,
+    rows = Rows(
         [x for p in own for x in p.inputs],
         [x for p in own for x in p.derived],
-        [p.key for p in own if p.key],
+        [(p.name, p.rare) for p in own if p.rare],
         [x for p in own for x in p.aggregates],
-        [gathered(f"s{i}", p) for i, p in enumerate(own)],
     )
-    sums = [compared(F.col(f"s{i}"), F.col(f"s{i}"), True, 0) for i in range(len(columns))]
+    row = one_row(df, rows, [gathered(p) for p in own])
+    sums = [compared(F.col(p.name), F.col(p.name), True, 0) for p in own]
     return row.select(*[s["source"].alias(c) for s, c in zip(sums, columns, strict=True)])

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.names import name_sql, text_literal
-from plumbline.functions.sums import compared, gathered, one_row, sum_parts, width
+from plumbline.functions.sums import Rows, compared, gathered, one_row, sum_parts, width
 from plumbline.operators.duplicates import duplicate_groups
 from plumbline.results import (
     AUDIT_SCHEMA,
@@ -75,7 +75,7 @@ class _Measure:
     name: str
     inputs: list[tuple[str, str]] = field(default_factory=list)
     derived: list[tuple[str, str]] = field(default_factory=list)
-    keys: list[str] = field(default_factory=list)
+    rares: list[tuple[str, str]] = field(default_factory=list)
     aggregates: list[tuple[str, str]] = field(default_factory=list)
     outputs: list[str] = field(default_factory=list)
     width: int = 1
@@ -127,36 +127,35 @@ def _no_records(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame([], AUDIT_SCHEMA)
 
 
-# Columns whose rows are grouped by powers of ten in one scan: a few dozen groups for each, which
-# multiply at worst.
-MOST_KEYS = 3
+# Double columns of one scan. Java compiles methods of up to 8,000 bytes, and taking doubles apart
+# needs some 2,300 for each column; beyond that a scan is several times slower.
+MOST_DOUBLES = 3
 
 
 def _scans(units: list[_Unit], fields: int) -> list[list[_Unit]]:
-    """Units in as many scans as Spark can compile: none is wider than its limit."""
+    """Units in as many scans as Spark and Java can compile."""
     scans: list[list[_Unit]] = []
-    taken = keys = 0
+    taken = doubles = 0
     for unit in units:
         sides = [unit.target, *([unit.source] if unit.source else [])]
-        own, own_keys = max(m.width for m in sides), max(len(m.keys) for m in sides)
-        taken, keys = taken + own, keys + own_keys
-        if not scans or taken > fields or keys > MOST_KEYS:
+        own, own_doubles = max(m.width for m in sides), max(len(m.rares) for m in sides)
+        taken, doubles = taken + own, doubles + own_doubles
+        if not scans or taken > fields or doubles > MOST_DOUBLES:
             scans.append([])
-            taken, keys = own, own_keys
+            taken, doubles = own, own_doubles
         scans[-1].append(unit)
     return scans
 
 
 def _taken(df: DataFrame, measures: list[_Measure]) -> DataFrame:
     """One row with all measures of a side."""
-    return one_row(
-        df,
+    rows = Rows(
         [x for m in measures for x in m.inputs],
         [x for m in measures for x in m.derived],
-        [x for m in measures for x in m.keys],
+        [x for m in measures for x in m.rares],
         [x for m in measures for x in m.aggregates],
-        [x for m in measures for x in m.outputs],
     )
+    return one_row(df, rows, [x for m in measures for x in m.outputs])
 
 
 def _beside(target: DataFrame, source: DataFrame) -> DataFrame:
@@ -262,7 +261,7 @@ def _reconciliation(
             parts = sum_parts(total, value, df.select(F.col(value)).schema[0].dataType)
             rows = (f"{total}_rows", "count(*)")
             count = f"{total}.n" if mode == "non_null" else f"sum({rows[0]})"
-            outputs = [gathered(total, parts)]
+            outputs = [gathered(parts)]
             if mode == "rows":
                 outputs.append(f"coalesce({count}, 0) AS {counted}")
             sides.append(
@@ -270,7 +269,7 @@ def _reconciliation(
                     total,
                     inputs=parts.inputs,
                     derived=parts.derived,
-                    keys=[parts.key] if parts.key else [],
+                    rares=[(parts.name, parts.rare)] if parts.rare else [],
                     aggregates=parts.aggregates + ([rows] if mode == "rows" else []),
                     outputs=outputs,
                     width=width(parts),

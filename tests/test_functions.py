@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 from decimal import Context, Decimal, localcontext
 
@@ -113,6 +114,29 @@ def test_sum_of_doubles_is_the_sum_of_their_texts(spark, seed):
     assert Decimal(summed(spark, values, "double")) == exact(spark, values)
 
 
+def test_sum_of_doubles_at_the_edges_of_the_ranges(spark):
+    edges = [1e-4, 1e-3, 1e7, 1e9, 1e15, 1e17, 2.0**53, 1e10, 1.0]
+    values = [0.1 + 0.2, 9.999999999999998, 999.9999999999999, 4.35, 1234567.1234567, 1e22, 1.1e-5]
+    for e in edges:
+        values += [e, math.nextafter(e, 0), math.nextafter(e, math.inf), e * 1.1, e * 1.0000001, e / 3]
+    values += [-v for v in values[::2]]
+    assert Decimal(summed(spark, values, "double")) == exact(spark, values)
+
+
+def test_sums_of_rare_values_stand_apart(spark):
+    """Tiny and huge values of several columns, in the same rows and in others."""
+    pick = random.Random(8)
+    rows = [
+        tuple(pick.choice((0.25, pick.uniform(1, 2))) * 10.0 ** pick.randrange(-30, 30) for _ in range(3))
+        for _ in range(300)
+    ]
+    frame = spark.createDataFrame(rows, "x double, y double, z double")
+    for n in (1, 3, 7):
+        row = exact_sums(frame.repartition(n), ["x", "y", "z"]).first()
+        for i, name in enumerate("xyz"):
+            assert Decimal(row[name]) == exact(spark, [r[i] for r in rows])
+
+
 def test_sum_of_any_doubles_keeps_under_partitioning(spark):
     pick = random.Random(5)
     values = [pick.uniform(-1, 1) * 10 ** pick.randrange(-8, 12) for _ in range(5000)]
