@@ -147,6 +147,14 @@ def _is_rule_error(error: Exception) -> bool:
     return any(_is_rule_cause(cause) for cause in _java_causes(error))
 
 
+def _is_job_failure(error: Exception) -> bool:
+    """Did a job fail that a check ran while it was built, and for no rule's fault?"""
+    return not _is_rule_error(error) and any(
+        is_instance_of(SparkContext._gateway, cause, "org.apache.spark.SparkException")
+        for cause in _java_causes(error)
+    )
+
+
 def _most_aggregates(df: DataFrame) -> int:
     """Spark compiles a stage as a whole up to a number of fields. A wider aggregation is
     interpreted, several times slower, so more rules than this take another scan."""
@@ -293,6 +301,8 @@ class _Suite:
                 rule = build_rule(spec.dq_type, context, spec.column, dict(spec.params))
                 built.append(_Ready(place, spec, context.df, rule))
             except Exception as error:
+                if _is_job_failure(error):
+                    raise
                 self._fail(place, error)
         try:
             counts = _analysed(built)
@@ -388,7 +398,8 @@ def plan_dq_from_config(
     """All rules of ``config`` as one lazy frame.
 
     A rule that Spark cannot resolve is an ERROR row. One that fails on the data, say a text
-    that is no number, fails the frame; ``run_dq_from_config`` isolates those too.
+    that is no number, fails the frame; ``run_dq_from_config`` isolates those too. Duplicate checks
+    of rows that may be wide measure them first, unless the rule names a ``strategy``.
     """
     return _Suite(spark, config, tables or spark.table).frame()
 

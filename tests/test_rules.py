@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline import frames, run_check
+from plumbline.operators import duplicates
 from plumbline.operators.duplicates import duplicate_groups
 
 
@@ -307,6 +308,25 @@ class TestDuplicates:
         assert (row["failed"], row["total"]) == ((counts > 1).sum(), 3 * pairs)
         assert row["failed"] > 2**18
 
+    def test_auto_measures_rows(self, spark, monkeypatch):
+        text = F.sha2(F.col("id").cast("string"), 512)
+        unique = spark.range(20_000).select("id", text.alias("t"))
+        repeated = spark.range(20_000).select((F.col("id") % 100).alias("id"), F.repeat(F.lit("x"), 90).alias("t"))
+        short = spark.range(20_000).select(F.col("id").cast("string").alias("t"))
+        keys = spark.range(20_000)
+        taken = []
+        for name in ("_direct_counts", "_fingerprint_counts"):
+            own = getattr(duplicates, name)
+            monkeypatch.setattr(
+                duplicates, name, lambda *a, own=own, name=name: taken.append((name, *a[1:])) or own(*a)
+            )
+        monkeypatch.setattr(duplicates, "SLICE", 4)
+        found = [duplicate_groups(f, f.columns).first()["failed"] for f in (unique, repeated, short, keys)]
+        assert found == [0, 100, 0, 0]
+        assert taken == [("_fingerprint_counts", True), *[("_direct_counts",)] * 3]
+        measured = duplicates.measure(repeated.union(unique).toDF("k0", "k1"))
+        assert 0.3 < measured.repeats < 0.7 and 90 < measured.width < 145 and measured.repeated > 0
+
     def test_strategy_is_open_to_rules(self, spark):
         df = spark.createDataFrame([("a",), ("a",)], "x string")
         for strategy in ("direct", "fingerprint", "auto"):
