@@ -320,6 +320,39 @@ def _counted(strings: DataFrame, length: int) -> DataFrame:
     return found.select("hash", "h1", "h2", "low", (F.col("low") + 1).alias("high"))
 
 
+def told_apart(docs: DataFrame, filter_bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
+    """``doc_id``, ``text`` and ``text_hash`` of all rows, those equal in id and text once; and, of rows that
+    were not alone, ``doc_id``, ``text_hash`` and ``size``, the bytes of the text.
+
+    Only ids and hashes are grouped. Where any repeat, a filter of them of fixed size tells the
+    tasks which rows to group whole; a task sends one row of a kind, however many it reads.
+    """
+    rows = texts_of(docs).withColumn("text_hash", F.xxhash64("text"))
+    size = F.octet_length("text").cast("long")
+    copies = cut(
+        rows.groupBy("doc_id", "text_hash")
+        .agg(F.count("*").alias("n"), F.max(size).alias("size"))
+        .where("n > 1")
+        .drop("n")
+    )
+    if not copies.limit(1).count():
+        return rows, copies
+    key = F.xxhash64("doc_id", "text_hash")
+    known = docs.sparkSession.sparkContext.broadcast(bloom(copies.select(key.alias("hash")), filter_bits))
+
+    @F.arrow_udf("boolean")
+    def may_repeat(hashes: pa.Array) -> pa.Array:
+        h = hashes.to_numpy(zero_copy_only=False).view(np.uint64)
+        out = np.zeros(len(h), bool)
+        out[passes(known.value, h)] = True
+        return pa.array(out)
+
+    marked = rows.withColumn("may", may_repeat(key))
+    once = marked.where("may").groupBy("doc_id", "text_hash").agg(F.first("text").alias("text"))
+    alone = marked.where("not may").select("doc_id", "text", "text_hash")
+    return alone.union(once.select("doc_id", "text", "text_hash")), copies
+
+
 def repeated_spans(
     docs: DataFrame,
     length: int = LENGTH,
@@ -328,8 +361,12 @@ def repeated_spans(
     most_blocks: int = MOST_BLOCKS,
 ) -> DataFrame:
     """``doc_id``, ``text_hash``, ``start``, ``stop``: bytes under repeated windows, which may
-    overlap. Rows with equal doc_id and text have their spans given for each of them."""
-    rows = texts_of(docs).withColumn("text_hash", F.xxhash64("text"))
+    overlap. Rows with equal doc_id and text have their spans given once: the whole text, if it
+    has a window."""
+    rows, copies = told_apart(docs, filter_bits)
+    whole_texts = copies.where(F.col("size") >= length).select(
+        "doc_id", "text_hash", F.lit(0).cast("long").alias("start"), F.col("size").alias("stop")
+    )
     minimizers = cut(_minimizers(rows, length, gram))
     found = cut(_occurrences(rows, minimizers, length, gram, filter_bits))
     span = [F.col("at").alias("start"), (F.col("at") + F.col("count") + length - 1).alias("stop")]
@@ -364,7 +401,7 @@ def repeated_spans(
         (F.col("at") + F.col("low")).alias("start"),
         (F.col("at") + F.col("high") + length - 1).alias("stop"),
     )
-    return same.union(mixed_)
+    return same.union(mixed_).union(whole_texts)
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, **options) -> DataFrame:

@@ -52,6 +52,22 @@ def test_odd_rows(odd_docs, odd_rows):
     check(odd_docs, odd_rows, 200, filter_bits=1 << 16)
 
 
+def test_many_repeated_rows(spark):
+    rng = random.Random(2)
+    shared, other = words(rng, 60), words(rng, 300)
+    rows = [(1, other + shared)] * 1000 + [(None, shared * 3)] * 1000 + [(2, "x" + shared + "y")]
+    rows += [(3, words(rng, 100)), (None, "short"), (None, "short"), (4, None), (4, None), (1, shared[:150])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    found = without_repeats(docs, filter_bits=1 << 12).collect()
+    got = Counter((r.doc_id, r.n_bytes, tuple(tuple(s) for s in r.spans), bytes(r.kept)) for r in found)
+    distinct = sorted(set(rows), key=str)
+    twice = [r for r in distinct for _ in range(min(2, rows.count(r)))]  # two are as good as many
+    expected = Counter()
+    for row, (n, spans, kept) in zip(twice, plain([r[1] for r in twice], 200)):
+        expected[(row[0], n, tuple(spans), kept)] = rows.count(row)
+    assert got == expected
+
+
 def test_windows_are_each_in_one_block_of_equal_minimizer():
     rng = np.random.default_rng(0)
     data = rng.integers(97, 100, 3000).astype(np.uint8)
