@@ -203,8 +203,8 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, cell: int = CELL) -> Da
 def near_duplicates(
     docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS
 ) -> DataFrame:
-    """``doc_id``, ``text_hash``, ``fp``, ``component_id`` (smallest doc_id reachable) and ``root``
-    (smallest fingerprint reachable) of every row.
+    """``doc_id``, ``text_hash``, ``fp``, ``component_id`` (smallest doc_id reachable) and ``root`` (a
+    fingerprint that names the component, one of its smallest doc_id's) of every row.
 
     Fingerprints with at most ``max_bits`` differing bits are linked. Rows with equal fingerprints
     are handled as one, whatever their number. Null and empty texts have fingerprint 0 and are
@@ -214,13 +214,21 @@ def near_duplicates(
     """
     rows = cut(fingerprints(docs, words))
     distinct = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = components(links(distinct.select("fp"), max_bits), "a", "b")
-    rooted = distinct.join(roots, distinct.fp == roots.node, "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
+    # Nodes in the order of their smallest doc_id, so that a component's root is its answer.
+    node = F.struct(F.col("least").isNull().alias("none"), "least", "fp")
+    nodes = distinct.select("fp", node.alias("node"))
+    near = links(distinct.select("fp"), max_bits)
+    for side in ("a", "b"):
+        named = nodes.select(F.col("fp").alias("own"), F.col("node").alias(f"node_{side}"))
+        near = near.join(named, near[side] == named["own"]).drop("own")
+    roots = components(near, "node_a", "node_b").select("node.fp", "root")
+    linked = roots.select("fp", F.col("root.least").alias("component_id"), F.col("root.fp").alias("root"))
+    alone = distinct.join(roots.select("fp"), "fp", "left_anti").select(
+        "fp", F.col("least").alias("component_id"), F.col("fp").alias("root")
+    )
+    return rows.join(linked.union(alone), "fp").select(
+        "doc_id", "text_hash", "fp", "component_id", "root"
     )
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = rooted.join(named, "root").select("fp", "component_id", "root")
-    return rows.join(classes, "fp").select("doc_id", "text_hash", "fp", "component_id", "root")
 
 
 def keep_one(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
