@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +26,14 @@ from plumbline.llm.common import (
 
 BITS = 128
 RADIUS = 4
-#: Document frequencies are counted by this many hashes of words, whatever the corpus.
-TERM_SLOTS = 1 << 16
+#: A word counts as rare in fewer than one of so many documents, or in fewer than leave more than
+#: ``MOST_FREQUENT`` others. Rare words weigh alike; the weights of the others go to the tasks.
+RARE = 1 << 12
+MOST_FREQUENT = 1 << 20
+#: Weights are whole numbers of such parts.
+WEIGHT_UNIT = 1 << 16
+#: Words whose counts a task holds before it passes them on.
+HELD_WORDS = 1 << 18
 #: Ranges of ids for each partition of texts.
 RANGES = 4
 SHAPE = (
@@ -35,13 +42,27 @@ SHAPE = (
 )
 
 
-def term_slots(distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The slot of each word, and its 128 hash bits as -1 and 1."""
+def term_hashes(distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word, and 128 hash bits as -1 and 1."""
     raw = b"".join(xxhash.xxh128_digest(w) for w in as_bytes(distinct))
     both = np.frombuffer(raw, np.uint8).reshape(-1, 16)
-    slot = both[:, :8].copy().view("<u8")[:, 0] % np.uint64(TERM_SLOTS)
-    signs = np.unpackbits(both, axis=1).astype(np.float32) * 2 - 1
-    return slot.astype(np.int64), signs
+    signs = np.unpackbits(both, axis=1).astype(np.float64) * 2 - 1
+    return both[:, :8].copy().view("<u8")[:, 0], signs
+
+
+@dataclass
+class Weights:
+    """Inverse document frequencies: of frequent words by their hash, in order, and of all others."""
+
+    hashes: np.ndarray
+    values: np.ndarray
+    rare: float
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.hashes):
+            return np.full(len(hashes), self.rare)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, self.values[at], self.rare)
 
 
 def term_counts(texts: pa.Array):
@@ -54,29 +75,55 @@ def term_counts(texts: pa.Array):
     return words, pair % many, n, starts
 
 
-def term_weights(docs: DataFrame, slots: int = TERM_SLOTS) -> np.ndarray:
-    """Inverse document frequency by word slot, over all documents; ``slots`` numbers in all."""
+def term_weights(docs: DataFrame, rare: int = RARE, most: int = MOST_FREQUENT) -> Weights:
+    """log(1 + documents / (1 + document frequency)) of every word, over all documents.
+
+    Frequencies are counted exactly, by 64-bit hashes of words. A word in at most t documents counts
+    as if it were in t, where t is a ``rare``-th of the documents, or as many as there are pairs of
+    word and document for each of ``most`` words: so at most ``most`` words occur in more.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(slots + 1, np.int64)
+        hashes, counts, held, texts = [], [], 0, 0
+
+        def given() -> pa.RecordBatch:
+            own, at = np.unique(np.concatenate([*hashes, np.zeros(0, np.uint64)]), return_inverse=True)
+            many = np.concatenate([*counts, np.zeros(0, np.int64)])
+            n = np.zeros(len(own), np.int64)
+            np.add.at(n, at, many)
+            return pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(n)], ["hash", "n"])
+
         for piece in pieces(batches):
-            words, code, _, starts = term_counts(piece.column("text"))
-            slot, _ = term_slots(words.distinct)
-            doc = np.repeat(np.arange(len(piece)), np.diff(starts))
-            own = np.unique(doc * slots + slot[code]) if len(code) else np.zeros(0, np.int64)
-            seen[:slots] += np.bincount(own % slots, minlength=slots)
-            seen[slots] += len(piece)
-        at = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], ["slot", "n"])
-
-    counted = docs.select("text").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n"))
-    seen = np.zeros(slots + 1)
-    for slot, n in counted.collect():
-        seen[slot] = n
-    return np.log1p(seen[slots] / (1 + seen[:slots])).astype(np.float32)
-
-
-def simhash(texts: pa.Array, weights: np.ndarray) -> np.ndarray:
+            words, code, _, _ = term_counts(piece.column("text"))
+            seen = np.bincount(code, minlength=len(words.distinct))
+            own, _ = term_hashes(words.distinct)
+            hashes.append(own[seen > 0])
+            counts.append(seen[seen > 0])
+            held += len(hashes[-1])
+            texts += len(piece)
+            if held > HELD_WORDS:
+                yield given()
+                hashes, counts, held = [], [], 0
+        yield given()
+        every = [pa.array([None], pa.int64()), pa.array([texts])]
+        yield pa.RecordBatch.from_arrays(every, ["hash", "n"])
+
+    found = docs.select("text").mapInArrow(run, "hash long, n long")
+    counted = cut(found.groupBy("hash").agg(F.sum("n").alias("n")))
+    word = F.col("hash").isNotNull()
+    texts, pairs = counted.agg(
+        F.coalesce(F.sum(F.when(~word, F.col("n"))), F.lit(0)),
+        F.coalesce(F.sum(F.when(word, F.col("n"))), F.lit(0)),
+    ).first()
+    least = max(texts / rare, pairs / most)
+    frequent = counted.where(word & (F.col("n") > least)).toArrow()  # ``most`` rows at most
+    hashes = frequent["hash"].to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    values = np.log1p(texts / (1 + frequent["n"].to_numpy()[order]))
+    return Weights(hashes[order], values, float(np.log1p(texts / (1 + least))))
+
+
+def simhash(texts: pa.Array, weights: Weights) -> np.ndarray:
     """128 bits of each text as 16 bytes: where its words' weighted votes are above zero.
 
     A word votes by its hash bits, (1 + log count) times its weight. No words: all zero.
@@ -85,8 +132,9 @@ def simhash(texts: pa.Array, weights: np.ndarray) -> np.ndarray:
     out = np.zeros((len(texts), 16), np.uint8)
     if not len(code):
         return out
-    slot, signs = term_slots(words.distinct)
-    weight = (1 + np.log(n)).astype(np.float32) * weights[slot[code]]
+    hashes, signs = term_hashes(words.distinct)
+    # Whole numbers, so that their sums are exact, and equal texts alike, in any order of the words.
+    weight = np.rint((1 + np.log(n)) * weights.of(hashes)[code] * WEIGHT_UNIT)
     for d, (a, b) in enumerate(zip(starts, starts[1:])):
         votes = np.zeros(BITS, np.float64)
         for i in range(a, b, 1 << 14):  # long texts in parts
@@ -260,11 +308,8 @@ def with_neighbour_counts(prints: DataFrame, every: int = 20, radius: int = RADI
     )
     found = neighbours(distinct.where("asked"), distinct.select("a", "b", "n"), radius)
     near = found.groupBy("qa", "qb").agg((F.sum("n") - 1).alias("n_near"))
-    whole = prints.select("*", a.alias("_a"), b.alias("_b"), asked.alias("_asked"))
-    joined = whole.join(
-        near,
-        F.when(F.col("_asked"), F.col("_a")).eqNullSafe(F.col("qa"))
-        & F.when(F.col("_asked"), F.col("_b")).eqNullSafe(F.col("qb")),
-        "left",
-    )
-    return joined.select(*prints.columns, "n_near")
+    ask = F.coalesce(asked, F.lit(False))
+    whole = prints.where(ask).select("*", a.alias("_a"), b.alias("_b"))
+    counted = whole.join(near, (F.col("_a") == F.col("qa")) & (F.col("_b") == F.col("qb")), "left")
+    rest = prints.where(~ask).select(*prints.columns, F.lit(None).cast("long").alias("n_near"))
+    return counted.select(*prints.columns, "n_near").union(rest)
