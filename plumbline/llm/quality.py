@@ -24,9 +24,10 @@ SLOTS = 1 << 18
 
 
 def shape(word: str) -> str:
-    """Runs of upper-case letters, lower-case letters and digits as A, a and 0; the rest as it is."""
+    """Runs of upper-case letters, lower-case letters and digits as A, a and 0; the rest as it is.
+    The whole word counts, however long."""
     out, last = [], ""
-    for c in word[:24]:
+    for c in word:
         kind = ("A" if c.isupper() else "a") if c.isalpha() else "0" if c.isdigit() else c
         if kind != last or kind not in "Aa0":
             out.append(kind)
