@@ -36,22 +36,6 @@ BLOCK_DOCS = 8
 PERIOD = 1 << 14
 #: Counts that the driver makes at most, one for each source and segment; segments grow instead.
 MOST_COUNTS = 1 << 21
-#: Sources are listed on the driver; more than this many are refused.
-MOST_SOURCES = 10_000
-
-
-def parts_of(weights: dict, period: int) -> dict:
-    """Whole parts of ``period``, one at least, by largest remainder; ties by name."""
-    total = sum(weights.values())
-    exact = {s: w * period / total for s, w in weights.items()}
-    out = {s: max(1, int(x)) for s, x in exact.items()}
-    by_rest = sorted(exact, key=lambda s: (out[s] - exact[s], str(s)))
-    for s in by_rest[: max(0, period - sum(out.values()))]:
-        out[s] += 1
-    while sum(out.values()) > period:  # the least shares were raised to one
-        most = max(out, key=lambda s: (out[s] - exact[s] if out[s] > 1 else -period, str(s)))
-        out[most] -= 1
-    return out
 
 
 @dataclass
@@ -189,13 +173,6 @@ class Targets:
         return source, np.arange(len(slots)) - np.repeat(np.cumsum(own) - own - before, own), slots + self.bounds(k)[0]
 
 
-def one_period(parts: dict) -> list:
-    """The source of each slot of a period: earliest deadline first among released blocks."""
-    targets = Targets(parts, parts, sum(parts.values()))
-    none = np.zeros(len(parts), np.int64)
-    return [targets.sources[s] for s in targets.order(0, none, np.array(targets.blocks))]
-
-
 @dataclass
 class Stretch:
     """Blocks ``first`` to ``stop`` - 1 of a source, placed in one segment."""
@@ -270,7 +247,8 @@ def mix(
     ascending doc_id, nulls first; equal ones by a hash of the text. Null is a source of its own.
     No row is dropped or repeated. ``period`` is the least number of slots that a task orders at a
     time. ``columns`` are those of ``docs`` that are kept (default: all; they come before the new
-    ones, which take the place of columns of the same names). An empty table gives no row.
+    ones, which take the place of columns of the same names). Sources, whatever their number, are
+    listed on the driver, with some counts of each. An empty table gives no row.
     """
     spark, new = docs.sparkSession, list(names)
     kept = [c for c in columns or docs.columns if c not in new]
@@ -283,8 +261,6 @@ def mix(
     dealt = rows.withColumn("_mix_bucket", ordered_buckets(rows, "_mix_id"))
     counts = cut(dealt.groupBy("_mix_source", "_mix_bucket").count())
     totals = {r[0]: r[1] for r in counts.groupBy("_mix_source").agg(F.sum("count")).collect()}
-    if len(totals) > MOST_SOURCES:
-        raise ValueError(f"{len(totals)} sources; at most {MOST_SOURCES} are mixed")
     if weights is None:
         weights = {s: n**temperature for s, n in totals.items()}
     least = min([w for w in weights.values() if w > 0], default=1)
@@ -304,7 +280,7 @@ def mix(
         return pa.array(missing[np.searchsorted(last_slots, slots.to_numpy())])
 
     numbers = spark.createDataFrame(list(enumerate(targets.sources)), "_mix_number long, _n string")
-    before = counts.join(F.broadcast(numbers), F.col("_mix_source").eqNullSafe(F.col("_n"))).select(
+    before = counts.join(numbers, F.col("_mix_source").eqNullSafe(F.col("_n"))).select(
         F.col("_mix_source").alias("_s"),
         F.col("_mix_bucket").alias("_b"),
         "_mix_number",

@@ -5,22 +5,7 @@ from fractions import Fraction
 
 import pytest
 
-from plumbline.llm.mixing import mix, one_period, parts_of, schedule
-
-
-@pytest.mark.parametrize("seed", range(8))
-def test_a_period_keeps_every_source_within_a_block(seed):
-    rng = random.Random(seed)
-    weights = {f"s{i}": rng.random() ** 4 + 1e-6 for i in range(rng.randint(1, 20))}
-    parts = parts_of(weights, 500)
-    assert sum(parts.values()) == 500 and min(parts.values()) >= 1
-    order, done = one_period(parts), dict.fromkeys(parts, 0)
-    for slot, s in enumerate(order):
-        done[s] += 1
-        i = done[s] - 1  # released and not late
-        assert i * 500 // parts[s] <= slot < -(-(i + 1) * 500 // parts[s])
-        assert all(abs(done[t] - parts[t] * (slot + 1) / 500) < 1 for t in parts)
-    assert done == parts
+from plumbline.llm.mixing import mix, schedule
 
 
 @pytest.mark.parametrize("seed", range(6))
@@ -65,10 +50,19 @@ def test_odd_rows(odd_docs, odd_rows, no_docs):
     assert named.columns == [*odd_docs.columns, "_b", "_s", "_p"]
 
 
-def test_too_many_sources_are_refused(spark, monkeypatch):
-    monkeypatch.setattr("plumbline.llm.mixing.MOST_SOURCES", 2)
-    with pytest.raises(ValueError, match="3 sources"):
-        mix(spark.createDataFrame([(i, "t", str(i)) for i in range(3)], "doc_id long, text string, source string"))
+def test_very_many_sources(spark):
+    """More than the 10,000 that were once the most: every row placed, big sources on target."""
+    n = 12_000
+    docs = spark.range(2 * n + 8000).selectExpr(
+        "id AS doc_id", "'t' AS text", f"CASE WHEN id < {2 * n} THEN concat('s', id % {n}) ELSE 'big' END AS source"
+    )
+    weights = {f"s{i}": 1.0 for i in range(n)} | {"big": 4000.0}
+    found = mix(docs, weights, block=1).select("position", "slot", "source").orderBy("slot").collect()
+    assert [r.position for r in found] == list(range(2 * n + 8000))
+    done = 0
+    for k, r in enumerate(found, 1):
+        done += r.source == "big"
+        assert abs(done - k * 0.25) < 1
 
 
 def furthest(order, blocks, weights):
