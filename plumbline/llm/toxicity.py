@@ -29,7 +29,7 @@ from plumbline.llm.common import as_bytes, cut, pieces, texts_of, words_of
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
 #: Labelled documents learned from at most.
 SAMPLE = 20_000
-#: Insult patterns kept at most.
+#: Insult patterns kept at most, those of highest odds.
 PATTERNS = 20_000
 PREFIXES = range(3, 9)
 LEAST_SUPPORT, LEAST_ODDS = 4, 2.5
@@ -249,9 +249,19 @@ def unlike(rows: DataFrame) -> DataFrame:
     return marked.select("doc_id", "text", "y")
 
 
-def learn(docs: DataFrame, labels: DataFrame, training: Column, sample: int = SAMPLE) -> Model:
+def learn(
+    docs: DataFrame,
+    labels: DataFrame,
+    training: Column,
+    sample: int = SAMPLE,
+    patterns: int = PATTERNS,
+) -> Model:
     """Insult patterns and their weights (log odds) from two thirds of the sample, the logistic
-    function from the rest. Without labels of both kinds nothing is an insult."""
+    function from the rest. Without labels of both kinds nothing is an insult.
+
+    The sample has at most ``sample`` labelled rows, and the model at most ``patterns`` patterns, those
+    of highest odds: that bounds what is sent to the tasks.
+    """
     rows = cut(unlike(labelled(docs, labels, "toxic", training, sample)))
     third = F.xxhash64("doc_id") % 3 == 0
 
@@ -282,7 +292,7 @@ def learn(docs: DataFrame, labels: DataFrame, training: Column, sample: int = SA
         .select("pattern", odds.alias("odds"))
         .where(F.col("odds") >= LEAST_ODDS)
         .orderBy(F.desc("odds"), "pattern")
-        .limit(PATTERNS)
+        .limit(patterns)
     )
     model = Model({r.pattern: r.odds for r in counted.collect()})
 
@@ -302,7 +312,7 @@ def learn(docs: DataFrame, labels: DataFrame, training: Column, sample: int = SA
 
 def _scorer(docs: DataFrame, model: Model):
     """A function for tasks: the scores of some texts."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # PATTERNS entries at most
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # as many entries as learned patterns
 
     def scores(texts: pa.Array, known: dict) -> np.ndarray:
         if len(known) > 300_000:
