@@ -12,6 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs as pafs
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,6 +39,21 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/plumbline-{uuid.uuid4().hex}"
 
 
+#: Spark's names of schemes that pyarrow knows by another one.
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs", "wasbs": "abfs"}
+
+
+def open_folder(uri: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a path that Spark uses, and the path in it."""
+    scheme, found, rest = uri.partition(":")
+    if not found or "/" in scheme:
+        return pafs.LocalFileSystem(), uri
+    try:
+        return pafs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}:{rest}")
+    except (pa.ArrowInvalid, OSError) as error:
+        raise ValueError(f"pyarrow cannot open {uri}, a folder shared by driver and executors: {error}") from error
+
+
 def cut(frame: DataFrame) -> DataFrame:
     """The rows of ``frame``, computed once and kept in the shared checkpoint folder."""
     context = frame.sparkSession.sparkContext

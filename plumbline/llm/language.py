@@ -8,21 +8,25 @@ entropy. The language that needs the fewest normalised phrases wins.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import pickle
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import pieces, texts_of
+from plumbline.llm.common import open_folder, pieces, shared_folder, texts_of
 from plumbline.llm.toxicity import lowered
 
-#: The labelled sample of a language: documents, characters of each, characters in all.
-SAMPLE_DOCS, SAMPLE_EACH, SAMPLE_CHARS = 64, 1_000, 24_000
-#: More languages than this are refused: an automaton of each is sent to all tasks.
-MOST_LANGUAGES = 200
+#: Characters of the labelled sample of a language, and of the pieces that it is made of.
+SAMPLE_CHARS, PIECE_CHARS = 24_000, 400
+#: Pieces looked at for each one that fits the sample, so that near copies can be left out.
+SPARE = 4
+#: Languages whose automata a task holds at a time.
+HELD_LANGUAGES = 100
 #: Characters parsed as one run; phrases do not cross its ends, alike for all languages.
 RUN = 512
 SPACE, UNKNOWN = 0, 1
@@ -68,16 +72,6 @@ def transitions(codes: list[int]) -> list[dict[int, int]]:
     return moves
 
 
-def automaton(codes: list[int], alphabet: int) -> np.ndarray:
-    """Transitions of the suffix automaton of a text, as (states, alphabet); -1 where there is none."""
-    moves = transitions(codes)
-    out = np.full((len(moves), alphabet), -1, np.int32)
-    for s, row in enumerate(moves):
-        for c, t in row.items():
-            out[s, c] = t
-    return out
-
-
 @dataclass
 class Steps:
     """An automaton's transitions laid over one another in one array.
@@ -192,25 +186,56 @@ class Model:
             total[:, k] = np.bincount(doc, ended, minlength=len(texts)).astype(np.int64)
         return total, n, lettered
 
-    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
-        """The language of each text, by name where tied, and its share of the evidence."""
-        if not self.languages or not texts:
-            return [UNDETERMINED] * len(texts), np.zeros(len(texts))
+    def entropy(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Normalised phrases by text and language, whether the text has a letter."""
         phrases, n, lettered = self.phrases(texts)
-        entropy = phrases * np.array(self.bits) / np.maximum(n, 1)[:, None]
-        best = entropy.argmin(axis=1)
-        share = np.exp(-8 * (entropy - entropy.min(axis=1)[:, None]))
-        score = np.where(lettered, 1 / share.sum(axis=1), 0.0)
-        return [self.languages[b] if x else UNDETERMINED for b, x in zip(best, lettered)], score
-
-
-def model_of(samples: dict[str, list[str]]) -> Model:
+        return phrases * np.array(self.bits) / np.maximum(n, 1)[:, None], lettered
+
+
+def predict(parts: Iterable[Model], texts: list[str]) -> tuple[list[str], np.ndarray]:
+    """The language of each text, by name where tied, and its share of the evidence; of all parts of
+    a model."""
+    names, found, lettered = [], [], np.zeros(len(texts), bool)
+    for part in parts:
+        if part.languages and texts:
+            own, lettered = part.entropy(texts)
+            found.append(own)
+            names += part.languages
+    if not found:
+        return [UNDETERMINED] * len(texts), np.zeros(len(texts))
+    entropy = np.concatenate(found, axis=1)
+    best = entropy.argmin(axis=1)
+    share = np.exp(-8 * (entropy - entropy.min(axis=1)[:, None]))
+    score = np.where(lettered, 1 / share.sum(axis=1), 0.0)
+    return [names[b] if x else UNDETERMINED for b, x in zip(best, lettered)], score
+
+
+def _shingles(text: str) -> set[str]:
+    words = text.split()
+    return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def sample_of(pieces_: list[str], chars: int) -> str:
+    """Letters and single spaces of pieces, in order, until ``chars`` are full; no piece of which half
+    the word shingles are there already."""
+    letters, seen, out, size = is_letter(), set(), [], 0
+    for piece in pieces_:
+        plain = "".join(c if letters[ord(c)] else " " for c in piece.lower())
+        plain = " ".join(plain.split())
+        own = _shingles(plain)
+        if not plain or 2 * len(own & seen) > len(own):
+            continue
+        seen |= own
+        out.append(plain)
+        size += len(plain) + 1
+        if size > chars:
+            break
+    return " ".join(out)[:chars]
+
+
+def model_of(samples: dict[str, list[str]], chars: int = SAMPLE_CHARS) -> Model:
     """Automata of the samples; every letter of them has a symbol of its own."""
-    letters = is_letter()
-    texts = {}
-    for name in sorted(samples):
-        joined = " ".join(t.lower() for t in samples[name])
-        texts[name] = " ".join("".join(c if letters[ord(c)] else " " for c in joined).split())[:SAMPLE_CHARS]
+    texts = {name: sample_of(samples[name], chars) for name in sorted(samples)}
     found = sorted(set("".join(texts.values())) - {" "})
     symbols = {ord(c): i + 2 for i, c in enumerate(found)}
     steps, bits = [], []
@@ -221,42 +246,97 @@ def model_of(samples: dict[str, list[str]]) -> Model:
     return Model(list(texts), symbols, steps, bits)
 
 
-def learn(docs: DataFrame, training: Column, each: int = SAMPLE_DOCS) -> Model:
-    """A model from ``each`` documents of a language at most, those of smallest text hash.
+def _pieces_of(rows: DataFrame, size: int, most: DataFrame) -> DataFrame:
+    """``lang``, ``hash`` and ``piece`` of the pieces of whole texts whose hash is at most the language's
+    ``most``; a task gives equal pieces once."""
+    limits = {r.lang: r.most for r in most.collect()}  # a row for each language
+    sent = rows.sparkSession.sparkContext.broadcast(limits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given = set()
+        for part in pieces(batches):
+            out = []
+            for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist()):
+                limit = sent.value[lang]
+                for i in range(0, len(text), size):
+                    piece = text[i : i + size]
+                    h = xxhash.xxh64_intdigest(piece.encode("utf-8", "surrogatepass")) >> 1
+                    if h <= limit and (lang, h) not in given:
+                        given.add((lang, h))
+                        out.append((lang, h, piece))
+            columns = list(zip(*out)) if out else [[]] * 3
+            kinds = (pa.string(), pa.int64(), pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds)], ["lang", "hash", "piece"]
+            )
+
+    found = rows.select("lang", "text").mapInArrow(run, "lang string, hash long, piece string")
+    return found.dropDuplicates(["lang", "hash"])
+
+
+def learn(
+    docs: DataFrame, training: Column, chars: int = SAMPLE_CHARS, piece: int = PIECE_CHARS
+) -> Model:
+    """A model from ``chars`` letters of each language, however many languages there are.
 
-    Rows without language or text are left out; equal texts count once.
+    Whole texts are cut into pieces of ``piece`` characters; the sample has those of smallest hash,
+    some times more than fit, without near copies among them. Rows without language or text are
+    left out; equal texts and equal pieces count once. The driver gets a few times ``chars``
+    characters of each language.
     """
     rows = texts_of(docs, F.col("lang").cast("string").alias("lang")).where("lang is not null")
     rows = rows.where(training).where(F.col("text") != "")
-    keys = rows.select("lang", F.xxhash64("text").alias("hash")).distinct()
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("hash"))
-    chosen = keys.withColumn("place", place).where(F.col("place") <= each).drop("place")
-    found = chosen.limit(MOST_LANGUAGES * each + 1)  # a check of the number of languages
-    known = [r.lang for r in found.select("lang").distinct().collect()]
-    if len(known) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    hashed = rows.withColumn("hash", F.xxhash64("text")).select(
-        "lang", "hash", F.substring("text", 1, SAMPLE_EACH).alias("text")
-    )
-    # At most MOST_LANGUAGES * each keys are sent to all tasks, and as many beginnings come back.
-    sample = hashed.join(F.broadcast(chosen), ["lang", "hash"]).distinct().collect()
+    texts = rows.select(
+        "lang", F.xxhash64("text").alias("hash"), F.ceil(F.length("text") / piece).alias("n")
+    ).distinct()
+    wanted = SPARE * -(-chars // piece)
+    share = F.least(F.lit(1.0), F.lit(float(wanted)) / F.sum("n"))
+    most = texts.groupBy("lang").agg((share * F.lit(float(1 << 62)) * 2).alias("most"))
+    found = _pieces_of(rows, piece, most).collect()
     samples: dict[str, list[str]] = {}
-    for r in sorted(sample):
-        samples.setdefault(r.lang, []).append(r.text)
-    return model_of(samples)
-
-
-def languages(docs: DataFrame, model: Model) -> DataFrame:
+    for r in sorted(found):
+        samples.setdefault(r.lang, []).append(r.piece)
+    return model_of(samples, chars)
+
+
+def _sent(docs: DataFrame, model: Model, held: int):
+    """A function for tasks: the model's parts, of ``held`` languages each. The only part is broadcast;
+    several are written to the shared folder, and a task reads one after the other."""
+    parts = [
+        Model(model.languages[i : i + held], model.symbols, model.steps[i : i + held], model.bits[i : i + held])
+        for i in range(0, max(1, len(model.languages)), held)
+    ]
+    if len(parts) == 1:
+        sent = docs.sparkSession.sparkContext.broadcast(parts[0])
+        return lambda: iter([sent.value])
+    folder, files = shared_folder(docs.sparkSession), len(parts)
+    system, path = open_folder(folder)
+    system.create_dir(path, recursive=True)
+    for i, part in enumerate(parts):
+        with system.open_output_stream(f"{path}/{i}") as out:
+            out.write(pickle.dumps(part))
+
+    def read() -> Iterator[Model]:
+        system, path = open_folder(folder)
+        for i in range(files):
+            with system.open_input_stream(f"{path}/{i}") as part:
+                yield pickle.loads(part.read())
+
+    return read
+
+
+def languages(docs: DataFrame, model: Model, held: int = HELD_LANGUAGES) -> DataFrame:
     """``doc_id``, ``lang_pred``, ``score`` (0 to 1) of every row, repeated ones too.
 
-    Whole texts are parsed. Texts that are null or have no letter are ``und`` with score 0, and so
-    are all if nothing was learned. Ties go to the first name. Other columns are ignored.
+    Whole texts are parsed, against ``held`` languages at a time. Texts that are null or have no
+    letter are ``und`` with score 0, and so are all if nothing was learned. Ties go to the first
+    name. Other columns are ignored.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    parts = _sent(docs, model, held)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, limit=1 << 21):
-            lang, score = sent.value.predict(lowered(piece.column("text")).to_pylist())
+            lang, score = predict(parts(), lowered(piece.column("text")).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [piece.column("doc_id"), pa.array(lang, pa.string()), pa.array(score, pa.float64())],
                 ["doc_id", "lang_pred", "score"],

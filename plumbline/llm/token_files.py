@@ -22,13 +22,12 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import pieces, release_memory, texts_of, words_of
+from plumbline.llm.common import open_folder, pieces, release_memory, texts_of, words_of
 
 MAGIC = b"PLDAC001"
 CHUNK_BITS = 8
@@ -45,12 +44,6 @@ _TAIL = "^(?P<core>.*[a-z])(?P<tail>[.,!#$%&*]+)$"
 _TYPES = {8: np.dtype("<u1"), 16: np.dtype("<u2")}
 
 
-def open_folder(uri: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (
-        pafs.LocalFileSystem(), uri
-    )
-
-
 # --- codes
 
 

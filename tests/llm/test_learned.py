@@ -102,12 +102,12 @@ def test_automaton_knows_every_substring_and_no_other():
     rng = np.random.default_rng(3)
     for n in (1, 2, 30, 200):
         text = rng.integers(2, 5, n).tolist()
-        moves = language.automaton(text, 6)
+        moves = language.transitions(text)
 
         def known(word):
             s = 0
             for c in word:
-                s = moves[s, c]
+                s = moves[s].get(c, -1)
                 if s < 0:
                     return False
             return True
@@ -137,11 +137,12 @@ def test_phrases_are_longest_matches():
     own = "ab cab " * 200
     runs = [own[i : i + language.RUN] for i in range(0, len(own), language.RUN)]
     assert phrases[4, 0] == sum(plain(r, "abcabcabd") for r in runs)
-    assert model.predict(["ab", "zy", "", "??"])[0] == ["a", "b", "und", "und"]
+    assert language.predict([model], ["ab", "zy", "", "??"])[0] == ["a", "b", "und", "und"]
 
 
 def test_shapes_and_ngrams():
     assert quality.shape("OF!!") == "A!!" and quality.shape("aB12-x") == "aA0-a"
+    assert quality.shape("a" * 100 + "1") == "a0" and quality.shape("-" * 60) == "-" * 60
     slots, starts = quality.ngrams(pa.array(["a a a", "", "A a", "a a a"]))
     own = [set(slots[i:j].tolist()) for i, j in zip(starts, starts[1:])]
     assert own[0] == own[3] and not own[1] and own[0] != own[2]
@@ -164,7 +165,7 @@ def test_letters_of_every_script_match_only_themselves():
     samples = {f"l{k}": ["".join(rng.choice(han[k * 1500 : k * 1500 + 1500], 900))] for k in range(4)}
     model = language.model_of(samples)
     texts = ["".join(rng.choice(han[k * 1500 : k * 1500 + 1500], 60)) for k in range(4)]
-    assert model.predict(texts)[0] == list(samples)
+    assert language.predict([model], texts)[0] == list(samples)
     phrases = model.phrases(["".join(samples["l0"])[:300], "\u1200" * 40])[0]
     assert phrases[0].tolist() == [1, 301, 301, 301] and phrases[1].tolist() == [41] * 4
 
