@@ -14,6 +14,7 @@ File layout, all numbers little-endian:
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import uuid
@@ -24,10 +25,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import open_folder, pieces, release_memory, texts_of, words_of
+from plumbline.llm.common import cut, open_folder, pieces, release_memory, texts_of, words_of
 
 MAGIC = b"PLDAC001"
 CHUNK_BITS = 8
@@ -40,6 +41,8 @@ KEPT_WORDS = 700_000
 #: Words that are encoded, and words whose ids are laid out, at a time.
 ENCODED_WORDS = 1 << 12
 SLICE_WORDS = 1 << 17
+#: Words of tokenizers whose ids do not depend on what stands around a word (fixed value).
+_WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _TAIL = "^(?P<core>.*[a-z])(?P<tail>[.,!#$%&*]+)$"
 _TYPES = {8: np.dtype("<u1"), 16: np.dtype("<u2")}
 
@@ -138,20 +141,53 @@ class TokenFile:
 # --- ids
 
 
-class WordIds:
-    """Ids of texts, by way of the ids of their distinct words.
+def works_by_words(settings: dict) -> bool:
+    """Are the ids of a text those of its lower-cased words, each apart from the punctuation at its
+    end, whatever stands around them?
 
-    ``by_words`` is right for tokenizers that drop white space, split between letters and
-    punctuation, lower-case, and look across none of this, as those with word ends do: the ids of
-    a text are those of its words in turn, each without the punctuation at its end, and of that
-    punctuation. Other tokenizers encode whole texts.
+    Told from a tokenizer's file: it lower-cases, splits by ``_WORD_SPLIT`` before anything else and
+    drops what lies between, and its own tokens begin with ``<|``, have no blank, and take none
+    from around them.
     """
 
-    def __init__(self, path: str, by_words: bool = True, end_id: int | None = END_ID):
+    def steps(part: dict | None, inner: str) -> list[dict]:
+        return [] if part is None else part[inner] if part["type"] == "Sequence" else [part]
+
+    normal = steps(settings.get("normalizer"), "normalizers")
+    split = steps(settings.get("pre_tokenizer"), "pretokenizers")
+    lowers = any(x["type"] == "Lowercase" for x in normal) and all(
+        x["type"] in ("NFC", "Lowercase")
+        or (x["type"] == "Replace" and x["pattern"] == {"Regex": r"\s+"} and x["content"] == " ")
+        for x in normal
+    )
+    first = split[0] if split else {}
+    splits = (
+        first.get("type") == "Split"
+        and first.get("pattern") == {"Regex": _WORD_SPLIT}
+        and first.get("behavior") == "Removed"
+        and first.get("invert") is True
+        and all(x["type"] == "ByteLevel" and not x["add_prefix_space"] and not x["use_regex"] for x in split[1:])
+    )
+    own = settings.get("added_tokens") or []
+    apart = all(
+        x["content"].startswith("<|")
+        and not any(c.isspace() for c in x["content"])
+        and not (x["lstrip"] or x["rstrip"] or x["single_word"] or x["normalized"])
+        for x in own
+    )
+    return lowers and splits and apart
+
+
+class WordIds:
+    """Ids of texts, by way of the ids of their distinct words where the tokenizer allows it, which
+    ``works_by_words`` tells; other tokenizers encode whole texts."""
+
+    def __init__(self, path: str, end_id: int | None = END_ID):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
-        self._tokenizer, self._by_words = Tokenizer.from_file(path), by_words
+        self._tokenizer = Tokenizer.from_file(path)
+        self._by_words = works_by_words(json.loads(self._tokenizer.to_str()))
         self._end = [] if end_id is None else [end_id]
         self.clear()
 
@@ -249,7 +285,6 @@ def write_tokens(
     docs: DataFrame,
     folder: str,
     tokenizer: str,
-    by_words: bool = True,
     end_id: int | None = END_ID,
     order: Sequence[Column] | None = None,
     chunk_bits: int = CHUNK_BITS,
@@ -261,10 +296,11 @@ def write_tokens(
 
     Columns: ``part``, ``file``, ``path``, ``documents``, ``tokens``, ``base`` (tokens of all files
     before it). Texts that are null or empty have the end id alone. Rows with a null order come
-    first; equal ones are ordered by doc_id and text, and all are written. Files are written under
-    another name and then renamed, and their names follow from the rows they hold: a task that
-    runs again writes the same files. An empty table gives no row. With ``forget`` a worker keeps no
-    words from one task to the next: less memory where idle workers add up, more work.
+    first; equal ones are ordered by doc_id and text, and all are written. Files are renamed when
+    whole, under names of the attempt's own: a task that runs twice, after one another or at the
+    same time, writes files apart, and the rows name those of the attempt that counts. An empty
+    table gives no row. With ``forget`` a worker keeps no words from one task to the next: less
+    memory where idle workers add up, more work.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -276,14 +312,14 @@ def write_tokens(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = open_folder(folder)
         store.create_dir(root, recursive=True)
-        part, file = TaskContext.get().partitionId(), 0
+        part, file, attempt = TaskContext.get().partitionId(), 0, uuid.uuid4().hex
         ids, sizes, chunks, held = [], [], [], 0
 
         def flush() -> pa.RecordBatch:
-            name = f"tokens-{part:06d}-{file:06d}.dac"
+            name = f"tokens-{part:06d}-{file:06d}-{attempt}.dac"
             starts = np.concatenate(([0], np.cumsum(np.concatenate(sizes))))
             data = file_bytes(ids, starts, np.concatenate(chunks), chunk_bits)
-            unfinished = f"{root}/.{part:06d}-{file:06d}-{uuid.uuid4().hex}"
+            unfinished = f"{root}/.{name}"
             with store.open_output_stream(unfinished) as out:
                 out.write(data)
             store.move(unfinished, f"{root}/{name}")
@@ -291,7 +327,7 @@ def write_tokens(
                 [{"part": part, "file": file, "path": f"{folder}/{name}", "documents": len(ids), "tokens": held}]
             )
 
-        encode = encoder(tokenizer, by_words, end_id)
+        encode = encoder(tokenizer, end_id)
         for piece in pieces(batches, limit=3 << 22):
             flat, own = encode(piece.column("text"))
             ids += piece.column("doc_id").to_pylist()
@@ -308,12 +344,14 @@ def write_tokens(
         release_memory()
 
     shape = "part long, file long, path string, documents long, tokens long"
-    files = sorted(dealt.mapInArrow(run, shape).collect())  # a row for each file
-    base, out = 0, []
-    for f in files:
-        out.append((*f, base))
-        base += f.tokens
-    return spark.createDataFrame(out, f"{shape}, base long")
+    files = cut(dealt.mapInArrow(run, shape))
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    # A row for each partition, in order; its files follow on what the partitions before it hold.
+    total = files.groupBy("part").agg(F.sum("tokens").alias("own"))
+    total = total.select("part", F.sum("own").over(before.orderBy("part")).alias("earlier"))
+    within = F.sum("tokens").over(before.partitionBy("part").orderBy("file"))
+    base = F.coalesce("earlier", F.lit(0)) + F.coalesce(within, F.lit(0))
+    return files.join(total, "part").select(*files.columns, base.cast("long").alias("base"))
 
 
 def file_order(docs: DataFrame) -> list[Column] | None:

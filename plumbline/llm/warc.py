@@ -15,8 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import cut, pieces
-from plumbline.llm.token_files import open_folder
+from plumbline.llm.common import cut, open_folder, pieces
 
 #: Compressed bytes after which a task begins a new archive, and bytes of a reader's range.
 ARCHIVE_BYTES = 1 << 28
@@ -83,8 +82,9 @@ def write_warc(
     Of records with equal payloads of at least ``least_bytes`` bytes the one with the largest
     page_id is a response and the others revisit it. Rows that repeat its page_id are responses
     too, and so are all rows of a payload without any page_id; a null page_id among others is a
-    revisit. Other columns are ignored. Archives are renamed when whole, under names that follow
-    from the partition, so that a task that runs again replaces its own.
+    revisit. Other columns are ignored. Archives are renamed when whole, under names of the attempt's
+    own: a task that runs twice writes archives apart, and the rows name those of the attempt that
+    counts, with their sizes.
     """
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
@@ -109,10 +109,11 @@ def write_warc(
         store, root = open_folder(folder)
         store.create_dir(root, recursive=True)
         part, number, out, unfinished, size = TaskContext.get().partitionId(), 0, None, "", 0
+        attempt = uuid.uuid4().hex
 
         def finish() -> pa.RecordBatch:
             out.close()
-            name = f"part-{part:06d}-{number:06d}.warc.gz"
+            name = f"part-{part:06d}-{number:06d}-{attempt}.warc.gz"
             store.move(unfinished, f"{root}/{name}")
             return pa.RecordBatch.from_pylist([{"path": f"{folder}/{name}", "bytes": size}])
 
@@ -133,8 +134,7 @@ def write_warc(
         if out is not None:
             yield finish()
 
-    written = joined.mapInArrow(run, "path string, bytes long").collect()  # a row for each archive
-    return pages.sparkSession.createDataFrame(written, "path string, bytes long")
+    return cut(joined.mapInArrow(run, "path string, bytes long"))
 
 
 class Members:
@@ -142,6 +142,8 @@ class Members:
 
     def __init__(self, source: pa.NativeFile, size: int):
         self._source, self._size = source, size
+        #: Places where a record began that could not be read to its end.
+        self.broken: list[int] = []
         self._at, self._held = 0, memoryview(b"")
 
     def _read(self, at: int, n: int) -> memoryview:
@@ -192,6 +194,7 @@ class Members:
         while at is not None and at < stop:
             found = self.member(at)
             if found is None:
+                self.broken.append(at)
                 at = self.next_record(at + 1, stop)
                 continue
             yield at, found[0]
@@ -232,13 +235,17 @@ _READ = (
 )
 
 
-def read_warc(archives: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+def read_warc(
+    archives: DataFrame, split_bytes: int = SPLIT_BYTES, broken_rows: bool = False
+) -> DataFrame:
     """A row for each record of the archives (``path``, ``bytes``), read in ranges of bytes.
 
     A task looks for gzip magic from the start of its range, takes a candidate for a record only
     if it decodes to a record's header, and reads the records that start in its range to their
-    ends. Every record starts in one range, so none is lost or read twice. Broken members are
-    passed over. A revisit's payload is null; its size and digest are those of the full payload.
+    ends. Every record starts in one range, so none is lost or read twice. A revisit's payload is
+    null; its size and digest are those of the full payload. Members that begin as a record and
+    break off are passed over; with ``broken_rows`` each has a row of type ``broken``, whose url is the
+    archive's path and, after a #, the place.
     """
     starts = f"explode(sequence(0L, bytes - 1, {int(split_bytes)}L)) AS start"
     ranges = archives.where("bytes > 0").selectExpr("path", "bytes", starts)
@@ -263,6 +270,10 @@ def read_warc(archives: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
                         if held >= 4 << 20:
                             yield pa.RecordBatch.from_pylist(rows, kinds)
                             rows, held = [], 0
+                    if broken_rows:
+                        rows += [
+                            {"record_type": "broken", "url": f"{row['path']}#{at}"} for at in members.broken
+                        ]
                     if rows:
                         yield pa.RecordBatch.from_pylist(rows, kinds)
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import zlib
 
 import numpy as np
@@ -8,6 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import public_tokenizers
+from plumbline.llm import common
 from plumbline.llm.common import shared_folder
 from plumbline.llm.token_files import (
     TokenFile,
@@ -15,6 +17,7 @@ from plumbline.llm.token_files import (
     file_bytes,
     read_tokens,
     token_digests,
+    works_by_words,
     write_tokens,
 )
 
@@ -47,10 +50,38 @@ def test_any_token_is_read_without_the_others(bits):
 
 
 @pytest.mark.parametrize("file, by_words", [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
-def test_ids_are_the_tokenizer_s(file, by_words, odd_rows):
+def test_the_tokenizer_tells_whether_words_stand_alone(file, by_words):
+    settings = json.loads(Tokenizer.from_file(public_tokenizers.path(file)).to_str())
+    assert works_by_words(settings) is by_words
+    if by_words:
+        for part, key, value in [
+            (settings, "normalizer", None),
+            (settings, "pre_tokenizer", {"type": "Whitespace"}),
+            (settings["added_tokens"][0], "lstrip", True),
+            (settings["added_tokens"][0], "content", "end"),
+            (settings["pre_tokenizer"]["pretokenizers"][0], "invert", False),
+        ]:
+            before, part[key] = part[key], value
+            assert not works_by_words(settings), key
+            part[key] = before
+
+
+def test_two_attempts_of_a_task_do_not_meet(spark, odd_docs):
+    """The same rows written twice to one folder: each listing reads its own files."""
+    folder = shared_folder(spark)
+    first = write_tokens(odd_docs, folder, WORD, file_tokens=500)
+    second = write_tokens(odd_docs.where("doc_id > 5"), folder, WORD, file_tokens=500)
+    paths = [r.path for f in (first, second) for r in f.collect()]
+    assert len(set(paths)) == len(paths)
+    assert token_digests(read_tokens(first)).count() == odd_docs.count()
+    assert token_digests(read_tokens(second)).count() == odd_docs.where("doc_id > 5").count()
+
+
+@pytest.mark.parametrize("file", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_ids_are_the_tokenizer_s(file, odd_rows):
     path = public_tokenizers.path(file)
     texts = TEXTS + [r[1] or "" for r in odd_rows]
-    flat, n = WordIds(path, by_words)(pa.array(texts))
+    flat, n = WordIds(path)(pa.array(texts))
     own = np.split(flat, np.cumsum(n)[:-1])
     whole = Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)
     assert [x.tolist() for x in own] == [x.ids + [1] for x in whole]
@@ -73,3 +104,13 @@ def test_round_trip_in_ascending_order(spark, odd_docs, odd_rows):
 def test_empty_table(spark, no_docs):
     files = write_tokens(no_docs, shared_folder(spark), WORD)
     assert files.count() == 0 and read_tokens(files).count() == 0
+
+
+def test_paths_of_spark_are_opened(tmp_path):
+    for uri, path in [(str(tmp_path), str(tmp_path)), (f"file://{tmp_path}", str(tmp_path)), (f"file:{tmp_path}", str(tmp_path))]:
+        store, found = common.open_folder(uri)
+        assert found == path and store.type_name == "local"
+    store, found = common.open_folder("s3a://bucket/some/folder?region=us-east-1")
+    assert store.type_name == "s3" and found == "bucket/some/folder"
+    with pytest.raises(ValueError, match="shared by driver"):
+        common.open_folder("viewfs://x/y")

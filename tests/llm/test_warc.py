@@ -80,3 +80,29 @@ def test_header_cannot_be_broken_by_a_url():
 def test_empty_table(spark):
     archives = write_warc(spark.createDataFrame([], SCHEMA), shared_folder(spark))
     assert archives.count() == 0 and read_warc(archives).count() == 0
+
+
+def test_broken_records_are_reported(spark, tmp_path):
+    members = [gzip.compress(record(i, "u", random.Random(i).randbytes(900), None, "d")) for i in range(6)]
+    raw = b"".join(members[:2]) + members[2][:400] + b"".join(members[3:]) + members[0][:-6]
+    (tmp_path / "a.warc.gz").write_bytes(raw)
+    places = [sum(map(len, members[:2])), len(raw) - len(members[0]) + 6]
+    archives = spark.createDataFrame([(f"{tmp_path}/a.warc.gz", len(raw))], "path string, bytes long")
+    for split in (300, 1 << 20):
+        assert sorted(r.page_id for r in read_warc(archives, split).collect()) == [0, 1, 3, 4, 5]
+        rows = read_warc(archives, split, broken_rows=True).collect()
+        assert sorted(r.page_id for r in rows if r.record_type == "response") == [0, 1, 3, 4, 5]
+        assert sorted(r.url for r in rows if r.record_type == "broken") == sorted(
+            f"{tmp_path}/a.warc.gz#{at}" for at in places
+        )
+
+
+def test_two_attempts_of_a_task_do_not_meet(spark, rows):
+    """The same pages written twice to one folder: each listing reads its own archives whole."""
+    folder = shared_folder(spark)
+    pages = spark.createDataFrame(rows, SCHEMA)
+    first = write_warc(pages, folder, archive_bytes=1500)
+    second = write_warc(pages.where("page_id < 40"), folder, archive_bytes=1500)
+    paths = [r.path for f in (first, second) for r in f.collect()]
+    assert len(set(paths)) == len(paths)
+    assert read_warc(first).count() == len(rows) and read_warc(second).count() == 40
