@@ -31,7 +31,10 @@ def test_matches_sql(name, spark, sf_dir):
     assert rows_of(found.select(*names)) == want
 
 
-@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - {"op2_warc", "op4_decontamination"}))
+NOT_BY_DOCUMENT = {"op2_warc", "op4_decontamination", "op12_spelling", "op13_lexical"}
+
+
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - NOT_BY_DOCUMENT))
 def test_every_document_is_in_the_result_once(name, spark, sf_dir):
     found = queries.QUERIES[name](spark, sf_dir).select("doc_id").collect()
     docs = queries.table(spark, sf_dir, "documents").select("doc_id").collect()
@@ -42,7 +45,7 @@ def test_entry_has_all_queries():
     import __spark_entry__ as entry
 
     assert {*queries.QUERIES, "pipeline"} <= set(entry.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in queries.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in queries.QUERIES}
 
 
 def test_stages_decide_as_brute_force_does(spark, sf_dir, tmp_path_factory):
@@ -93,3 +96,30 @@ def test_stages_take_empty_tables(spark, sf_dir):
         docs = stage(spark, docs, sf_dir)
         assert docs.count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() == 0
+
+
+def test_whole_run_over_odd_rows(spark, odd_docs, odd_rows, tmp_path):
+    """Null ids and texts, repeated rows, columns with clashing names, one very long text."""
+    rows = [*odd_rows, (500, "lo ng wo rds " * 200_000, "en", "a", None), odd_rows[-1], odd_rows[-1]]
+    schema = odd_docs.select("doc_id", "text", "lang", "source", "n_chars").schema
+    extra = [F.lit(f"extra {c}").alias(c) for c in odd_docs.columns[5:]]
+    spark.createDataFrame(rows, schema).select("*", *extra).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(i, i % 2, i % 3 % 2) for i in range(1, 120)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    items = [(1, odd_rows[-1][1]), (2, None), (None, "no such passage in any of these documents")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    by_print = {}
+    for r in rows:
+        by_print.setdefault(plain_print(r[1]), []).append(r)
+    roots = classes(set(by_print), lambda x, y: bits(x, y) <= 4)
+    groups = {}
+    for p, own in by_print.items():
+        groups.setdefault(roots[p], []).extend(own)
+    # Of each group the row with the smallest id stays; nothing is toxic, one group is an item's.
+    expected = {min((r[0] for r in own if r[0] is not None), default=None) for own in groups.values()}
+    expected -= {odd_rows[-1][0]}
+    assert len(found) == len(groups) - 1 and {r.doc_id for r in found} == expected
+    starts = sorted((r.start, r.n_tokens) for r in found)
+    assert all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:])) and starts[0][0] == 0
+    assert max(n for _, n in starts) > 600_000
