@@ -36,6 +36,15 @@ PIECE_BITS = 17
 LEAST, MOST = 1e-3, 1e15
 PLACES = 10
 
+# Sums of the limbs of rare values, in pieces: name, SQL, power of two, limb.
+RARE_SUMS = [
+    (f"__sum{i}_{piece}", sql, PIECE_BITS * piece, i)
+    for i in range(3)
+    for piece, sql in enumerate(
+        (f"__l{i} & {2**PIECE_BITS - 1}", f"shiftright(__l{i}, {PIECE_BITS})")
+    )
+]
+
 # Decimals of up to 28 digits leave ten digits for the number of rows in a sum of 38.
 SUMMED_DIGITS = 28
 LIMB_DIGITS, LIMBS = 18, 4
@@ -216,8 +225,8 @@ def gathered(parts: SumParts) -> str:
     every = f"array({', '.join(terms)})"
     if parts.rare:
         own = ", ".join(
-            f"concat_ws(' ', CAST(__sum{i} AS STRING), '0', CAST({PLACES} * (__place + {i}) AS STRING))"
-            for i in range(3)
+            f"concat_ws(' ', CAST({sum_} AS STRING), '{twos}', CAST({PLACES} * (__place + {i}) AS STRING))"
+            for sum_, _, twos, i in RARE_SUMS
         )
         every = f"concat({every}, flatten(collect_list(CASE WHEN __of = '{name}' THEN array({own}) END)))"
     return (
@@ -274,9 +283,7 @@ def one_row(df: DataFrame, rows: Rows, outputs: list[str]) -> DataFrame:
         return frame.groupBy().agg(*aggregates).agg(*[F.expr(sql) for sql in outputs])
     own = "FILTER (WHERE __pos IS NULL OR __pos = 0)"
     aggregates = [F.expr(f"{sql} {own} AS {name}") for name, sql in rows.aggregates]
-    limbs = [
-        F.expr(f"sum(CAST(__l{i} AS DECIMAL({SUMMED_DIGITS}, 0))) AS __sum{i}") for i in range(3)
-    ]
+    limbs = [F.expr(f"sum({sql}) AS {name}") for name, sql, _, _ in RARE_SUMS]
     grouped = _rare_rows(frame, rows.rares).groupBy("__of", "__place").agg(*aggregates, *limbs)
     return grouped.agg(*[F.expr(sql) for sql in outputs])
 
