@@ -31,9 +31,9 @@ from plumbline.llm.decontamination import bloom, passes
 
 LENGTH = 200
 GRAM = 16
-#: Bits of the filter of repeated minimizers that is sent to the tasks. A full filter costs
-#: shuffled rows, not results.
-FILTER_BITS = 1 << 26
+#: Bits of the filter of repeated minimizers that is sent to the tasks, at most, and for each of
+#: them. A full filter costs shuffled rows, not results.
+FILTER_BITS, BITS_EACH = 1 << 28, 16
 #: Different blocks of one minimizer that a task compares; above, windows are counted one by one.
 MOST_BLOCKS = 1 << 16
 #: Bytes hashed at a time.
@@ -189,7 +189,7 @@ def _minimizers(rows: DataFrame, length: int, gram: int) -> DataFrame:
 
 def _occurrences(rows: DataFrame, minimizers: DataFrame, length: int, gram: int, bits: int) -> DataFrame:
     """Blocks of the minimizers: where they are, and 128 bits of their bytes."""
-    known = rows.sparkSession.sparkContext.broadcast(bloom(minimizers, bits))
+    known = rows.sparkSession.sparkContext.broadcast(_filter(minimizers, bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
@@ -320,6 +320,12 @@ def _counted(strings: DataFrame, length: int) -> DataFrame:
     return found.select("hash", "h1", "h2", "low", (F.col("low") + 1).alias("high"))
 
 
+def _filter(hashes: DataFrame, most: int) -> np.ndarray:
+    """A filter of the column ``hash``, as large as its rows need and ``most`` bits allow."""
+    wanted = 1 << (BITS_EACH * hashes.count()).bit_length()
+    return bloom(hashes, max(64, min(most, wanted)))
+
+
 def told_apart(docs: DataFrame, filter_bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
     """``doc_id``, ``text`` and ``text_hash`` of all rows, those equal in id and text once; and, of rows that
     were not alone, ``doc_id``, ``text_hash`` and ``size``, the bytes of the text.
@@ -338,7 +344,7 @@ def told_apart(docs: DataFrame, filter_bits: int = FILTER_BITS) -> tuple[DataFra
     if not copies.limit(1).count():
         return rows, copies
     key = F.xxhash64("doc_id", "text_hash")
-    known = docs.sparkSession.sparkContext.broadcast(bloom(copies.select(key.alias("hash")), filter_bits))
+    known = docs.sparkSession.sparkContext.broadcast(_filter(copies.select(key.alias("hash")), filter_bits))
 
     @F.arrow_udf("boolean")
     def may_repeat(hashes: pa.Array) -> pa.Array:
