@@ -4,26 +4,31 @@ A window of ``length`` bytes is repeated if the same bytes start anywhere else.
 assigned to its minimizer, the ``gram`` bytes in it with the smallest hash (the first of equal
 ones); neighbouring windows with the same minimizer make a block. Equal windows have equal
 minimizers at equal places, so that windows need comparing only within a minimizer's blocks.
-Minimizers of one block are dropped; if all blocks of a minimizer are equal, all their windows are
-repeated.
-
-The different blocks of the other minimizers are lined up at the minimizer and sorted by what
-follows it: the rows of the minimizer's interval in the suffix order. All intervals are then
-extended backwards together, one byte at a time, by a stable sort on the preceding byte. The
-common prefix of neighbouring rows grows by one where the byte agrees, and rows part for good
-where it differs. A row is dropped as soon as it cannot reach ``length`` any more, and a window is
-repeated when its common prefix with a neighbour has reached ``length``.
+Minimizers of one block are dropped.
+
+The different blocks of the other minimizers, each with the number of its places, are lined up at
+the minimizer and sorted by what follows it: the rows of the minimizer's interval in the suffix
+order. All intervals are then extended backwards together, one byte at a time, by a stable sort on
+the preceding byte. The common prefix of neighbouring rows grows by one where the byte agrees, and
+rows part for good where it differs; a row of several places is its own neighbour. A row is dropped
+as soon as it cannot reach ``length`` any more, and a window is repeated when its common prefix
+with a neighbour has reached ``length``.
+
+Blocks of a minimizer with very many of them are cut at fixed distances from the minimizer and
+grouped by all the bytes that the windows of a cut share; equal cuts become one. Groups that are
+still large are cut into single windows. Equal windows meet all the same, and no task gets more
+than a bounded group.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import as_bytes, cut, packed_texts, pieces, texts_of
@@ -34,8 +39,12 @@ GRAM = 16
 #: Bits of the filter of repeated minimizers that is sent to the tasks, at most, and for each of
 #: them. A full filter costs shuffled rows, not results.
 FILTER_BITS, BITS_EACH = 1 << 28, 16
-#: Different blocks of one minimizer that a task compares; above, windows are counted one by one.
-MOST_BLOCKS = 1 << 16
+#: Different blocks of one group that a task compares; larger groups are told apart by longer contexts.
+MOST_BLOCKS = 1 << 10
+#: Parts of a window's length that the windows of a cut may lie apart.
+CUTS = 12
+#: Parts in which cuts meet their results, as one cut may be part of very many blocks.
+SALTS = 16
 #: Bytes hashed at a time.
 STRETCH = 1 << 18
 _PLACE = np.uint64((1 << 20) - 1)
@@ -112,12 +121,18 @@ def _least_between(lcp: np.ndarray, before: np.ndarray, after: np.ndarray) -> np
 
 
 def repeated_windows(
-    group: np.ndarray, strings: list[bytes], anchor: np.ndarray, count: np.ndarray, length: int = LENGTH
+    group: np.ndarray,
+    strings: list[bytes],
+    anchor: np.ndarray,
+    count: np.ndarray,
+    length: int = LENGTH,
+    times: np.ndarray | None = None,
 ) -> np.ndarray:
-    """Which windows of each block another block of its group has at the same place from the anchor.
+    """Which windows of each block are met again in its group, at the same place from the anchor.
 
     Blocks of a group differ. ``anchor`` is the place of the minimizer in the block, ``count`` the
-    number of the block's windows. Gives a matrix (blocks, ``count.max()``).
+    number of the block's windows, ``times`` that of the block's places (default: one). Gives a
+    matrix (blocks, ``count.max()``).
     """
     n, widest = len(strings), int(count.max())
     right = np.array([len(s) for s in strings]) - anchor
@@ -139,14 +154,16 @@ def repeated_windows(
     lcp[1:] = np.minimum(lcp[1:], np.minimum(right[row[1:]], right[row[:-1]]))
     lcp[1:][rank[row[1:]] != rank[row[:-1]]] = -1
     found = np.zeros((n, widest), bool)
+    several = np.zeros(n, bool) if times is None else times > 1
     for d in range(int(anchor.max()) + 1):
         most = np.maximum(lcp, np.append(lcp[1:], -1))
+        most = np.where(several[row], right[row] + d, most)
         window = anchor[row] - d
         hit = (most >= length) & (window >= 0) & (window < count[row])
         found[row[hit], window[hit]] = True
         # Only rows with a byte before them go on, and only if they may still reach the length.
         kept = np.flatnonzero((window > 0) & (most >= 0) & (most + window >= length))
-        if len(kept) < 2:
+        if not len(kept):
             break
         lcp = np.append(-1, _least_between(lcp, kept[:-1], kept[1:]))
         row = row[kept]
@@ -168,27 +185,18 @@ def _ordered(order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _minimizers(rows: DataFrame, length: int, gram: int) -> DataFrame:
-    """Minimizers of two blocks or more, and whether their blocks differ (``mixed``)."""
+    """Minimizers of two blocks or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
-            raw, _, _, first, count, value, _ = _read(piece, length, gram)
-            spans = zip(first.tolist(), (first + count + length - 1).tolist())
-            each = xxhash.xxh3_64_intdigest
-            own = np.fromiter((each(raw[a:b]) for a, b in spans), np.uint64, len(first))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(value.view(np.int64)), pa.array(own.view(np.int64))], ["hash", "block"]
-            )
+            value = _read(piece, length, gram)[5]
+            yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64))], ["hash"])
 
-    found = rows.mapInArrow(run, "hash long, block long")
-    counted = found.groupBy("hash").agg(
-        F.count("*").alias("n"), F.min("block").alias("low"), F.max("block").alias("high")
-    )
-    return counted.where("n > 1").select("hash", (F.col("low") != F.col("high")).alias("mixed"))
+    return rows.mapInArrow(run, "hash long").groupBy("hash").count().where("count > 1").select("hash")
 
 
 def _occurrences(rows: DataFrame, minimizers: DataFrame, length: int, gram: int, bits: int) -> DataFrame:
-    """Blocks of the minimizers: where they are, and 128 bits of their bytes."""
+    """Blocks of the minimizers, and some others: where they are, and 128 bits of their bytes."""
     known = rows.sparkSession.sparkContext.broadcast(_filter(minimizers, bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,11 +221,13 @@ def _occurrences(rows: DataFrame, minimizers: DataFrame, length: int, gram: int,
                 ["hash", "h1", "h2", "doc_id", "text_hash", "at", "count", "anchor"],
             )
 
-    found = rows.mapInArrow(
+    return rows.mapInArrow(
         run,
         "hash long, h1 long, h2 long, doc_id long, text_hash long, at long, count int, anchor int",
     )
-    return found.join(minimizers, "hash")
+
+
+_BLOCK = "hash long, h1 long, h2 long, n long, count int, anchor int, bytes binary"
 
 
 def _strings(blocks_: DataFrame, packed: DataFrame) -> DataFrame:
@@ -233,21 +243,19 @@ def _strings(blocks_: DataFrame, packed: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pylist(
                 [{k: v for k, v in b.items() if k not in ("at", "size")} for b in out],
                 pa.schema(
-                    [("hash", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("wide", pa.bool_()),
+                    [("hash", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("n", pa.int64()),
                      ("count", pa.int32()), ("anchor", pa.int32()), ("bytes", pa.binary())]
                 ),
             )
 
     by_doc = blocks_.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(
-        F.collect_list(F.struct("hash", "h1", "h2", "wide", "count", "anchor", "at", "size")).alias("own")
+        F.collect_list(F.struct("hash", "h1", "h2", "n", "count", "anchor", "at", "size")).alias("own")
     )  # a document's blocks: fewer than its bytes
     once = packed.join(
         by_doc,
         packed["doc_id"].eqNullSafe(by_doc["_id"]) & (packed["text_hash"] == by_doc["_hash"]),
     )
-    return once.select("packed", "own").mapInArrow(
-        run, "hash long, h1 long, h2 long, wide boolean, count int, anchor int, bytes binary"
-    )
+    return once.select("packed", "own").mapInArrow(run, _BLOCK)
 
 
 _FOUND = "hash long, h1 long, h2 long, low int, high int"
@@ -262,7 +270,7 @@ def _compared(strings: DataFrame, length: int) -> DataFrame:
             keys = [batch[c].to_numpy() for c in ("hash", "h1", "h2")]
             found = repeated_windows(
                 group, batch["bytes"].to_pylist(), batch["anchor"].to_numpy().astype(np.int64),
-                batch["count"].to_numpy().astype(np.int64), length,
+                batch["count"].to_numpy().astype(np.int64), length, batch["n"].to_numpy(),
             )
             edge = np.diff(np.pad(found.astype(np.int8), ((0, 0), (1, 1))), axis=1)
             row, low = np.nonzero(edge == 1)
@@ -288,36 +296,79 @@ def _compared(strings: DataFrame, length: int) -> DataFrame:
         if size:
             yield compare(pa.Table.from_batches(held))
 
-    dealt = strings.where("not wide").drop("wide").repartition("hash").sortWithinPartitions("hash", "h1", "h2")
+    dealt = strings.repartition("hash").sortWithinPartitions("hash", "h1", "h2")
     return dealt.mapInArrow(run, _FOUND)
 
 
-def _counted(strings: DataFrame, length: int) -> DataFrame:
-    """The same for minimizers of very many blocks: every window is a row and equal ones are
-    counted, combined where they are read, so that no task holds a minimizer's blocks."""
+def _cuts(strings: DataFrame, length: int, step: int) -> DataFrame:
+    """Blocks cut at every ``step`` bytes from their minimizer, with where the cut is in the block.
+
+    ``group`` is a digest of the bytes that all windows of a cut share, ``c1`` and ``c2`` of the cut's.
+    Equal windows lie equally far from equal minimizers and so in cuts of the same group.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh3_128_digest
+        shape = pa.schema(
+            [(c, pa.int64()) for c in ("group", "c1", "c2", "n", "hash", "h1", "h2")]
+            + [("count", pa.int32()), ("anchor", pa.int32()), ("low", pa.int32()), ("bytes", pa.binary())]
+        )
         for piece in pieces(batches, "bytes", 1 << 16):
-            keys, low, own = [], [], []
-            for i, (text, n) in enumerate(zip(piece.column("bytes").to_pylist(), piece.column("count").to_pylist())):
-                keys += [i] * n
-                low += range(n)
-                own += [digest(text[k : k + length]) for k in range(n)]
-            at = pa.array(keys, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [piece.column(c).take(at) for c in ("hash", "h1", "h2")]
-                + [pa.array(low, pa.int32()), pa.array(own, pa.binary())],
-                ["hash", "h1", "h2", "low", "window"],
-            )
+            out = []
+            for block in piece.to_pylist():
+                text, anchor, low = block["bytes"], block["anchor"], 0
+                while low < block["count"]:
+                    part = (anchor - low) // step
+                    first = anchor - part * step  # the last window that this part may have
+                    stop = min(block["count"], first + 1)
+                    shared, own = text[first : first + 1 - step + length], text[low : stop - 1 + length]
+                    c1, c2 = np.frombuffer(xxhash.xxh3_128_digest(own), "<i8").tolist()
+                    group = np.uint64(xxhash.xxh3_64_intdigest(shared, part)).view(np.int64)
+                    out.append(
+                        {**block, "group": int(group), "c1": c1, "c2": c2, "count": stop - low,
+                         "anchor": anchor - low, "low": low, "bytes": own}
+                    )
+                    low = stop
+            yield pa.RecordBatch.from_pylist(out, shape)
+
+    return strings.mapInArrow(
+        run,
+        "group long, c1 long, c2 long, n long, hash long, h1 long, h2 long, count int, anchor int, "
+        "low int, bytes binary",
+    )
+
 
-    windows = strings.where("wide").mapInArrow(
-        run, "hash long, h1 long, h2 long, low int, window binary"
+def _by_context(strings: DataFrame, length: int, steps: list[int], most: int, bits: int) -> DataFrame:
+    """Ranges of repeated windows of blocks in groups too large for a task: their cuts are compared
+    instead, in groups by all that the windows of a cut share. A cut of one window shares all of it."""
+    cuts = cut(_cuts(strings, length, steps[0]))
+    once = cuts.groupBy(F.col("group").alias("hash"), F.col("c1").alias("h1"), F.col("c2").alias("h2")).agg(
+        F.sum("n").alias("n"), *(F.first(c).alias(c) for c in ("count", "anchor", "bytes"))
+    )
+    if len(steps) > 1:
+        many = _many(once, most)
+        if many.limit(1).count():
+            wide = _among(many, bits)(F.col("hash"))
+            found = _compared(once.where(~wide), length).union(
+                _by_context(once.where(wide), length, steps[1:], most, bits)
+            )
+        else:
+            found = _compared(once, length)
+    else:
+        found = _compared(once, length)
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    found = found.select(
+        F.col("hash").alias("group"), F.col("h1").alias("c1"), F.col("h2").alias("c2"),
+        F.col("low").alias("from"), F.col("high").alias("to"), salts.alias("salt"),
+    )
+    parts = cuts.drop("bytes").withColumn("salt", F.pmod(F.xxhash64("hash", "h1"), F.lit(SALTS)).cast("int"))
+    return parts.join(found, ["group", "c1", "c2", "salt"]).select(
+        "hash", "h1", "h2", (F.col("low") + F.col("from")).alias("low"), (F.col("low") + F.col("to")).alias("high")
     )
-    # Blocks are given once, so that equal windows are in different blocks.
-    twice = windows.groupBy("window").count().where("count > 1").select("window")
-    found = windows.join(twice, "window")
-    return found.select("hash", "h1", "h2", "low", (F.col("low") + 1).alias("high"))
+
+
+def _many(blocks_: DataFrame, most: int) -> DataFrame:
+    """Groups of more than ``most`` blocks."""
+    return cut(blocks_.groupBy("hash").count().where(F.col("count") > most).select("hash"))
 
 
 def _filter(hashes: DataFrame, most: int) -> np.ndarray:
@@ -326,6 +377,20 @@ def _filter(hashes: DataFrame, most: int) -> np.ndarray:
     return bloom(hashes, max(64, min(most, wanted)))
 
 
+def _among(hashes: DataFrame, bits: int) -> Callable[[Column], Column]:
+    """Tells of a column whether it may be in the column ``hash``, by a filter that goes to the tasks."""
+    known = hashes.sparkSession.sparkContext.broadcast(_filter(hashes, bits))
+
+    @F.arrow_udf("boolean")
+    def may_be(values: pa.Array) -> pa.Array:
+        h = values.to_numpy(zero_copy_only=False).view(np.uint64)
+        out = np.zeros(len(h), bool)
+        out[passes(known.value, h)] = True
+        return pa.array(out)
+
+    return may_be
+
+
 def told_apart(docs: DataFrame, filter_bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
     """``doc_id``, ``text`` and ``text_hash`` of all rows, those equal in id and text once; and, of rows that
     were not alone, ``doc_id``, ``text_hash`` and ``size``, the bytes of the text.
@@ -344,16 +409,7 @@ def told_apart(docs: DataFrame, filter_bits: int = FILTER_BITS) -> tuple[DataFra
     if not copies.limit(1).count():
         return rows, copies
     key = F.xxhash64("doc_id", "text_hash")
-    known = docs.sparkSession.sparkContext.broadcast(_filter(copies.select(key.alias("hash")), filter_bits))
-
-    @F.arrow_udf("boolean")
-    def may_repeat(hashes: pa.Array) -> pa.Array:
-        h = hashes.to_numpy(zero_copy_only=False).view(np.uint64)
-        out = np.zeros(len(h), bool)
-        out[passes(known.value, h)] = True
-        return pa.array(out)
-
-    marked = rows.withColumn("may", may_repeat(key))
+    marked = rows.withColumn("may", _among(copies.select(key.alias("hash")), filter_bits)(key))
     once = marked.where("may").groupBy("doc_id", "text_hash").agg(F.first("text").alias("text"))
     alone = marked.where("not may").select("doc_id", "text", "text_hash")
     return alone.union(once.select("doc_id", "text", "text_hash")), copies
@@ -375,39 +431,32 @@ def repeated_spans(
     )
     minimizers = cut(_minimizers(rows, length, gram))
     found = cut(_occurrences(rows, minimizers, length, gram, filter_bits))
-    span = [F.col("at").alias("start"), (F.col("at") + F.col("count") + length - 1).alias("stop")]
-    same = found.where("not mixed").select("doc_id", "text_hash", *span)
 
     # Different blocks of a minimizer: one place and the number of places of each.
-    place = F.struct("doc_id", "text_hash", "at", "count", "anchor")
-    different = (
-        found.where("mixed")
-        .groupBy("hash", "h1", "h2")
-        .agg(F.count("*").alias("n"), F.min(place).alias("place"))
-        .select("hash", "h1", "h2", "n", "place.*")
-    )
-    different = cut(different)
-    many = different.groupBy("hash").count().where(F.col("count") > most_blocks)
-    wide = many.select(F.col("hash").alias("_wide"))
-    marked = different.join(wide, different["hash"] == wide["_wide"], "left").select(
-        different["*"], F.col("_wide").isNotNull().alias("wide"),
-        (F.col("count") + length - 1).alias("size"),
-    )
-    strings = _strings(marked, packed_texts(rows))
-    ranges = _compared(strings, length)
+    block = ["hash", "h1", "h2"]
+    place = ["doc_id", "text_hash", "at", "count", "anchor"]
+    different = found.groupBy(*block).agg(F.count("*").alias("n"), *(F.first(c).alias(c) for c in place))
+    different = cut(different.join(minimizers, "hash", "left_semi"))
+    sized = different.withColumn("size", F.col("count") + length - 1)
+    many = _many(different, most_blocks)
     if many.limit(1).count():
-        ranges = ranges.union(_counted(strings, length))
-    whole = different.where("n > 1").select(
-        "hash", "h1", "h2", F.lit(0).alias("low"), F.col("count").alias("high")
-    )
-    ranges = ranges.union(whole)
-    mixed_ = found.where("mixed").join(ranges, ["hash", "h1", "h2"]).select(
+        wide = _among(many, filter_bits)(F.col("hash"))
+        key = F.xxhash64("doc_id", "text_hash")
+        holders = _among(cut(different.where(wide).select(key.alias("hash")).distinct()), filter_bits)
+        strings = _strings(sized.where(wide), packed_texts(rows.where(holders(key))))
+        steps = [max(1, length // CUTS), 1]
+        ranges = _compared(_strings(sized.where(~wide), packed_texts(rows)), length).union(
+            _by_context(strings, length, steps, most_blocks, filter_bits)
+        )
+    else:
+        ranges = _compared(_strings(sized, packed_texts(rows)), length)
+    spans = found.join(ranges, block).select(
         "doc_id",
         "text_hash",
         (F.col("at") + F.col("low")).alias("start"),
         (F.col("at") + F.col("high") + length - 1).alias("stop"),
     )
-    return same.union(mixed_).union(whole_texts)
+    return spans.union(whole_texts)
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, **options) -> DataFrame:

@@ -103,3 +103,22 @@ def test_texts_with_zeros(spark):
     parts = ["\0" * rng.randint(1, 30) + rng.choice("abc") * rng.randint(0, 3) for _ in range(200)]
     rows = [(i, "".join(rng.choice(parts) for _ in range(6))) for i in range(60)]
     check(spark.createDataFrame(rows, "doc_id long, text string"), rows, 24, gram=8, filter_bits=1 << 12)
+
+
+@pytest.mark.parametrize("most_blocks", [8, 64])
+def test_one_passage_in_many_contexts(spark, most_blocks):
+    rng = random.Random(5)
+    passage = words(rng, 40)
+    rows = [(i, words(rng, rng.randint(0, 6)) + passage[rng.randint(0, 3) :] + words(rng, 5)) for i in range(300)]
+    rows += [(300 + i, passage[:60] + words(rng, 20)) for i in range(100)] + rows[:40]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    check(docs, rows, 48, gram=8, most_blocks=most_blocks, filter_bits=1 << 14)
+
+
+def test_places_of_a_block_count():
+    rng = random.Random(3)
+    strings = [bytes(rng.choices(b"ab", k=20)) for _ in range(6)]
+    times = np.array([1, 2, 1, 5, 1, 1])
+    group, anchor, count = np.arange(6), np.full(6, 9), np.full(6, 9)
+    found = repeated_windows(group, strings, anchor, count, 12, times)
+    assert found.tolist() == [[bool(t > 1)] * 9 for t in times]
