@@ -40,9 +40,10 @@ GRAM = 16
 #: them. A full filter costs shuffled rows, not results.
 FILTER_BITS, BITS_EACH = 1 << 28, 16
 #: Different blocks of one group that a task compares; larger groups are told apart by longer contexts.
-MOST_BLOCKS = 1 << 10
-#: Parts of a window's length that the windows of a cut may lie apart.
-CUTS = 12
+MOST_BLOCKS = 1 << 14
+#: Parts of a window's length that the windows of a cut may lie apart: first, and where that is too far.
+#: After these, a cut is one window.
+CUTS = (4, 16)
 #: Parts in which cuts meet their results, as one cut may be part of very many blocks.
 SALTS = 16
 #: Bytes hashed at a time.
@@ -444,7 +445,7 @@ def repeated_spans(
         key = F.xxhash64("doc_id", "text_hash")
         holders = _among(cut(different.where(wide).select(key.alias("hash")).distinct()), filter_bits)
         strings = _strings(sized.where(wide), packed_texts(rows.where(holders(key))))
-        steps = [max(1, length // CUTS), 1]
+        steps = [*(max(2, length // c) for c in CUTS), 1]
         ranges = _compared(_strings(sized.where(~wide), packed_texts(rows)), length).union(
             _by_context(strings, length, steps, most_blocks, filter_bits)
         )
