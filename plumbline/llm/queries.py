@@ -73,7 +73,7 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contained_items(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     )
-    return found.drop("text_hash")
+    return found.drop("text_hash", "estimate")
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,10 +3,23 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
 import pytest
 from odd_texts import words
 
-from plumbline.llm.decontamination import contained_items, signature_size, without_items
+from plumbline.llm.common import cut
+from plumbline.llm.decontamination import (
+    contained_items,
+    filter_size,
+    item_shingles,
+    most_missing,
+    partition_filters,
+    partition_of,
+    passes,
+    signature_size,
+    values_needed,
+    without_items,
+)
 
 
 def split(text):
@@ -79,6 +92,62 @@ def test_signature_is_long_enough():
             assert signature_size(size, threshold) > most_missing
 
 
+def test_values_needed_are_those_a_containing_document_must_have():
+    for size in range(1, 300):
+        for threshold in (0.3, 0.5, 0.8, 1.0):
+            kept = min(size, signature_size(size, threshold))
+            need = values_needed(size, threshold)
+            assert 1 <= need <= kept
+            # All missing shingles may be in the signature, one more and the item is not contained.
+            assert kept - need == most_missing(size, threshold)
+            assert (size - most_missing(size, threshold)) / size >= threshold - 1e-9
+
+
+def test_every_size_class_at_the_threshold(spark):
+    """Items of many sizes, in documents that lack as many shingles as they may, and one more."""
+    rng = random.Random(11)
+    items, docs = [], []
+    for i, size in enumerate((1, 2, 3, 4, 5, 7, 8, 15, 16, 20, 31, 32, 40, 63, 64, 100, 130)):
+        own = [f"w{i}x{k}" for k in range(size + 4)]
+        items.append((i, " ".join(own)))
+        spare = most_missing(size, 0.8)
+        for j in range(8):
+            for more in (0, 1):
+                first = rng.randrange(spare + more + 1)  # words cut in front, the others behind
+                left = own[first : len(own) - (spare + more - first)]
+                docs.append((len(docs), f"{words(rng, 20)} {' '.join(left)} {words(rng, 20)}"))
+    docs.append((len(docs), " . ".join(text for _, text in items)))
+    found = contained_items(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string"),
+    ).collect()
+    expected = plain(docs, items)
+    assert len(expected) == 9 * len(items)
+    assert {(r.doc_id, r.item_id, r.n_shingles, r.n_shared) for r in found} == expected
+    for r in found:
+        assert values_needed(r.n_shingles, 0.8) / signature_size(r.n_shingles, 0.8) <= r.estimate <= 1
+        assert (r.estimate == 1) >= (r.containment == 1)
+
+
+def test_partitions_have_filters_of_their_own(spark, items):
+    index = cut(item_shingles(spark.createDataFrame(items, "item_id long, text string"), 5, 0.8))
+    signing = index.where("signs").collect()
+    parts = {r.part for r in signing}
+    assert partition_of(5, 1) in parts and partition_of(1, 1) in parts and len(parts) > 5
+    filters = partition_filters(index.where("signs"), {p: 1 << 16 for p in parts})
+    assert set(filters) == parts
+    for p, table in filters.items():
+        own = np.array([r.hash for r in signing if r.part == p]).view(np.uint64)
+        others = np.array(list({r.hash for r in signing if r.part != p} - set(own.view(np.int64)))).view(np.uint64)
+        assert len(passes(table, own)) == len(own)
+        assert len(passes(table, others)) <= 1
+
+
+def test_filters_are_as_large_as_their_values_need():
+    assert [filter_size(n, 1 << 20) for n in (0, 1, 4, 100, 10**9)] == [64, 64, 128, 2048, 1 << 20]
+    assert filter_size(10, 16) == 64
+
+
 def test_empty_tables(spark, no_docs, odd_docs):
     none = spark.createDataFrame([], "item_id long, text string")
     some = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
