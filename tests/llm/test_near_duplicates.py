@@ -77,6 +77,17 @@ def test_components_of_a_long_chain(spark):
     assert {r.node: r.root for r in found} == {**{i: 0 for i in range(n + 1)}, 900: 800, 800: 800}
 
 
+@pytest.mark.parametrize("hub", [-1, 1500, 3001])
+def test_components_around_a_hub(spark, hub):
+    """A node with thousands of neighbours, of the least, a middle or the greatest number."""
+    edges = [(hub, v) for v in range(3000) if v != hub] + [(10_000, 10_001), (2999, 5000), (7, 7), (None, 3)]
+    found = components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()
+    least = min(hub, 0)
+    expected = {v: least for v in (*range(3000), hub, 5000)} | {10_000: 10_000, 10_001: 10_000}
+    assert {r.node: r.root for r in found} == expected
+    assert len(found) == len(expected)
+
+
 def test_odd_rows(odd_docs, odd_rows):
     found = near_duplicates(odd_docs).collect()
     prints = {plain(r[1]) for r in odd_rows}
